@@ -297,3 +297,285 @@ select check_name, violations, violations = 0 as passed from (
 def q_rule_quality(spark, sf):
     return mining.rule_quality_checks(_rules(spark, sf))
 FLAGSHIP = "top_rules_by_lift"
+
+
+# --- stand-ins for model outputs: deterministic segment and score -------
+# segment = proto code * 3 + service code (15 segments, some below 1 %);
+# score = -Σ|round(z, 6)| over the scaled features; "noise" = sessions without lines.
+
+from flowtriage.operators import triage, validate  # noqa: E402
+
+
+def standin(spark, sf):
+    df, m = fitted(spark, sf)
+    x = m.transform(df)
+    enc = m.encode(df)
+    clusters = enc.select("session_id", (F.col("proto") * 3 + F.col("service")).alias("cluster"))
+    total = None
+    for c in S.FEATURE_ORDER:
+        t = F.abs(F.round(F.col(c), 6))
+        total = t if total is None else total + t
+    raw = x.select("session_id", (-total).alias("anomaly_score"))
+    noise = df.select("session_id", F.when(F.col("dur").isNull(), -1).otherwise(0).alias("cluster"))
+    _, labels = m.split_labels(df)
+    return {"df": df, "model": m, "x": x, "clusters": clusters, "raw": raw, "noise": noise, "labels": labels}
+
+
+def triaged(spark, sf):
+    st = standin(spark, sf)
+    scored, _ = triage.contamination_flags(st["raw"], DEFAULTS.contamination)
+    return st, triage.attach(scored, st["clusters"], st["noise"])
+
+
+_STANDIN_SQL = (
+    ",\nclusters as (select session_id, proto * 3 + service as cluster from enc),\n"
+    "raw as (select session_id, -("
+    + " + ".join(f"abs(round({c}, 6))" for c in S.FEATURE_ORDER)
+    + ") as anomaly_score from scaled),\n"
+    "noise as (select session_id, case when dur is null then -1 else 0 end as cluster from feat),\n"
+    f"offs as (select quantile_cont(anomaly_score, {DEFAULTS.contamination!r}) as off from raw),\n"
+    "tri as (select r.session_id, r.anomaly_score - o.off as anomaly_score,"
+    " cast(r.anomaly_score < o.off as integer) as anomaly_flag, c.cluster as km_cluster,"
+    " cast(n.cluster = -1 as integer) as dbscan_noise"
+    " from raw r cross join offs o join clusters c on c.session_id = r.session_id"
+    " join noise n on n.session_id = r.session_id),\n"
+    "dist as (select cluster, count(*) as n, count(*) * 100.0 / (select count(*) from clusters) as pct_raw,"
+    " cast(count(*) as double) / (select count(*) from clusters) as share from clusters group by cluster),\n"
+    "lj as (select c.session_id, c.cluster, coalesce(s.attack_cat, 'Normal') as category"
+    " from clusters c join sessions s on s.session_id = c.session_id),\n"
+    "cnt as (select cluster, category, count(*) as n from lj group by all),\n"
+    "ct as (select g.cluster, k.category, cast(coalesce(cnt.n, 0) as bigint) as n"
+    " from (select distinct cluster from cnt) g cross join (select distinct category from cnt) k"
+    " left join cnt on cnt.cluster = g.cluster and cnt.category = k.category),\n"
+    "pur as (select cluster, max(n) as n_dominant, sum(n) as cluster_total from ct group by cluster)\n"
+)
+
+
+def sw(body: str) -> str:
+    return S.with_base(_STANDIN_SQL + body)
+
+
+RHU = validate.rhu_sql
+
+
+@register("cluster_distribution", sw(f"select cluster, n, {RHU('pct_raw', 2)} as pct from dist"))
+def q_cluster_distribution(spark, sf):
+    return validate.cluster_distribution(standin(spark, sf)["clusters"]).select("cluster", "n", "pct")
+
+
+@register(
+    "rare_clusters",
+    sw(f"select cluster, n, {RHU('pct_raw', 2)} as pct from dist where share < {DEFAULTS.rare_share!r}"),
+)
+def q_rare_clusters(spark, sf):
+    return validate.rare_clusters(standin(spark, sf)["clusters"], DEFAULTS.rare_share).select("cluster", "n", "pct")
+
+
+@register(
+    "cluster_feature_means",
+    sw(
+        "select c.cluster, "
+        + ", ".join(f"round(avg(x.{f}), 6) as {f}" for f in S.FEATURE_ORDER)
+        + " from scaled x join clusters c on c.session_id = x.session_id group by c.cluster"
+    ),
+)
+def q_cluster_feature_means(spark, sf):
+    st = standin(spark, sf)
+    m = validate.cluster_feature_means(st["x"], st["clusters"], S.FEATURE_ORDER)
+    return m.select("cluster", *[r6(c) for c in S.FEATURE_ORDER])
+
+
+@register("crosstab", sw("select cluster, category, n from ct"))
+def q_crosstab(spark, sf):
+    st = standin(spark, sf)
+    return validate.crosstab_long(validate.label_join(st["clusters"], st["labels"]))
+
+
+@register("crosstab_wide", sw("select * from (pivot lj on category using count(*) group by cluster)"))
+def q_crosstab_wide(spark, sf):
+    st = standin(spark, sf)
+    return validate.crosstab_wide(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+
+
+@register("crosstab_log1p", sw("select cluster, category, n, round(ln(1 + cast(n as double)), 6) as log1p_n from ct"))
+def q_crosstab_log1p(spark, sf):
+    st = standin(spark, sf)
+    ct = validate.crosstab_log1p(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+    return ct.select("cluster", "category", "n", r6("log1p_n"))
+
+
+@register(
+    "purity",
+    sw(f"select cluster, n_dominant, cast(cluster_total as bigint) as cluster_total, "
+       f"{RHU('cast(n_dominant as double) / cluster_total', 4)} as purity from pur"),
+)
+def q_purity(spark, sf):
+    st = standin(spark, sf)
+    p = validate.purity(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+    return p.select("cluster", "n_dominant", F.col("cluster_total").cast("bigint").alias("cluster_total"), "purity")
+
+
+@register(
+    "dominant_category",
+    sw(
+        "select cluster, category as dominant_category, n as sessions_in_cat, cast(cluster_total as bigint) as cluster_total, "
+        + RHU("n * 100.0 / cluster_total", 2)
+        + " as purity_pct from (select *, row_number() over (partition by cluster order by n desc, category) as rk,"
+        " sum(n) over (partition by cluster) as cluster_total from ct) where rk = 1"
+    ),
+)
+def q_dominant_category(spark, sf):
+    st = standin(spark, sf)
+    return validate.dominant_category(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+
+
+_ARI_SQL = """,
+pc as (select cast(sum(n * n) as double) as S, cast(sum(n) as double) as N from ct),
+pa as (select cast(sum(a * a) as double) as A from (select sum(n) as a from ct group by cluster)),
+pb as (select cast(sum(b * b) as double) as B from (select sum(n) as b from ct group by category)),
+po as (select sum(n_dominant) / sum(cluster_total) as overall from pur),
+q as (select S - N as tp, A - S as fp, B - S as fn, N * N + S - A - B as tn, overall, N from pc, pa, pb, po)
+"""
+
+
+@register(
+    "adjusted_rand",
+    S.with_base(
+        _STANDIN_SQL
+        + _ARI_SQL
+        + "select "
+        + RHU("overall", 4)
+        + " as overall_purity, "
+        + RHU(
+            "case when fn = 0 and fp = 0 then 1.0 else 2.0 * (tp * tn - fn * fp)"
+            " / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)) end",
+            4,
+        )
+        + " as ari, cast(N as bigint) as n_sessions from q"
+    ),
+)
+def q_adjusted_rand(spark, sf):
+    st = standin(spark, sf)
+    return validate.agreement(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+
+
+@register(
+    "contamination_flags",
+    sw("select session_id, round(anomaly_score, 6) as anomaly_score, anomaly_flag from tri"),
+)
+def q_contamination_flags(spark, sf):
+    _, t = triaged(spark, sf)
+    return t.select("session_id", r6("anomaly_score"), "anomaly_flag")
+
+
+@register(
+    "soc_queue",
+    sw(
+        "select row_number() over (order by t.anomaly_score, t.session_id) as rank, t.session_id, t.km_cluster, t.anomaly_flag, "
+        "round(t.anomaly_score, 6) as anomaly_score, "
+        + ", ".join(f"round(x.{f}, 6) as {f}" for f in S.FEATURE_ORDER)
+        + f" from tri t join scaled x on x.session_id = t.session_id where t.anomaly_flag = 1"
+        f" order by t.anomaly_score, t.session_id limit {DEFAULTS.queue_top_n}"
+    ),
+)
+def q_soc_queue(spark, sf):
+    st, t = triaged(spark, sf)
+    q = triage.soc_queue(t.drop("dbscan_noise"), st["x"], DEFAULTS.queue_top_n)
+    return q.select("rank", "session_id", "km_cluster", "anomaly_flag", r6("anomaly_score"), *[r6(c) for c in S.FEATURE_ORDER])
+
+
+@register(
+    "anomaly_by_cluster",
+    sw(
+        "select km_cluster as cluster, count(*) as sessions_in_cluster, cast(sum(anomaly_flag) as bigint) as if_anomalies, "
+        + RHU("sum(anomaly_flag) * 100.0 / count(*)", 2)
+        + " as if_anomaly_rate_pct from tri group by km_cluster"
+    ),
+)
+def q_anomaly_by_cluster(spark, sf):
+    _, t = triaged(spark, sf)
+    return triage.anomaly_by_cluster(t)
+
+
+@register(
+    "dual_flagged",
+    sw(
+        "select n_sessions, n_anomalies, "
+        + RHU("n_anomalies * 100.0 / n_sessions", 2)
+        + " as anomaly_pct, dual_flagged, "
+        + RHU("dual_flagged * 100.0 / greatest(n_anomalies, 1)", 1)
+        + " as dual_pct from (select count(*) as n_sessions, cast(sum(anomaly_flag) as bigint) as n_anomalies,"
+        " cast(count(*) filter (where anomaly_flag = 1 and dbscan_noise = 1) as bigint) as dual_flagged from tri)"
+    ),
+)
+def q_dual_flagged(spark, sf):
+    _, t = triaged(spark, sf)
+    return triage.anomaly_totals(t)
+
+
+_VOTES_SQL = (
+    ", votes as (select t.*, coalesce(r.rare, 0) as rare_segment,"
+    " coalesce(r.rare, 0) + dbscan_noise + anomaly_flag as votes from tri t"
+    f" left join (select cluster, 1 as rare from dist where share < {DEFAULTS.rare_share!r}) r on r.cluster = t.km_cluster)\n"
+)
+
+
+@register(
+    "consensus_rank",
+    sw(
+        _VOTES_SQL
+        + "select row_number() over (order by votes desc, anomaly_score, session_id) as rank, session_id, km_cluster,"
+        " votes, rare_segment, dbscan_noise, anomaly_flag, round(anomaly_score, 6) as anomaly_score from votes"
+        f" where votes > 0 order by votes desc, anomaly_score, session_id limit {DEFAULTS.queue_top_n}"
+    ),
+)
+def q_consensus_rank(spark, sf):
+    st, t = triaged(spark, sf)
+    rare = validate.rare_clusters(st["clusters"], DEFAULTS.rare_share)
+    r = triage.consensus_rank(triage.consensus_votes(t, rare), DEFAULTS.queue_top_n)
+    return r.select("rank", "session_id", "km_cluster", "votes", "rare_segment", "dbscan_noise", "anomaly_flag", r6("anomaly_score"))
+
+
+@register(
+    "consensus_votes",
+    sw(_VOTES_SQL + "select votes, count(*) as n_sessions from votes group by votes"),
+)
+def q_consensus_votes(spark, sf):
+    st, t = triaged(spark, sf)
+    rare = validate.rare_clusters(st["clusters"], DEFAULTS.rare_share)
+    return triage.consensus_votes(t, rare).groupBy("votes").agg(F.count(F.lit(1)).alias("n_sessions"))
+
+
+@register(
+    "score_histogram",
+    sw(
+        """, g as (select anomaly_flag, min(anomaly_score) as mn, max(anomaly_score) as mx, count(*) as n_group,
+                 case when anomaly_flag = 1 then 40 else 60 end as nb from tri group by anomaly_flag),
+g2 as (select *, case when mn = mx then mn - 0.5 else mn end as lo, case when mn = mx then mx + 0.5 else mx end as hi from g),
+h as (select t.anomaly_flag, cast(least(floor((t.anomaly_score - g2.lo) * (g2.nb / (g2.hi - g2.lo))), g2.nb - 1) as integer) as bin,
+             g2.lo, g2.hi, g2.nb, g2.n_group, count(*) as n
+      from tri t join g2 on g2.anomaly_flag = t.anomaly_flag group by all)
+select anomaly_flag, bin, round(lo + bin * ((hi - lo) / nb), 6) as bin_lo, n,
+       round(n / (n_group * ((hi - lo) / nb)), 6) as density from h"""
+    ),
+)
+def q_score_histogram(spark, sf):
+    _, t = triaged(spark, sf)
+    h = triage.score_histogram(t)
+    return h.select("anomaly_flag", "bin", r6("bin_lo"), "n", r6("density"))
+
+
+_RISK_VALUES = ", ".join(f"({c}, '{t}', '{s}')" for c, t, s in triage.RISK_TABLE)
+
+
+@register(
+    "risk_annotation",
+    sw(
+        f", risk(cluster, tier, subtitle) as (values {_RISK_VALUES})\n"
+        "select d.cluster, d.n as sessions, coalesce(r.tier, 'ELEVATED RISK') as tier,"
+        " coalesce(r.subtitle, 'Anomalous Cluster ' || cast(d.cluster as varchar)) as subtitle"
+        " from dist d left join risk r on r.cluster = d.cluster"
+    ),
+)
+def q_risk_annotation(spark, sf):
+    return triage.risk_annotation(spark, standin(spark, sf)["clusters"])
