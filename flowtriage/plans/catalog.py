@@ -579,3 +579,54 @@ _RISK_VALUES = ", ".join(f"({c}, '{t}', '{s}')" for c, t, s in triage.RISK_TABLE
 )
 def q_risk_annotation(spark, sf):
     return triage.risk_annotation(spark, standin(spark, sf)["clusters"])
+
+
+# --- C5, A10 on the customer profile (3-d points) ---------------------------------
+
+from flowtriage.operators import density  # noqa: E402
+
+PROFILE_EPS = 0.5
+PROFILE_COLS = ["x", "y", "z"]
+
+
+def _dbscan_sql(eps: float, min_samples: int) -> str:
+    d2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in PROFILE_COLS)
+    return f""",
+pairs as (select a.customer_id as i, b.customer_id as j from profile a join profile b on {d2} <= {eps * eps!r}),
+nb as (select i, count(*) as n from pairs group by i),
+core as (select i from nb where n >= {min_samples}),
+ce as (select p.i, p.j from pairs p join core c1 on c1.i = p.i join core c2 on c2.i = p.j),
+reach as (select i, min(root) as comp from (
+    with recursive r(i, root) as (select i, i from core union select ce.j, r.root from r join ce on ce.i = r.i)
+    select * from r) group by i),
+num as (select comp, cast(dense_rank() over (order by comp) - 1 as integer) as cluster from (select distinct comp from reach)),
+corelab as (select reach.i, num.cluster from reach join num on num.comp = reach.comp),
+border as (select p.i, min(cl.cluster) as cluster from pairs p join corelab cl on cl.i = p.j
+           where p.i not in (select i from core) group by p.i),
+db as (select profile.customer_id, cast(coalesce(corelab.cluster, border.cluster, -1) as integer) as cluster
+       from profile left join corelab on corelab.i = profile.customer_id left join border on border.i = profile.customer_id)
+"""
+
+
+def _profile_dbscan(spark, sf):
+    p = src.customer_profile(spark, sf)
+    return density.dbscan(p, PROFILE_COLS, PROFILE_EPS, DEFAULTS.dbscan_min_samples, key="customer_id")
+
+
+@register("dbscan", S.with_base(_dbscan_sql(PROFILE_EPS, DEFAULTS.dbscan_min_samples) + "select customer_id, cluster from db"))
+def q_dbscan(spark, sf):
+    return _profile_dbscan(spark, sf)
+
+
+@register(
+    "dbscan_summary",
+    S.with_base(
+        _dbscan_sql(PROFILE_EPS, DEFAULTS.dbscan_min_samples)
+        + "select cast(count(distinct cluster) filter (where cluster >= 0) as bigint) as n_clusters,"
+        " cast(count(*) filter (where cluster = -1) as bigint) as n_noise, "
+        + validate.rhu_sql("count(*) filter (where cluster = -1) * 100.0 / count(*)", 4)
+        + " as noise_pct, count(*) - count(*) filter (where cluster = -1) as n_clustered from db"
+    ),
+)
+def q_dbscan_summary(spark, sf):
+    return validate.dbscan_summary(_profile_dbscan(spark, sf))
