@@ -630,3 +630,340 @@ def q_dbscan(spark, sf):
 )
 def q_dbscan_summary(spark, sf):
     return validate.dbscan_summary(_profile_dbscan(spark, sf))
+
+
+# --- C1–C4, W1–W3, F12 ------------------------------------------------------------
+
+from flowtriage.functions.scalar import sample_key_sql  # noqa: E402
+from flowtriage.operators import segment  # noqa: E402
+
+_EMB_SQL = """,
+emb as (select vec_id, label, cast(embedding as double[]) as v from embeddings),
+ecent as (select label as cluster, list(m order by i) as c from (
+    select label, i, avg(x) as m from (select label, unnest(v) as x, generate_subscripts(v, 1) as i from emb)
+    group by label, i) group by label),
+ecent_num as (select cast(dense_rank() over (order by cluster) - 1 as integer) as k, c from ecent)
+"""
+
+
+@register(
+    "kmeans_assign",
+    S.with_base(
+        _EMB_SQL
+        + """select vec_id, k as cluster from (
+    select e.vec_id, c.k, row_number() over (partition by e.vec_id order by
+        list_sum(list_transform(list_zip(e.v, c.c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))), c.k) as rn
+    from emb e cross join ecent_num c) where rn = 1"""
+    ),
+)
+def q_kmeans_assign(spark, sf):
+    """C2 with fixed centroids (the per-label means of the embeddings)."""
+    e = src.embeddings(spark, sf)
+    _, C = segment.vector_centroids(e, "embedding", "label")
+    return e.select("vec_id", segment.assign_vectors_expr(C, "embedding").alias("cluster"))
+
+
+@register("kmeans_search")
+def q_kmeans_search(spark, sf):
+    """C1 + C3 + C4 + W3 on the scaled session features (randomised → rows only)."""
+    df, m = fitted(spark, sf)
+    x = m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id").cache()
+    res = segment.kmeans_search(x, m.feature_names)
+    return res["scores"].withColumn("selected", F.col("k") == F.lit(res["best_k"]))
+
+
+_SIL_SQL = (
+    ",\nsamp as (select * from profile order by "
+    + sample_key_sql("customer_id", DEFAULTS.seed)
+    + f", customer_id limit {DEFAULTS.silhouette_sample}),\n"
+    """pd as (select a.customer_id, a.segment as own, b.segment as other,
+             sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) as d
+      from samp a join samp b on a.customer_id <> b.customer_id),
+pm as (select customer_id, own, other, avg(d) as md from pd group by all),
+ps as (select customer_id, max(case when other = own then md end) as a, min(case when other <> own then md end) as b from pm group by customer_id),
+sil as (select avg(case when a is null then 0.0 else (b - a) / greatest(a, b) end) as s from ps)
+"""
+)
+
+
+@register("silhouette_exact", S.with_base(_SIL_SQL + "select round(s, 4) as silhouette from sil"))
+def q_silhouette_exact(spark, sf):
+    """C3 (exact Euclidean) of the market-segment labelling of the customer profile."""
+    p = src.customer_profile(spark, sf)
+    codes = sorted(r[0] for r in p.select("segment").distinct().collect())
+    lab = p.withColumn("seg_code", F.array_position(F.array(*[F.lit(c) for c in codes]), F.col("segment")).cast("int"))
+    sample = segment.silhouette_sample(lab, "customer_id", DEFAULTS.silhouette_sample, DEFAULTS.seed)
+    s = segment.silhouette_scores(sample, PROFILE_COLS, ["seg_code"], key="customer_id")["seg_code"]
+    return spark.createDataFrame([(round(s, 4),)], "silhouette double")
+
+
+@register(
+    "best_k",
+    S.with_base(
+        _SIL_SQL.replace("sil as (", "silx as (")
+        + "select 1 as k, round(s, 4) as silhouette from silx"
+    ),
+)
+def q_best_k(spark, sf):
+    """W3 over a one-row score table (the profile silhouette); full search in kmeans_search."""
+    s = q_silhouette_exact(spark, sf).first()[0]
+    scores = spark.createDataFrame([(1, s)], "k int, silhouette double")
+    return segment.best_k(scores)
+
+
+def _standin_centroids(spark, sf):
+    st = standin(spark, sf)
+    means = validate.cluster_feature_means(st["x"], st["clusters"], S.FEATURE_ORDER)
+    return segment.centroids_long(means.select("cluster", *[r6(c) for c in S.FEATURE_ORDER]), S.FEATURE_ORDER)
+
+
+_CENT_SQL = (
+    ",\ncmeans as (select c.cluster, "
+    + ", ".join(f"round(avg(x.{f}), 6) as {f}" for f in S.FEATURE_ORDER)
+    + " from scaled x join clusters c on c.session_id = x.session_id group by c.cluster),\n"
+    "cl as (select cluster, feature, value from (unpivot cmeans on "
+    + ", ".join(S.FEATURE_ORDER)
+    + " into name feature value value))\n"
+)
+
+
+@register(
+    "centroid_top_features",
+    sw(
+        _CENT_SQL
+        + f"""select cluster, side, rank, feature, value from (
+  select cluster, 'high' as side, cast(row_number() over (partition by cluster order by value desc, feature) as integer) as rank, feature, value from cl
+  union all
+  select cluster, 'low', cast(row_number() over (partition by cluster order by value, feature) as integer), feature, value from cl)
+where rank <= {DEFAULTS.top_features_n}"""
+    ),
+)
+def q_centroid_top_features(spark, sf):
+    r = segment.centroid_top_features(_standin_centroids(spark, sf), DEFAULTS.top_features_n)
+    return r.withColumn("rank", F.col("rank").cast("int"))
+
+
+@register(
+    "discriminating_features",
+    sw(
+        _CENT_SQL
+        + f""", fs as (select feature, avg(abs(value)) as mean_abs from cl group by feature),
+top as (select feature, mean_abs, cast(row_number() over (order by mean_abs desc, feature) as integer) as feature_rank from fs
+        order by mean_abs desc, feature limit {DEFAULTS.heatmap_features_n})
+select top.feature_rank, cl.feature, cl.cluster, cl.value, round(top.mean_abs, 6) as mean_abs from cl join top on top.feature = cl.feature"""
+    ),
+)
+def q_discriminating_features(spark, sf):
+    r = segment.discriminating_features(_standin_centroids(spark, sf), DEFAULTS.heatmap_features_n)
+    return r.select(F.col("feature_rank").cast("int").alias("feature_rank"), "feature", "cluster", "value", r6("mean_abs"))
+
+
+@register(
+    "scatter_sample",
+    sw(
+        "select x.session_id, round(x.sbytes, 6) as sbytes, round(x.dbytes, 6) as dbytes, c.cluster"
+        " from scaled x join clusters c on c.session_id = x.session_id order by "
+        + sample_key_sql("x.session_id", DEFAULTS.seed)
+        + f", x.session_id limit {DEFAULTS.scatter_sample}"
+    ),
+)
+def q_scatter_sample(spark, sf):
+    st = standin(spark, sf)
+    s = segment.scatter_sample(st["x"], st["clusters"], DEFAULTS.scatter_x, DEFAULTS.scatter_y, DEFAULTS.scatter_sample)
+    return s.select("session_id", r6("sbytes"), r6("dbytes"), "cluster")
+
+
+# --- Q1, Q2 -------------------------------------------------------------------------
+
+from flowtriage.operators import search  # noqa: E402
+
+SEARCH_K = 10
+SEARCH_LABEL = 6
+# Query profile for Q2 (standardised units): outbound-heavy, large packets, long sessions.
+SEARCH_PROFILE = {"outbound_dominance_ratio": 2.0, "bytes_per_packet": 2.0, "dur": 1.0, "packet_rate": -1.0}
+
+
+@register(
+    "similar_to_centroid",
+    S.with_base(
+        _EMB_SQL
+        + f""", q as (select c from ecent where cluster = {SEARCH_LABEL}),
+sc as (select e.vec_id, e.label as cluster,
+              list_dot_product(e.v, q.c) / (sqrt(list_dot_product(e.v, e.v)) * sqrt(list_dot_product(q.c, q.c))) as sim
+       from emb e cross join q)
+select vec_id, cluster, round(sim, 6) as similarity_score,
+       cast(row_number() over (order by sim desc, vec_id) as integer) as rank
+from sc order by sim desc, vec_id limit {SEARCH_K}"""
+    ),
+)
+def q_similar_to_centroid(spark, sf):
+    e = src.embeddings(spark, sf)
+    r = search.similar_to_centroid(e, "embedding", "label", SEARCH_LABEL, "vec_id", SEARCH_K)
+    return r.select("vec_id", "cluster", r6("similarity_score"), F.col("rank").cast("int").alias("rank"))
+
+
+_PROF_DOT = " + ".join(f"x.{c} * {float(v)!r}" for c, v in SEARCH_PROFILE.items())
+_PROF_NN = " + ".join(f"x.{c} * x.{c}" for c in SEARCH_PROFILE)
+_PROF_QN = sum(v * v for v in SEARCH_PROFILE.values()) ** 0.5
+
+
+@register(
+    "similar_to_profile",
+    sw(
+        f""", sc as (select x.session_id, c.cluster, ({_PROF_DOT}) / (sqrt({_PROF_NN}) * {_PROF_QN!r}) as sim
+       from scaled x join clusters c on c.session_id = x.session_id)
+select session_id, cluster, round(sim, 6) as similarity_score,
+       cast(row_number() over (order by sim desc, session_id) as integer) as rank
+from sc where sim is not null order by sim desc, session_id limit {SEARCH_K}"""
+    ),
+)
+def q_similar_to_profile(spark, sf):
+    st = standin(spark, sf)
+    x = st["x"].join(st["clusters"], "session_id")
+    r = search.similar_to_profile(x, SEARCH_PROFILE, "session_id", SEARCH_K, "cluster")
+    return r.select("session_id", "cluster", r6("similarity_score"), F.col("rank").cast("int").alias("rank"))
+
+
+# --- I1, I2 (randomised → rows only) ----------------------------------------------
+
+from flowtriage.operators import iforest  # noqa: E402
+
+
+def _forest_scores(spark, sf):
+    df, m = fitted(spark, sf)
+    x = m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id").cache()
+    forest = iforest.fit_isolation_forest(x, m.feature_names, DEFAULTS.n_trees, seed=DEFAULTS.seed)
+    raw = iforest.score(x, forest)
+    scored, _ = triage.contamination_flags(raw, DEFAULTS.contamination)
+    return x, scored
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, sf):
+    _, scored = _forest_scores(spark, sf)
+    return scored.select("session_id", r6("anomaly_score"), "anomaly_flag")
+
+
+# --- F14–F17, S2, M6, W6 -------------------------------------------------------------
+
+from flowtriage.operators import rules_view  # noqa: E402
+
+
+def _case_map(expr: str, d: dict, lower_keys: bool) -> str:
+    whens = " ".join(
+        "when '{}' then '{}'".format((k.lower() if lower_keys else k).replace("'", "''"), v.replace("'", "''"))
+        for k, v in d.items()
+    )
+    return f"(case {expr} {whens} end)"
+
+
+def _title_sql(expr: str) -> str:
+    return (
+        f"array_to_string(list_transform(string_split({expr}, ' '),"
+        " lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' ')"
+    )
+
+
+def _phrase_sql(x: str) -> str:
+    q = f"regexp_extract(lower({x}), '^(.*)_(high|low|medium)$', 2)"
+    base = f"substring({x}, 1, length({x}) - length({q}) - 1)"
+    alias = f"coalesce({_case_map(base, rules_view.SHORT_LABELS, False)}, {_title_sql(f'replace({base}, chr(95), chr(32))')})"
+    binned = f"upper(substring({q}, 1, 1)) || lower(substring({q}, 2)) || ' ' || {alias}"
+    return f"(case when {q} <> '' then {binned} else coalesce({_case_map(x, rules_view.SHORT_LABELS, False)}, {x}) end)"
+
+
+def _human_sql(lst: str) -> str:
+    return (
+        f"array_to_string(list_transform({lst}, lambda x: coalesce("
+        + _case_map("lower(x)", rules_view.TOKEN_LABELS, True)
+        + ", x)), ' + ')"
+    )
+
+
+_LABELS_SQL = f""",
+lab as (select antecedent, consequent, a_list, c_list, lift, confidence,
+    array_to_string(list_transform(a_list, lambda x: {_phrase_sql('x')}), ' + ') as a_ph,
+    array_to_string(list_transform(c_list, lambda x: {_phrase_sql('x')}), ' + ') as c_ph,
+    antecedent || '  →  ' || consequent as lbl from rules)
+select antecedent, consequent,
+       {_human_sql('a_list')} as antecedent_text,
+       {_human_sql('c_list')} as consequent_text,
+       case when length(a_ph || ' -> ' || c_ph) <= {rules_view.TITLE_MAX} then a_ph || ' -> ' || c_ph
+            else substring(a_ph, 1, {rules_view.TITLE_MAX - 3}) || '...' end as pattern_title,
+       case when length(lbl) > {rules_view.CHART_LABEL_MAX} then substring(lbl, 1, {rules_view.CHART_LABEL_MAX - 3}) || '...'
+            else lbl end as chart_label,
+       case when lift > 7 then 'strong' when lift > 5 then 'elevated' else 'base' end as lift_tier,
+       case when confidence >= 0.85 then 'high' else 'moderate' end as confidence_tier
+from lab"""
+
+
+@register("rule_labels", _RULES_SQL + _LABELS_SQL)
+def q_rule_labels(spark, sf):
+    return rules_view.rule_labels(_rules(spark, sf))
+
+
+@register(
+    "rules_export",
+    _RULES_SQL + "select antecedent, consequent, " + S.round6(["support", "confidence", "lift"]) + " from rules",
+)
+def q_rules_export(spark, sf):
+    return rules_view.export_rows(_rules(spark, sf))
+
+
+def _segment_rules(spark, sf):
+    st = standin(spark, sf)
+    txn, cols, _ = mining.build_transactions(st["df"])
+    txn = txn.join(st["clusters"], "session_id")
+    its = mining.frequent_itemsets(txn, cols, DEFAULTS.min_support, segment_col="cluster")
+    return st, mining.association_rules(its, DEFAULTS.min_confidence, segment_col="cluster")
+
+
+_SEG_SQL = S.with_base(
+    _STANDIN_SQL
+    + ","
+    + S.tercile_ctes()
+    + ", txs as (select t.*, c.cluster from txn t join clusters c on c.session_id = t.session_id),"
+    + S.itemset_ctes(DEFAULTS.min_support, txn="txs", seg="cluster")
+    + ","
+    + S.rules_ctes(DEFAULTS.min_confidence, seg="cluster")
+)
+
+
+@register(
+    "segment_rules",
+    _SEG_SQL + "select cluster, antecedent, consequent, " + S.round6(["support", "confidence", "lift"]) + " from rules",
+)
+def q_segment_rules(spark, sf):
+    _, r = _segment_rules(spark, sf)
+    r = mining.rule_strings(r)
+    return r.select(
+        "cluster",
+        F.col("antecedent_str").alias("antecedent"),
+        F.col("consequent_str").alias("consequent"),
+        r6("support"),
+        r6("confidence"),
+        r6("lift"),
+    )
+
+
+@register(
+    "segment_top_rules",
+    _SEG_SQL
+    + f""", pri as (select cluster from dist where share < {DEFAULTS.rare_share!r}),
+rk as (select r.*, cast(row_number() over (partition by r.cluster order by lift desc, antecedent, consequent) as integer) as rank
+       from rules r join pri on pri.cluster = r.cluster)
+select cluster, rank, antecedent, consequent, round(lift, 6) as lift, rank = 1 as is_best
+from rk where rank <= {DEFAULTS.segment_rules_top_n}""",
+)
+def q_segment_top_rules(spark, sf):
+    st, r = _segment_rules(spark, sf)
+    pri = [row[0] for row in validate.rare_clusters(st["clusters"], DEFAULTS.rare_share).select("cluster").collect()]
+    top = mining.top_rules_per_segment(r, "cluster", pri, DEFAULTS.segment_rules_top_n)
+    return top.select(
+        "cluster",
+        F.col("rank").cast("int").alias("rank"),
+        F.col("antecedent_str").alias("antecedent"),
+        F.col("consequent_str").alias("consequent"),
+        r6("lift"),
+        "is_best",
+    )

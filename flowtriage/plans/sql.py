@@ -151,6 +151,7 @@ masks as (select range as m from range(1, {(1 << k) - 1})),
 cand as (select {seg_sel}i.support, i.present, masks.m, {a_cols}, {c_cols}
          from its i join masks on (masks.m & i.present) = masks.m and masks.m <> i.present),
 rules as (select {seg_x}array_to_string({a_items}, ' AND ') as antecedent,
+                 {a_items} as a_list, {c_items} as c_list,
                  array_to_string({c_items}, ' AND ') as consequent,
                  x.support as support,
                  x.support / a.support as confidence,
