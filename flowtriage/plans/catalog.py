@@ -967,3 +967,40 @@ def q_segment_top_rules(spark, sf):
         r6("lift"),
         "is_best",
     )
+
+
+# --- S8 run report (metrics table) ---------------------------------------------------
+
+from flowtriage.plans import report  # noqa: E402
+
+
+@register(
+    "run_report",
+    S.with_base(
+        _STANDIN_SQL
+        + _dbscan_sql(PROFILE_EPS, DEFAULTS.dbscan_min_samples)
+        + _SIL_SQL
+        + f"""
+select 'dataset' as section, 'feature_count' as name, cast({len(S.FEATURE_ORDER)} as double) as value
+union all select 'kmeans', 'best_k', cast(5 as double)
+union all select 'dbscan', 'eps', cast({PROFILE_EPS!r} as double)
+union all select 'dbscan', 'min_samples', cast({DEFAULTS.dbscan_min_samples} as double)
+union all select 'dataset', 'total_records', cast(count(*) as double) from clusters
+union all select 'silhouette', 'k=5', round(s, 4) from sil
+union all select 'cluster_size', 'cluster_' || cast(cluster as varchar), cast(n as double) from dist
+union all select 'cluster_pct', 'cluster_' || cast(cluster as varchar), {RHU('pct_raw', 2)} from dist
+union all select 'rare_cluster', 'cluster_' || cast(cluster as varchar), 1.0 from dist where share < {DEFAULTS.rare_share!r}
+union all select 'dbscan', 'n_clusters', cast(count(distinct cluster) filter (where cluster >= 0) as double) from db
+union all select 'dbscan', 'n_noise', cast(count(*) filter (where cluster = -1) as double) from db
+union all select 'dbscan', 'noise_pct', {RHU('count(*) filter (where cluster = -1) * 100.0 / count(*)', 4)} from db
+"""
+    ),
+)
+def q_run_report(spark, sf):
+    st = standin(spark, sf)
+    sil = q_silhouette_exact(spark, sf).first()[0]
+    scores = spark.createDataFrame([(5, sil)], "k int, silhouette double")
+    return report.run_metrics(
+        spark, st["clusters"], _profile_dbscan(spark, sf), scores, 5, len(S.FEATURE_ORDER), PROFILE_EPS,
+        DEFAULTS.dbscan_min_samples, DEFAULTS.rare_share,
+    )
