@@ -9,8 +9,9 @@ range of the next round is the [min, max] of the bucket holding the wanted
 rank, so no value is lost to floating-point edges.  A round resolves a target
 when its bucket holds one distinct value.
 
-Interpolation follows ``quantile_cont`` / pandas ``quantile``:
-``h = (n-1)p``, ``x[floor h] + (h - floor h) * (x[ceil h] - x[floor h])``.
+Interpolation is linear between neighbouring order statistics, as pandas
+``quantile`` / SQL ``quantile_cont``: ``h = (n-1)p``, ``d = h - floor h``,
+``x[floor h]·(1-d) + x[ceil h]·d``.
 NaN and null values are skipped (pandas ``skipna``).
 """
 
@@ -124,7 +125,8 @@ def exact_quantiles(
                 continue
             h, lo_r, hi_r = item
             a, b = solved[(c, lo_r)], solved[(c, hi_r)]
-            vals.append(a if lo_r == hi_r else a + (h - lo_r) * (b - a))
+            d = h - lo_r
+            vals.append(a if lo_r == hi_r else a * (1.0 - d) + b * d)
         out[c] = vals
     return out
 

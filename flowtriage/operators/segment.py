@@ -52,6 +52,15 @@ def hash_uniform(keys: np.ndarray, salt: int) -> np.ndarray:
     return (h.astype(np.float64) + 1.0) / float(1 << 53)
 
 
+def _sqdist_exact(X: np.ndarray, Y: np.ndarray) -> np.ndarray:
+    """Squared distances by per-dimension differences (no cancellation)."""
+    out = np.zeros((X.shape[0], Y.shape[0]))
+    for j in range(X.shape[1]):
+        diff = X[:, j][:, None] - Y[:, j][None, :]
+        out += diff * diff
+    return out
+
+
 def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     d = (X * X).sum(1)[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :]
     return np.maximum(d, 0.0)
@@ -306,7 +315,7 @@ def silhouette_scores(
             out = {"label_col": [], "s": []}
             for b in pdf["id"].tolist():
                 lo, hi = b * block_rows, min((b + 1) * block_rows, len(X))
-                D = np.sqrt(_sqdist(X[lo:hi], X))
+                D = np.sqrt(_sqdist_exact(X[lo:hi], X))
                 for c in label_cols:
                     lab = L[c]
                     valid = lab != -1

@@ -17,6 +17,7 @@ from flowtriage.config import DEFAULTS
 from flowtriage.operators import features as feats
 from flowtriage.operators import mining, prep
 from flowtriage.plans import sql as S
+from flowtriage.runtime import checkpoint
 from flowtriage.sources import sessions as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,7 +46,10 @@ def sessions(spark, sf):
 
 
 def featured(spark, sf):
-    return feats.engineer_features(sessions(spark, sf))
+    """Engineered sessions, written once to the checkpoint folder: every fit
+    below (quantile rounds, modes, moments) re-reads it instead of re-running
+    the source joins."""
+    return checkpoint(feats.engineer_features(sessions(spark, sf)))
 
 
 def fitted(spark, sf):
@@ -129,14 +133,23 @@ def q_standard_scale(spark, sf):
 @register(
     "inverse_scale",
     S.with_base(
-        "select session_id, "
-        + ", ".join(f"round({c} * s_{c} + m_{c}, 6) as {c}" for c in S.FEATURE_ORDER)
-        + " from scaled, stats"
+        "select x.session_id, "
+        + ", ".join(
+            f"round(abs((x.{c} * s_{c} + m_{c}) - cast(e.{c} as double)), 6) as {c}_roundtrip_err" for c in S.FEATURE_ORDER
+        )
+        + " from scaled x cross join stats join enc e on e.session_id = x.session_id"
     ),
 )
 def q_inverse_scale(spark, sf):
+    """T5: x·std + mean of the scaled table recovers the imputed/encoded value."""
     df, m = fitted(spark, sf)
-    return m.inverse(m.transform(df)).select("session_id", *[r6(c) for c in S.FEATURE_ORDER])
+    back = m.inverse(m.transform(df))
+    orig = m.unscaled(df).select("session_id", *[F.col(c).alias(f"o_{c}") for c in S.FEATURE_ORDER])
+    j = back.join(orig, "session_id")
+    return j.select(
+        "session_id",
+        *[F.round(F.abs(F.col(c) - F.col(f"o_{c}")), 6).alias(f"{c}_roundtrip_err") for c in S.FEATURE_ORDER],
+    )
 
 
 @register(
@@ -187,16 +200,16 @@ def q_transactions(spark, sf):
         ","
         + S.tercile_ctes()
         + " union all ".join(
-            f"select '{c}' as feature, lo_{c} as q_low, hi_{c} as q_high from edges" for c in S.RATIOS
+            f"select '{c}' as feature, round(lo_{c}, 9) as q_low, round(hi_{c}, 9) as q_high from edges" for c in S.RATIOS
         )
     ),
 )
 def q_tercile_bins(spark, sf):
     df = featured(spark, sf)
     edges = mining.tercile_edges(df, S.RATIOS)
-    return spark.createDataFrame(
-        [(c, float(edges[c][0]), float(edges[c][1])) for c in S.RATIOS], "feature string, q_low double, q_high double"
-    )
+    rows = [(c, float(edges[c][0]), float(edges[c][1])) for c in S.RATIOS]
+    t = spark.createDataFrame(rows, "feature string, q_low double, q_high double")
+    return t.select("feature", F.round("q_low", 9).alias("q_low"), F.round("q_high", 9).alias("q_high"))
 
 
 def _itemsets(spark, sf):
@@ -1004,3 +1017,15 @@ def q_run_report(spark, sf):
         spark, st["clusters"], _profile_dbscan(spark, sf), scores, 5, len(S.FEATURE_ORDER), PROFILE_EPS,
         DEFAULTS.dbscan_min_samples, DEFAULTS.rare_share,
     )
+
+
+# --- whole run (randomised models → rows only) -------------------------------------
+
+from flowtriage.plans import triage_run  # noqa: E402
+
+
+@register("triage_queue")
+def q_triage_queue(spark, sf):
+    """All stages end to end; the consensus-ranked analyst queue (top 20)."""
+    r = triage_run.run_triage(spark, sessions(spark, sf))
+    return triage_run.triage_queue(r)

@@ -73,7 +73,9 @@ def derive_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(
             F.datediff(F.max("l_shipdate"), F.min("l_shipdate")).cast("double").alias("dur"),
-            F.max("l_returnflag").alias("service"),
+            # l_returnflag is a one-character flag: max over its code point equals
+            # max(string) and keeps the aggregate hash-based (no sort of lineitem).
+            F.max(F.ascii("l_returnflag")).alias("__rf"),
             F.sum(F.when(F.col("l_linestatus") == "O", F.floor("l_quantity").cast("bigint"))).alias("spkts"),
             F.sum(F.when(F.col("l_linestatus") == "F", F.floor("l_quantity").cast("bigint"))).alias("dpkts"),
             F.sum(F.when(F.col("l_linestatus") == "O", F.floor("l_extendedprice").cast("bigint"))).alias("sbytes"),
@@ -91,7 +93,7 @@ def derive_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderkey").alias(KEY),
             "dur",
             F.col("o_orderpriority").alias("proto"),
-            "service",
+            F.when(F.col("__rf").isNotNull(), F.chr(F.col("__rf"))).alias("service"),
             F.col("o_orderstatus").alias("state"),
             "spkts",
             "dpkts",
