@@ -79,10 +79,6 @@ class KMeansModel:
         return spark.createDataFrame(rows, "cluster int, feature string, value double")
 
 
-def _models_key(models):
-    return [(m, k) for m, k in models]
-
-
 def _init_pass(points: DataFrame, cols: list, key: str, models: dict, centers: dict, step: int, seed_of: dict):
     """Draw the next centre for every model still short of k centres."""
     todo = [m for m, k in models.items() if len(centers[m]) < k and len(centers[m]) == step]
@@ -123,62 +119,63 @@ def _init_pass(points: DataFrame, cols: list, key: str, models: dict, centers: d
 
 
 def _lloyd_pass(points: DataFrame, cols: list, active: dict) -> dict:
-    """One assignment pass for all active models → {model: (sums, counts, inertia)}."""
+    """One assignment pass for all active models → {model: (sums, counts, inertia)}.
+
+    Every (model, cluster) gets a global index; a task assigns each row in all
+    models, then builds the partial sums with one ``bincount`` per feature over
+    the flattened (row, model) → global-cluster indices.
+    """
     blocks = [(m, np.asarray(C, dtype=np.float64)) for m, C in active.items()]
     allc = np.vstack([C for _, C in blocks])
     offsets = np.cumsum([0] + [C.shape[0] for _, C in blocks])
+    total = int(offsets[-1])
+    d = len(cols)
 
     def fn(it):
-        acc = {}
+        cnt = np.zeros(total)
+        iner = np.zeros(total)
+        sums = np.zeros((total, d))
+        seen = False
         for pdf in it:
             if pdf.empty:
                 continue
+            seen = True
             X = pdf[cols].to_numpy(dtype=np.float64)
+            n = len(X)
             D = _sqdist(X, allc)
-            for bi, (m, C) in enumerate(blocks):
-                sub = D[:, offsets[bi] : offsets[bi + 1]]
-                lab = sub.argmin(1)
-                dmin = sub[np.arange(len(X)), lab]
-                k = C.shape[0]
-                cnt = np.bincount(lab, minlength=k)
-                sums = np.zeros((k, X.shape[1]))
-                np.add.at(sums, lab, X)
-                iner = np.bincount(lab, weights=dmin, minlength=k)
-                if m in acc:
-                    a = acc[m]
-                    acc[m] = (a[0] + sums, a[1] + cnt, a[2] + iner)
-                else:
-                    acc[m] = (sums, cnt, iner)
-        rows = {"model": [], "cluster": [], "n": [], "inertia": [], "s": []}
-        for m, (sums, cnt, iner) in acc.items():
-            for c in range(len(cnt)):
-                rows["model"].append(m)
-                rows["cluster"].append(c)
-                rows["n"].append(int(cnt[c]))
-                rows["inertia"].append(float(iner[c]))
-                rows["s"].append(sums[c].tolist())
-        yield pd.DataFrame(rows)
+            G = np.empty((n, len(blocks)), dtype=np.int64)
+            for bi in range(len(blocks)):
+                G[:, bi] = offsets[bi] + D[:, offsets[bi] : offsets[bi + 1]].argmin(1)
+            flat = G.ravel()
+            cnt += np.bincount(flat, minlength=total)
+            iner += np.bincount(flat, weights=D[np.arange(n)[:, None], G].ravel(), minlength=total)
+            for j in range(d):
+                sums[:, j] += np.bincount(flat, weights=np.repeat(X[:, j], len(blocks)), minlength=total)
+        if seen:
+            yield pd.DataFrame({"g": np.arange(total), "n": cnt.astype(np.int64), "inertia": iner, "s": list(sums)})
 
     agg = (
-        points.mapInPandas(fn, "model int, cluster int, n bigint, inertia double, s array<double>")
-        .groupBy("model", "cluster")
+        points.mapInPandas(fn, "g int, n bigint, inertia double, s array<double>")
+        .groupBy("g")
         .agg(
             F.sum("n").alias("n"),
             F.sum("inertia").alias("inertia"),
-            F.array(*[F.sum(F.col("s")[j]) for j in range(len(cols))]).alias("s"),
+            F.array(*[F.sum(F.col("s")[j]) for j in range(d)]).alias("s"),
         )
         .collect()
     )
+    by_g = {r["g"]: r for r in agg}
     out: dict = {}
-    for r in agg:
-        m = r["model"]
-        k = active[m].shape[0]
-        if m not in out:
-            out[m] = (np.zeros((k, len(cols))), np.zeros(k), 0.0)
-        s, n, i = out[m]
-        s[r["cluster"]] = np.asarray(r["s"], dtype=np.float64)
-        n[r["cluster"]] = r["n"]
-        out[m] = (s, n, i + r["inertia"])
+    for bi, (m, C) in enumerate(blocks):
+        k = C.shape[0]
+        s_m, n_m, i_m = np.zeros((k, d)), np.zeros(k), 0.0
+        for c in range(k):
+            r = by_g.get(int(offsets[bi]) + c)
+            if r is not None:
+                s_m[c] = np.asarray(r["s"], dtype=np.float64)
+                n_m[c] = r["n"]
+                i_m += r["inertia"]
+        out[m] = (s_m, n_m, i_m)
     return out
 
 
