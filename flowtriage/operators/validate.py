@@ -34,8 +34,9 @@ def rhu_sql(expr: str, digits: int) -> str:
 def cluster_distribution(clusters: DataFrame, cluster_col: str = "cluster") -> DataFrame:
     """A1: sessions per cluster (noise under -1) with percentage of all sessions."""
     counts = clusters.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("n"))
-    total = clusters.agg(F.count(F.lit(1)).alias("__total"))
-    return counts.crossJoin(F.broadcast(total)).select(
+    # the grouped table has one row per cluster, so a whole-table window is small
+    counts = counts.withColumn("__total", F.sum("n").over(Window.partitionBy()))
+    return counts.select(
         F.col(cluster_col).alias("cluster"),
         "n",
         round_half_up(F.col("n") * 100.0 / F.col("__total"), 2).alias("pct"),
@@ -64,14 +65,23 @@ def label_join(clusters: DataFrame, labels: DataFrame, category_col: str = "atta
 
 
 def crosstab_long(joined: DataFrame) -> DataFrame:
-    """A3 (long): every cluster × category pair, zero-filled."""
+    """A3 (long): every cluster × category pair, zero-filled.
+
+    Counted with map-side combine, pivoted on the (bounded, collected)
+    category list to zero-fill, and unpivoted back to long form.
+    """
     counts = joined.groupBy("cluster", "category").agg(F.count(F.lit(1)).alias("n"))
-    cl = counts.select("cluster").distinct()
-    cats = counts.select("category").distinct()
-    grid = cl.crossJoin(cats)
-    return grid.join(counts, ["cluster", "category"], "left").select(
-        "cluster", "category", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")
+    cats = sorted(r[0] for r in counts.select("category").distinct().collect())
+    if not cats:
+        return counts.select("cluster", "category", F.col("n").cast("bigint").alias("n"))
+    wide = counts.groupBy("cluster").pivot("category", cats).agg(F.sum("n")).fillna(0)
+    tmp = [f"__c{i}" for i in range(len(cats))]
+    wide = wide.toDF("cluster", *tmp)
+    stacked = wide.select(
+        "cluster",
+        F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(t).alias("n")) for c, t in zip(cats, tmp)])).alias("e"),
     )
+    return stacked.select("cluster", F.col("e.category").alias("category"), F.col("e.n").cast("bigint").alias("n"))
 
 
 def crosstab_wide(ct: DataFrame) -> DataFrame:
@@ -112,11 +122,24 @@ def agreement(ct: DataFrame) -> DataFrame:
     cluster², B = Σ category²; tp = S−n, fp = A−S, fn = B−S, tn = n²+S−A−B.
     Computed in double (the products overflow bigint near n ≈ 150k).
     """
-    s_n = ct.agg(F.sum(F.col("n") * F.col("n")).alias("S"), F.sum("n").alias("N"))
-    a = ct.groupBy("cluster").agg(F.sum("n").alias("a")).agg(F.sum(F.col("a") * F.col("a")).alias("A"))
-    b = ct.groupBy("category").agg(F.sum("n").alias("b")).agg(F.sum(F.col("b") * F.col("b")).alias("B"))
-    p = purity(ct).agg((F.sum("n_dominant") / F.sum("cluster_total")).alias("overall"))
-    x = s_n.crossJoin(a).crossJoin(b).crossJoin(p)
+    # ct is clusters × categories rows; per-row marginals by window, then one
+    # aggregate: Σa² = Σ n·a, Σb² = Σ n·b, Σ max = Σ n over the first row per cluster.
+    wa = Window.partitionBy("cluster")
+    wb = Window.partitionBy("category")
+    wr = Window.partitionBy("cluster").orderBy(F.desc("n"), F.asc("category"))
+    m = ct.select(
+        "n",
+        F.sum("n").over(wa).alias("a"),
+        F.sum("n").over(wb).alias("b"),
+        (F.row_number().over(wr) == 1).alias("top"),
+    )
+    x = m.agg(
+        F.sum(F.col("n") * F.col("n")).alias("S"),
+        F.sum("n").alias("N"),
+        F.sum(F.col("n") * F.col("a")).alias("A"),
+        F.sum(F.col("n") * F.col("b")).alias("B"),
+        (F.sum(F.when(F.col("top"), F.col("n"))) / F.sum("n")).alias("overall"),
+    )
     S, N, A, B = (F.col(c).cast("double") for c in ("S", "N", "A", "B"))
     tp, fp, fn = S - N, A - S, B - S
     tn = N * N + S - A - B

@@ -680,7 +680,7 @@ def q_kmeans_assign(spark, sf):
 def q_kmeans_search(spark, sf):
     """C1 + C3 + C4 + W3 on the scaled session features (randomised → rows only)."""
     df, m = fitted(spark, sf)
-    x = m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id").cache()
+    x = checkpoint(m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id"))
     res = segment.kmeans_search(x, m.feature_names)
     return res["scores"].withColumn("selected", F.col("k") == F.lit(res["best_k"]))
 
@@ -844,7 +844,7 @@ from flowtriage.operators import iforest  # noqa: E402
 
 def _forest_scores(spark, sf):
     df, m = fitted(spark, sf)
-    x = m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id").cache()
+    x = checkpoint(m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id"))
     forest = iforest.fit_isolation_forest(x, m.feature_names, DEFAULTS.n_trees, seed=DEFAULTS.seed)
     raw = iforest.score(x, forest)
     scored, _ = triage.contamination_flags(raw, DEFAULTS.contamination)
