@@ -412,7 +412,7 @@ def centroids_long(means: DataFrame, feature_names: list) -> DataFrame:
 
 def scatter_sample(
     x: DataFrame,
-    clusters: DataFrame,
+    clusters: DataFrame | None,
     fx: str = DEFAULTS.scatter_x,
     fy: str = DEFAULTS.scatter_y,
     n: int = DEFAULTS.scatter_sample,
@@ -422,5 +422,5 @@ def scatter_sample(
     """seeded sample (≤ n) of two named features with the cluster label."""
     if fx not in x.columns or fy not in x.columns:
         raise KeyError(f"scatter features {fx!r}/{fy!r} not in the feature table")
-    j = x.select(key, fx, fy).join(clusters, key)
+    j = x.select(key, fx, fy, "cluster") if clusters is None else x.select(key, fx, fy).join(clusters, key)
     return j.orderBy(sample_key(F.col(key), seed), F.col(key)).limit(n)

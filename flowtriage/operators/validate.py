@@ -49,9 +49,15 @@ def rare_clusters(clusters: DataFrame, threshold: float = DEFAULTS.rare_share, c
     return cluster_distribution(clusters, cluster_col).where(F.col("share") < F.lit(threshold))
 
 
-def cluster_feature_means(features: DataFrame, clusters: DataFrame, feature_names: list, key: str = "session_id") -> DataFrame:
-    """A2: mean of every (scaled) feature per cluster, noise row kept."""
-    return features.join(clusters, key).groupBy("cluster").agg(*[F.avg(c).alias(c) for c in feature_names])
+def cluster_feature_means(
+    features: DataFrame, clusters: DataFrame | None, feature_names: list, key: str = "session_id"
+) -> DataFrame:
+    """A2: mean of every (scaled) feature per cluster, noise row kept.
+
+    ``clusters=None`` when ``features`` already carries a ``cluster`` column.
+    """
+    j = features if clusters is None else features.join(clusters, key)
+    return j.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in feature_names])
 
 
 # --- J1, A3–A7 ---------------------------------------------------------------

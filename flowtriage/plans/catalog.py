@@ -158,11 +158,8 @@ def q_inverse_scale(spark, sf):
 )
 def q_preprocess_matrix(spark, sf):
     df, m = fitted(spark, sf)
-    x = m.transform(df)
-    _, labels = m.split_labels(df)
-    return x.join(labels, "session_id").select(
-        "session_id", *[r6(c) for c in S.FEATURE_ORDER], "label", "attack_cat"
-    )
+    x = m.transform(df, keep=["label", "attack_cat"])
+    return x.select("session_id", *[r6(c) for c in S.FEATURE_ORDER], "label", "attack_cat")
 
 
 @register(
@@ -320,24 +317,52 @@ from flowtriage.operators import triage, validate  # noqa: E402
 
 
 def standin(spark, sf):
+    """One projection of the checkpointed sessions carries everything the
+    triage queries need (scaled features, segment, score, noise flag, labels),
+    so the views below are column selections of one table — no key joins."""
     df, m = fitted(spark, sf)
-    x = m.transform(df)
-    enc = m.encode(df)
-    clusters = enc.select("session_id", (F.col("proto") * 3 + F.col("service")).alias("cluster"))
+    scaled = {c: m.scale_expr(c, m.feature_expr(c)) for c in m.feature_names}
+    seg = m.code_expr("proto", m.impute_expr("proto")) * 3 + m.code_expr("service", m.impute_expr("service"))
+    w = df.select(
+        "session_id",
+        *[scaled[c].alias(c) for c in S.FEATURE_ORDER],
+        seg.alias("cluster"),
+        F.when(F.col("dur").isNull(), -1).otherwise(0).alias("noise_cluster"),
+        "label",
+        "attack_cat",
+    )
     total = None
     for c in S.FEATURE_ORDER:
         t = F.abs(F.round(F.col(c), 6))
         total = t if total is None else total + t
-    raw = x.select("session_id", (-total).alias("anomaly_score"))
-    noise = df.select("session_id", F.when(F.col("dur").isNull(), -1).otherwise(0).alias("cluster"))
-    _, labels = m.split_labels(df)
-    return {"df": df, "model": m, "x": x, "clusters": clusters, "raw": raw, "noise": noise, "labels": labels}
+    w = w.withColumn("anomaly_score", -total)
+    return {
+        "df": df,
+        "model": m,
+        "wide": w,
+        "x": w.select("session_id", *S.FEATURE_ORDER),
+        "clusters": w.select("session_id", "cluster"),
+        "raw": w.select("session_id", "anomaly_score"),
+        "noise": w.select("session_id", F.col("noise_cluster").alias("cluster")),
+        "labels": w.select("session_id", "label", "attack_cat"),
+        "labelled": w.select(
+            "session_id", "cluster", F.coalesce(F.col("attack_cat"), F.lit("Normal")).alias("category")
+        ),
+    }
 
 
 def triaged(spark, sf):
+    """I3 on the stand-in score; segment, noise flag and features ride along."""
     st = standin(spark, sf)
-    scored, _ = triage.contamination_flags(st["raw"], DEFAULTS.contamination)
-    return st, triage.attach(scored, st["clusters"], st["noise"])
+    w = st["wide"].select(
+        "session_id",
+        "anomaly_score",
+        F.col("cluster").alias("km_cluster"),
+        (F.col("noise_cluster") == -1).cast("int").alias("dbscan_noise"),
+        *S.FEATURE_ORDER,
+    )
+    scored, _ = triage.contamination_flags(w, DEFAULTS.contamination)
+    return st, scored
 
 
 _STANDIN_SQL = (
@@ -394,26 +419,26 @@ def q_rare_clusters(spark, sf):
 )
 def q_cluster_feature_means(spark, sf):
     st = standin(spark, sf)
-    m = validate.cluster_feature_means(st["x"], st["clusters"], S.FEATURE_ORDER)
+    m = validate.cluster_feature_means(st["wide"], None, S.FEATURE_ORDER)
     return m.select("cluster", *[r6(c) for c in S.FEATURE_ORDER])
 
 
 @register("crosstab", sw("select cluster, category, n from ct"))
 def q_crosstab(spark, sf):
     st = standin(spark, sf)
-    return validate.crosstab_long(validate.label_join(st["clusters"], st["labels"]))
+    return validate.crosstab_long(st["labelled"])
 
 
 @register("crosstab_wide", sw("select * from (pivot lj on category using count(*) group by cluster)"))
 def q_crosstab_wide(spark, sf):
     st = standin(spark, sf)
-    return validate.crosstab_wide(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+    return validate.crosstab_wide(validate.crosstab_long(st["labelled"]))
 
 
 @register("crosstab_log1p", sw("select cluster, category, n, round(ln(1 + cast(n as double)), 6) as log1p_n from ct"))
 def q_crosstab_log1p(spark, sf):
     st = standin(spark, sf)
-    ct = validate.crosstab_log1p(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+    ct = validate.crosstab_log1p(validate.crosstab_long(st["labelled"]))
     return ct.select("cluster", "category", "n", r6("log1p_n"))
 
 
@@ -424,7 +449,7 @@ def q_crosstab_log1p(spark, sf):
 )
 def q_purity(spark, sf):
     st = standin(spark, sf)
-    p = validate.purity(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+    p = validate.purity(validate.crosstab_long(st["labelled"]))
     return p.select("cluster", "n_dominant", F.col("cluster_total").cast("bigint").alias("cluster_total"), "purity")
 
 
@@ -439,7 +464,7 @@ def q_purity(spark, sf):
 )
 def q_dominant_category(spark, sf):
     st = standin(spark, sf)
-    return validate.dominant_category(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+    return validate.dominant_category(validate.crosstab_long(st["labelled"]))
 
 
 _ARI_SQL = """,
@@ -469,7 +494,7 @@ q as (select S - N as tp, A - S as fp, B - S as fn, N * N + S - A - B as tn, ove
 )
 def q_adjusted_rand(spark, sf):
     st = standin(spark, sf)
-    return validate.agreement(validate.crosstab_long(validate.label_join(st["clusters"], st["labels"])))
+    return validate.agreement(validate.crosstab_long(st["labelled"]))
 
 
 @register(
@@ -493,7 +518,7 @@ def q_contamination_flags(spark, sf):
 )
 def q_soc_queue(spark, sf):
     st, t = triaged(spark, sf)
-    q = triage.soc_queue(t.drop("dbscan_noise"), st["x"], DEFAULTS.queue_top_n)
+    q = triage.soc_queue(t.drop("dbscan_noise"), None, DEFAULTS.queue_top_n)
     return q.select("rank", "session_id", "km_cluster", "anomaly_flag", r6("anomaly_score"), *[r6(c) for c in S.FEATURE_ORDER])
 
 
@@ -726,7 +751,7 @@ def q_best_k(spark, sf):
 
 def _standin_centroids(spark, sf):
     st = standin(spark, sf)
-    means = validate.cluster_feature_means(st["x"], st["clusters"], S.FEATURE_ORDER)
+    means = validate.cluster_feature_means(st["wide"], None, S.FEATURE_ORDER)
     return segment.centroids_long(means.select("cluster", *[r6(c) for c in S.FEATURE_ORDER]), S.FEATURE_ORDER)
 
 
@@ -782,7 +807,7 @@ def q_discriminating_features(spark, sf):
 )
 def q_scatter_sample(spark, sf):
     st = standin(spark, sf)
-    s = segment.scatter_sample(st["x"], st["clusters"], DEFAULTS.scatter_x, DEFAULTS.scatter_y, DEFAULTS.scatter_sample)
+    s = segment.scatter_sample(st["wide"], None, DEFAULTS.scatter_x, DEFAULTS.scatter_y, DEFAULTS.scatter_sample)
     return s.select("session_id", r6("sbytes"), r6("dbytes"), "cluster")
 
 
@@ -832,7 +857,7 @@ from sc where sim is not null order by sim desc, session_id limit {SEARCH_K}"""
 )
 def q_similar_to_profile(spark, sf):
     st = standin(spark, sf)
-    x = st["x"].join(st["clusters"], "session_id")
+    x = st["wide"]
     r = search.similar_to_profile(x, SEARCH_PROFILE, "session_id", SEARCH_K, "cluster")
     return r.select("session_id", "cluster", r6("similarity_score"), F.col("rank").cast("int").alias("rank"))
 
@@ -925,8 +950,9 @@ def q_rules_export(spark, sf):
 
 def _segment_rules(spark, sf):
     st = standin(spark, sf)
-    txn, cols, _ = mining.build_transactions(st["df"])
-    txn = txn.join(st["clusters"], "session_id")
+    m = st["model"]
+    seg = m.code_expr("proto", m.impute_expr("proto")) * 3 + m.code_expr("service", m.impute_expr("service"))
+    txn, cols, _ = mining.build_transactions(st["df"].withColumn("cluster", seg), keep=["cluster"])
     its = mining.frequent_itemsets(txn, cols, DEFAULTS.min_support, segment_col="cluster")
     return st, mining.association_rules(its, DEFAULTS.min_confidence, segment_col="cluster")
 
