@@ -38,6 +38,15 @@ def exact_quantiles(
     cols = list(spec)
     if not cols:
         return {}
+    # every round rescans the same columns: keep that projection cached
+    df = df.select(*cols).persist()
+    try:
+        return _refine(df, spec, cols, bins, max_rounds)
+    finally:
+        df.unpersist()
+
+
+def _refine(df: DataFrame, spec: dict, cols: list, bins: int, max_rounds: int) -> dict:
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(c).cast("double")

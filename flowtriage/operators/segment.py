@@ -191,8 +191,9 @@ def fit_kmeans_many(
 ) -> dict:
     """C1 for every K in ``ks``: best of ``n_init`` seeded k-means++ / Lloyd runs.
 
-    ``points`` should be cached (it is scanned once per iteration).  Returns
-    ``{k: KMeansModel}``.
+    The projected points are persisted for the duration of the fit (one scan
+    per iteration); pass a checkpointed table so a lost block is re-read, not
+    recomputed.  Returns ``{k: KMeansModel}``.
     """
     ks = list(ks)
     models = {}
@@ -202,7 +203,15 @@ def fit_kmeans_many(
             mid = len(models)
             models[mid] = k
             seed_of[mid] = seed + r + 7919 * k
-    pts = points.select(key, *feature_cols)
+    # Scanned once per iteration: keep the projected points cached for the fit.
+    pts = points.select(key, *feature_cols).persist()
+    try:
+        return _fit_batched(pts, feature_cols, ks, models, seed_of, max_iter, tol, key)
+    finally:
+        pts.unpersist()
+
+
+def _fit_batched(pts, feature_cols, ks, models, seed_of, max_iter, tol, key) -> dict:
     var = pts.agg(*[F.var_pop(c).alias(c) for c in feature_cols]).first()
     tol_abs = tol * float(np.mean([var[c] or 0.0 for c in feature_cols]))
 

@@ -190,3 +190,11 @@ def test_contamination_threshold_count(spark):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rng.normal(size=1000))], "session_id long, anomaly_score double")
     scored, _ = triage.contamination_flags(df, 0.04)
     assert scored.agg(F.sum("anomaly_flag")).first()[0] == math.floor(0.04 * 999) + 1
+
+
+def test_fpgrowth_path_matches_cube_at_threshold(spark):
+    rows = [(i, "a_x" if i < 7 else "a_y", "b_1", "c_1" if i % 2 else "c_2") for i in range(100)]
+    txn, cols = _txn(spark, rows)
+    cube = {tuple(r["items"]): r["n"] for r in mining.frequent_itemsets(txn, cols, 0.07).collect()}
+    arr = {tuple(r["items"]): r["n"] for r in mining.frequent_itemsets_arrays(txn.select(F.array(*cols).alias("b")), "b", 0.07).collect()}
+    assert cube == arr and cube[("a_x",)] == 7
