@@ -277,7 +277,7 @@ def q_association_rules(spark, sf):
 @register(
     "top_rules_by_lift",
     _RULES_SQL
-    + "select row_number() over (order by lift desc, antecedent, consequent) as rank, antecedent, consequent, "
+    + "select cast(row_number() over (order by lift desc, antecedent, consequent) as integer) as rank, antecedent, consequent, "
     + S.round6(["support", "confidence", "lift"])
     + f" from rules order by lift desc, antecedent, consequent limit {DEFAULTS.rules_top_n}",
 )
@@ -509,7 +509,7 @@ def q_contamination_flags(spark, sf):
 @register(
     "soc_queue",
     sw(
-        "select row_number() over (order by t.anomaly_score, t.session_id) as rank, t.session_id, t.km_cluster, t.anomaly_flag, "
+        "select cast(row_number() over (order by t.anomaly_score, t.session_id) as integer) as rank, t.session_id, t.km_cluster, t.anomaly_flag, "
         "round(t.anomaly_score, 6) as anomaly_score, "
         + ", ".join(f"round(x.{f}, 6) as {f}" for f in S.FEATURE_ORDER)
         + f" from tri t join scaled x on x.session_id = t.session_id where t.anomaly_flag = 1"
@@ -562,7 +562,7 @@ _VOTES_SQL = (
     "consensus_rank",
     sw(
         _VOTES_SQL
-        + "select row_number() over (order by votes desc, anomaly_score, session_id) as rank, session_id, km_cluster,"
+        + "select cast(row_number() over (order by votes desc, anomaly_score, session_id) as integer) as rank, session_id, km_cluster,"
         " votes, rare_segment, dbscan_noise, anomaly_flag, round(anomaly_score, 6) as anomaly_score from votes"
         f" where votes > 0 order by votes desc, anomaly_score, session_id limit {DEFAULTS.queue_top_n}"
     ),

@@ -51,19 +51,43 @@ def rows_of(cols, records):
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
 
 
+_TYPES = {
+    "LongType": "BIGINT",
+    "IntegerType": "INTEGER",
+    "DoubleType": "DOUBLE",
+    "FloatType": "FLOAT",
+    "StringType": "VARCHAR",
+    "BooleanType": "BOOLEAN",
+    "ShortType": "SMALLINT",
+    "ByteType": "TINYINT",
+}
+
+
+def spark_type(dt) -> str:
+    n = type(dt).__name__
+    if n == "ArrayType":
+        return spark_type(dt.elementType) + "[]"
+    return _TYPES.get(n, n)
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: spark_type(f.dataType) for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
+    d_types = {d[0]: str(d[1]) for d in res.description}
     d_rows = res.fetchall()
     t2 = time.time()
     msg = []
     if sorted(s_cols) != sorted(d_cols):
         msg.append(f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}")
+    bad_t = {c: (s_types[c], d_types.get(c)) for c in s_cols if c in d_types and s_types[c] != d_types[c]}
+    if bad_t:
+        msg.append(f"types differ: {bad_t}")
     if len(s_rows) != len(d_rows):
         msg.append(f"rows differ: spark={len(s_rows)} duck={len(d_rows)}")
     if not msg:
