@@ -1055,3 +1055,30 @@ def q_triage_queue(spark, sf):
     """All stages end to end; the consensus-ranked analyst queue (top 20)."""
     r = triage_run.run_triage(spark, sessions(spark, sf))
     return triage_run.triage_queue(r)
+
+
+# --- J1, J2/J3 as explicit key joins of separately produced tables -------------------
+
+
+@register(
+    "label_join",
+    sw("select c.session_id, c.cluster, coalesce(s.attack_cat, 'Normal') as category"
+       " from clusters c join sessions s on s.session_id = c.session_id"),
+)
+def q_label_join(spark, sf):
+    """Segment labels ⋈ withheld categories (from the raw session view)."""
+    st = standin(spark, sf)
+    labels = sessions(spark, sf).select("session_id", "attack_cat")
+    return validate.label_join(st["clusters"], labels)
+
+
+@register(
+    "triage_join",
+    sw("select session_id, round(anomaly_score, 6) as anomaly_score, anomaly_flag, km_cluster, dbscan_noise from tri"),
+)
+def q_triage_join(spark, sf):
+    """Flagged scores ⋈ segments ⋈ DBSCAN noise, each a separate table."""
+    st = standin(spark, sf)
+    scored, _ = triage.contamination_flags(st["raw"], DEFAULTS.contamination)
+    t = triage.attach(scored, st["clusters"], st["noise"])
+    return t.select("session_id", r6("anomaly_score"), "anomaly_flag", "km_cluster", "dbscan_noise")
