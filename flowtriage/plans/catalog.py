@@ -735,18 +735,62 @@ def q_silhouette_exact(spark, sf):
     return spark.createDataFrame([(round(s, 4),)], "silhouette double")
 
 
+def _emb_k_scores(spark, sf):
+    """Silhouette of 'nearest of the first K label centroids' for K = 2..10 (C2 + C3)."""
+    e = src.embeddings(spark, sf)
+    _, C = segment.vector_centroids(e, "embedding", "label")
+    dim = C.shape[1]
+    cols = [f"e{i}" for i in range(dim)]
+    sample = segment.silhouette_sample(e.select("vec_id", "embedding"), "vec_id", DEFAULTS.silhouette_sample, DEFAULTS.seed)
+    ks = [k for k in range(DEFAULTS.k_min, DEFAULTS.k_max + 1) if k <= C.shape[0]]
+    labelled = sample.select(
+        "vec_id",
+        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)],
+        *[segment.assign_vectors_expr(C[:k], "embedding").alias(f"k{k}") for k in ks],
+    )
+    sil = segment.silhouette_scores(labelled, cols, [f"k{k}" for k in ks], key="vec_id")
+    return spark.createDataFrame([(k, round(sil[f"k{k}"], 4)) for k in ks], "k int, silhouette double")
+
+
+_KSIL_SQL = (
+    _EMB_SQL
+    + ",\nesamp as (select * from emb order by "
+    + sample_key_sql("vec_id", DEFAULTS.seed)
+    + f", vec_id limit {DEFAULTS.silhouette_sample}),\n"
+    + f"""kk as (select range as k from range({DEFAULTS.k_min}, {DEFAULTS.k_max + 1})),
+ed as (select s.vec_id, c.k as idx,
+              list_sum(list_transform(list_zip(s.v, c.c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) as d
+       from esamp s cross join ecent_num c),
+elab as (select vec_id, k, idx as cl from (
+           select ed.vec_id, kk.k, ed.idx, row_number() over (partition by ed.vec_id, kk.k order by ed.d, ed.idx) as rn
+           from ed join kk on ed.idx < kk.k) where rn = 1),
+epd as (select a.vec_id as i, b.vec_id as j,
+               sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) as d
+        from esamp a join esamp b on a.vec_id <> b.vec_id),
+epm as (select la.k, p.i, la.cl as own, lb.cl as other, avg(p.d) as md
+        from epd p join elab la on la.vec_id = p.i join elab lb on lb.vec_id = p.j and lb.k = la.k
+        group by all),
+eps as (select k, i, max(case when other = own then md end) as a, min(case when other <> own then md end) as b
+        from epm group by k, i),
+ksil as (select cast(k as integer) as k, round(avg(case when a is null then 0.0 else (b - a) / greatest(a, b) end), 4) as silhouette
+         from eps group by k)
+"""
+)
+
+
+@register("silhouette_by_k", S.with_base(_KSIL_SQL + "select k, silhouette from ksil"))
+def q_silhouette_by_k(spark, sf):
+    """C3 for every K of a deterministic K search over the embeddings."""
+    return _emb_k_scores(spark, sf)
+
+
 @register(
     "best_k",
-    S.with_base(
-        _SIL_SQL.replace("sil as (", "silx as (")
-        + "select 1 as k, round(s, 4) as silhouette from silx"
-    ),
+    S.with_base(_KSIL_SQL + "select k, silhouette from ksil order by silhouette desc, k limit 1"),
 )
 def q_best_k(spark, sf):
-    """W3 over a one-row score table (the profile silhouette); full search in kmeans_search."""
-    s = q_silhouette_exact(spark, sf).first()[0]
-    scores = spark.createDataFrame([(1, s)], "k int, silhouette double")
-    return segment.best_k(scores)
+    """Highest silhouette (rounded to 4), smallest K on ties."""
+    return segment.best_k(_emb_k_scores(spark, sf))
 
 
 def _standin_centroids(spark, sf):
