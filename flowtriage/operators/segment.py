@@ -32,9 +32,6 @@ from pyspark.sql import functions as F
 from flowtriage.config import DEFAULTS
 from flowtriage.functions.scalar import sample_key
 
-_M64 = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
 def _splitmix(x: np.ndarray) -> np.ndarray:
     """Vectorised splitmix64 finaliser on uint64 (wrapping arithmetic)."""
     with np.errstate(over="ignore"):

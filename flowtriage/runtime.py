@@ -6,10 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Broadcast only below this many rows when a side's size is checked at run time.
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "flowtriage") -> SparkSession:
@@ -61,15 +58,5 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if a row count proves it is small.
-
-    Beyond the bound the plain DataFrame is returned and Catalyst / AQE pick a
-    shuffle join.  The count is a cheap action over an already-reduced side.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
