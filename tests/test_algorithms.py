@@ -101,3 +101,12 @@ def test_isolation_forest_partition_independent(spark):
     s1 = {r[0]: r[1] for r in iforest.score(df, f1).collect()}
     s8 = {r[0]: r[1] for r in iforest.score(df, f8).collect()}
     assert all(abs(s1[k] - s8[k]) < 1e-12 for k in s1)
+
+
+def test_dbscan_hot_duplicate_vector(spark):
+    """A third of all rows share one vector: collapsed to one weighted point, same labels."""
+    rng = np.random.default_rng(7)
+    X = np.round(np.vstack([rng.normal(0, 0.6, (120, 2)), np.tile([[2.0, 2.0]], (100, 1)), rng.uniform(-4, 4, (80, 2))]), 3)
+    df = spark.createDataFrame([(i, *map(float, X[i])) for i in range(len(X))], "session_id long, a double, b double")
+    got = {r["session_id"]: r["cluster"] for r in density.dbscan(df, ["a", "b"], 0.5, 6).collect()}
+    assert [got[i] for i in range(len(X))] == _textbook_dbscan(X, 0.5, 6).tolist()
