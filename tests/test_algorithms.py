@@ -33,14 +33,15 @@ def _textbook_dbscan(X: np.ndarray, eps: float, min_samples: int) -> np.ndarray:
     return lab
 
 
+@pytest.mark.parametrize("method", ["grid", "blocks"])
 @pytest.mark.parametrize("seed,eps,ms", [(0, 0.6, 5), (1, 0.9, 8), (2, 0.4, 3)])
-def test_dbscan_matches_sequential(spark, seed, eps, ms):
+def test_dbscan_matches_sequential(spark, seed, eps, ms, method):
     rng = np.random.default_rng(seed)
     X = np.vstack([rng.normal(0, 0.5, (80, 3)), rng.normal(3, 0.7, (70, 3)), rng.uniform(-3, 6, (50, 3))])
     X = np.round(X, 3)
     X[10] = X[11]  # exact duplicates collapse to one weighted point
     df = spark.createDataFrame([(i, *map(float, X[i])) for i in range(len(X))], "session_id long, a double, b double, c double")
-    got = {r["session_id"]: r["cluster"] for r in density.dbscan(df, ["a", "b", "c"], eps, ms).collect()}
+    got = {r["session_id"]: r["cluster"] for r in density.dbscan(df, ["a", "b", "c"], eps, ms, method=method, block_rows=60).collect()}
     want = _textbook_dbscan(X, eps, ms)
     assert [got[i] for i in range(len(X))] == want.tolist()
 
@@ -103,10 +104,11 @@ def test_isolation_forest_partition_independent(spark):
     assert all(abs(s1[k] - s8[k]) < 1e-12 for k in s1)
 
 
-def test_dbscan_hot_duplicate_vector(spark):
+@pytest.mark.parametrize("method", ["grid", "blocks"])
+def test_dbscan_hot_duplicate_vector(spark, method):
     """A third of all rows share one vector: collapsed to one weighted point, same labels."""
     rng = np.random.default_rng(7)
     X = np.round(np.vstack([rng.normal(0, 0.6, (120, 2)), np.tile([[2.0, 2.0]], (100, 1)), rng.uniform(-4, 4, (80, 2))]), 3)
     df = spark.createDataFrame([(i, *map(float, X[i])) for i in range(len(X))], "session_id long, a double, b double")
-    got = {r["session_id"]: r["cluster"] for r in density.dbscan(df, ["a", "b"], 0.5, 6).collect()}
+    got = {r["session_id"]: r["cluster"] for r in density.dbscan(df, ["a", "b"], 0.5, 6, method=method, block_rows=50).collect()}
     assert [got[i] for i in range(len(X))] == _textbook_dbscan(X, 0.5, 6).tolist()
