@@ -1126,3 +1126,15 @@ def q_triage_join(spark, sf):
     scored, _ = triage.contamination_flags(st["raw"], DEFAULTS.contamination)
     t = triage.attach(scored, st["clusters"], st["noise"])
     return t.select("session_id", r6("anomaly_score"), "anomaly_flag", "km_cluster", "dbscan_noise")
+
+
+@register("dbscan_sessions")
+def q_dbscan_sessions(spark, sf):
+    """C5 with the reference defaults (eps 1.5, min_samples 10) on the scaled session features.
+
+    Exact, but all-pairs at this eps (see README), so it has no SQL oracle;
+    ``dbscan`` checks the same operator against DuckDB on the customer profile.
+    """
+    df, m = fitted(spark, sf)
+    x = checkpoint(m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id"))
+    return density.dbscan(x, m.feature_names, DEFAULTS.dbscan_eps, DEFAULTS.dbscan_min_samples)
