@@ -9,6 +9,10 @@ range of the next round is the [min, max] of the bucket holding the wanted
 rank, so no value is lost to floating-point edges.  A round resolves a target
 when its bucket holds one distinct value.
 
+Before the first round, ``percentile_approx`` brackets each rank (its rank error
+is bounded by n / accuracy), so the rounds only touch rows near the targets.
+Infinite values keep their rank: they are counted apart and never binned.
+
 Interpolation is linear between neighbouring order statistics, as pandas
 ``quantile`` / SQL ``quantile_cont``: ``h = (n-1)p``, ``d = h - floor h``,
 ``x[floor h]·(1-d) + x[ceil h]·d``.
@@ -23,9 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+ACCURACY = 10_000
+
+
 def _valid(c: str):
     v = F.col(c).cast("double")
-    return v.isNotNull() & ~F.isnan(v)
+    return v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
 
 
 def exact_quantiles(
@@ -38,12 +45,7 @@ def exact_quantiles(
     cols = list(spec)
     if not cols:
         return {}
-    # every round rescans the same columns: keep that projection cached
-    df = df.select(*cols).persist()
-    try:
-        return _refine(df, spec, cols, bins, max_rounds)
-    finally:
-        df.unpersist()
+    return _refine(df.select(*cols), spec, cols, bins, max_rounds)
 
 
 def _refine(df: DataFrame, spec: dict, cols: list, bins: int, max_rounds: int) -> dict:
@@ -51,33 +53,62 @@ def _refine(df: DataFrame, spec: dict, cols: list, bins: int, max_rounds: int) -
     for i, c in enumerate(cols):
         v = F.col(c).cast("double")
         ok = _valid(c)
+        finite = F.when(ok, v)
         aggs += [
             F.count_if(ok).alias(f"n{i}"),
-            F.min(F.when(ok, v)).alias(f"lo{i}"),
-            F.max(F.when(ok, v)).alias(f"hi{i}"),
+            F.count_if(v == float("-inf")).alias(f"neg{i}"),
+            F.count_if(v == float("inf")).alias(f"pos{i}"),
+            F.min(finite).alias(f"lo{i}"),
+            F.max(finite).alias(f"hi{i}"),
+            # finite values only: the bracket of the k-th percent step of the column
+            F.percentile_approx(finite, [k / 100 for k in range(101)], ACCURACY).alias(f"at{i}"),
         ]
     head = df.agg(*aggs).first()
 
-    # target = (column, rank); state = [L, U, below]
+    # target = (column, rank); state = [L, U, below]; ranks count finite values only
     state: dict[tuple[str, int], list] = {}
     solved: dict[tuple[str, int], float] = {}
     plan: dict[str, list] = {}
     for i, c in enumerate(cols):
-        n = head[f"n{i}"]
+        n, neg = head[f"n{i}"], head[f"neg{i}"]
+        total = neg + n + head[f"pos{i}"]
         plan[c] = []
         for p in spec[c]:
-            if n == 0:
+            if total == 0:
                 plan[c].append(None)
                 continue
-            h = (n - 1) * float(p)
+            h = (total - 1) * float(p)
             lo_r, hi_r = int(math.floor(h)), int(math.ceil(h))
             plan[c].append((h, lo_r, hi_r))
             for r in (lo_r, hi_r):
-                if (c, r) not in state:
-                    L, U = head[f"lo{i}"], head[f"hi{i}"]
-                    state[(c, r)] = [L, U, 0]
-                    if L == U:
-                        solved[(c, r)] = L
+                if r < neg:
+                    solved[(c, r)] = float("-inf")
+                elif r >= neg + n:
+                    solved[(c, r)] = float("inf")
+                elif (c, r) not in state:
+                    steps = head[f"at{i}"]
+                    part = (r - neg) / n
+                    slack = 2.0 / ACCURACY + 2.0 / n
+                    L = steps[max(0, math.floor((part - slack) * 100))] if part - slack > 0 else head[f"lo{i}"]
+                    U = steps[min(100, math.ceil((part + slack) * 100))] if part + slack < 1 else head[f"hi{i}"]
+                    state[(c, r)] = [L, U, None]
+    # how many finite values lie below each bracket, and whether it holds its rank
+    if state:
+        index = {c: i for i, c in enumerate(cols)}
+        probes = []
+        for j, ((c, r), (L, U, _)) in enumerate(state.items()):
+            v, ok = F.col(c).cast("double"), _valid(c)
+            probes += [F.count_if(ok & (v < L)).alias(f"b{j}"), F.count_if(ok & (v <= U)).alias(f"u{j}")]
+        seen = df.agg(*probes).first()
+        for j, (t, s) in enumerate(state.items()):
+            i = index[t[0]]
+            neg = head[f"neg{i}"]
+            if seen[f"b{j}"] <= t[1] - neg < seen[f"u{j}"]:
+                s[2] = seen[f"b{j}"] + neg
+            else:
+                s[:] = [head[f"lo{i}"], head[f"hi{i}"], neg]
+            if s[0] == s[1]:
+                solved[t] = s[0]
 
     for _ in range(max_rounds):
         active = [t for t in state if t not in solved]
@@ -135,7 +166,7 @@ def _refine(df: DataFrame, spec: dict, cols: list, bins: int, max_rounds: int) -
             h, lo_r, hi_r = item
             a, b = solved[(c, lo_r)], solved[(c, hi_r)]
             d = h - lo_r
-            vals.append(a if lo_r == hi_r else a * (1.0 - d) + b * d)
+            vals.append(a if lo_r == hi_r or a == b else a * (1.0 - d) + b * d)
         out[c] = vals
     return out
 

@@ -61,6 +61,25 @@ def sample_key_sql(key_sql: str, seed: int) -> str:
     return f"(({h3}) * 69621) % {_SAMPLE_P}"
 
 
+def bounded_sample(df, key: str, n: int, seed: int):
+    """The ``n`` rows with the smallest :func:`sample_key` (ties by key), all rows if fewer.
+
+    Only rows below a threshold a little above the n-th smallest key are sorted
+    and merged; it is widened if it turns out short.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    k = sample_key(F.col(key), seed)
+    share = min(1.0, 1.2 * n / total + 20.0 / total)
+    while share < 1.0:
+        near = df.where(k < F.lit(int(share * _SAMPLE_P)))
+        if near.count() >= n:
+            return near.orderBy(k, F.col(key)).limit(n)
+        share = min(1.0, 2 * share)
+    return df.orderBy(k, F.col(key)).limit(n)
+
+
 def sq_distance(left: list[Column], right: list[Column]) -> Column:
     """Squared Euclidean distance between two equally long column lists."""
     terms = [(a - b) * (a - b) for a, b in zip(left, right)]

@@ -39,15 +39,3 @@ def engineer_features(df: DataFrame, enabled: bool = True) -> DataFrame:
         return df
     require_columns(df, DEFAULTS.required_raw, "feature engineering")
     return df.withColumns(feature_columns())
-
-
-FEATURES_SQL = """
-case when (cast(sbytes as double) + cast(dbytes as double)) = 0 then 0.0
-     else coalesce(cast(sbytes as double) / (cast(sbytes as double) + cast(dbytes as double)), 0.0) end as outbound_dominance_ratio,
-case when cast(dur as double) = 0 then 0.0
-     else coalesce(cast(spkts as double) / cast(dur as double), 0.0) end as packet_rate,
-case when cast(spkts as double) = 0 then 0.0
-     else coalesce(cast(sbytes as double) / cast(spkts as double), 0.0) end as bytes_per_packet,
-case when (cast(spkts as double) + cast(dpkts as double)) = 0 then 0.0
-     else coalesce((cast(spkts as double) - cast(dpkts as double)) / (cast(spkts as double) + cast(dpkts as double)), 0.0) end as packet_asymmetry
-"""

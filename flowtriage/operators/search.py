@@ -20,13 +20,13 @@ def _dsum(arr):
 
 
 def cosine_to_vector(df: DataFrame, vec_col: str, query: list) -> DataFrame:
-    """Adds ``similarity_score`` = cos(vec, query) for an array column."""
+    """Adds ``similarity_score`` = cos(vec, query) for an array column; null for a zero vector."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     q = F.array(*[F.lit(float(x)) for x in query])
     qn = math.sqrt(sum(float(x) * float(x) for x in query))
     dot = _dsum(F.zip_with(v, q, lambda a, b: a * b))
     vn = F.sqrt(_dsum(F.transform(v, lambda a: a * a)))
-    return df.withColumn("similarity_score", dot / (vn * F.lit(qn)))
+    return df.withColumn("similarity_score", F.try_divide(dot, vn * F.lit(qn)))
 
 
 def cosine_to_profile(df: DataFrame, profile: dict) -> DataFrame:
@@ -40,7 +40,7 @@ def cosine_to_profile(df: DataFrame, profile: dict) -> DataFrame:
         dot = t if dot is None else dot + t
         nn = s if nn is None else nn + s
     qn = math.sqrt(sum(float(v) * float(v) for v in profile.values()))
-    return df.withColumn("similarity_score", dot / (F.sqrt(nn) * F.lit(qn)))
+    return df.withColumn("similarity_score", F.try_divide(dot, F.sqrt(nn) * F.lit(qn)))
 
 
 def top_k(scored: DataFrame, key: str, k: int, extra: list | None = None) -> DataFrame:
@@ -54,7 +54,7 @@ def similar_to_centroid(
 ) -> DataFrame:
     """Q1: sessions most similar to the centroid of segment ``target_label``."""
     labels, C = vector_centroids(df.where(F.col(label_col) == F.lit(target_label)), vec_col, label_col)
-    if not labels:
+    if not len(labels):
         raise ValueError(f"segment {target_label!r} is empty")
     scored = cosine_to_vector(df, vec_col, C[0].tolist())
     return top_k(scored, key, k, [F.col(label_col).alias("cluster")])

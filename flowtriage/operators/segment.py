@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtriage.config import DEFAULTS
-from flowtriage.functions.scalar import sample_key
+from flowtriage.functions.scalar import bounded_sample
 
 def _splitmix(x: np.ndarray) -> np.ndarray:
     """Vectorised splitmix64 finaliser on uint64 (wrapping arithmetic)."""
@@ -101,9 +101,10 @@ def _init_pass(points: DataFrame, cols: list, key: str, models: dict, centers: d
                 i = int(np.argmin(race))
                 if np.isfinite(race[i]) and (m not in best or race[i] < best[m][0]):
                     best[m] = (float(race[i]), X[i].tolist())
-        yield pd.DataFrame(
-            {"model": list(best), "race": [v[0] for v in best.values()], "x": [v[1] for v in best.values()]}
-        )
+        if best:  # a partition may be empty, or hold no candidate
+            yield pd.DataFrame(
+                {"model": list(best), "race": [v[0] for v in best.values()], "x": [v[1] for v in best.values()]}
+            )
 
     rows = (
         points.mapInPandas(fn, "model int, race double, x array<double>")
@@ -115,8 +116,8 @@ def _init_pass(points: DataFrame, cols: list, key: str, models: dict, centers: d
         centers[r["model"]].append(list(r["x"]))
 
 
-def _lloyd_pass(points: DataFrame, cols: list, active: dict) -> dict:
-    """One assignment pass for all active models → {model: (sums, counts, inertia)}.
+def lloyd_pass(points: DataFrame, cols: list, active: dict) -> dict:
+    """One assignment pass for all active models → {model: (sums, counts, inertia) per cluster}.
 
     Every (model, cluster) gets a global index; a task assigns each row in all
     models, then builds the partial sums with one ``bincount`` per feature over
@@ -165,13 +166,13 @@ def _lloyd_pass(points: DataFrame, cols: list, active: dict) -> dict:
     out: dict = {}
     for bi, (m, C) in enumerate(blocks):
         k = C.shape[0]
-        s_m, n_m, i_m = np.zeros((k, d)), np.zeros(k), 0.0
+        s_m, n_m, i_m = np.zeros((k, d)), np.zeros(k), np.zeros(k)
         for c in range(k):
             r = by_g.get(int(offsets[bi]) + c)
             if r is not None:
                 s_m[c] = np.asarray(r["s"], dtype=np.float64)
                 n_m[c] = r["n"]
-                i_m += r["inertia"]
+                i_m[c] = r["inertia"]
         out[m] = (s_m, n_m, i_m)
     return out
 
@@ -215,13 +216,15 @@ def _fit_batched(pts, feature_cols, ks, models, seed_of, max_iter, tol, key) ->
     centers: dict = {m: [] for m in models}
     for step in range(max(ks)):
         _init_pass(pts, feature_cols, key, models, centers, step, seed_of)
+    if not all(centers.values()):
+        raise ValueError("k-means needs at least one point")
     C = {m: np.asarray(centers[m], dtype=np.float64) for m in models}
     n_iter = {m: 0 for m in models}
     active = {m: C[m] for m in models}
     for _ in range(max_iter):
         if not active:
             break
-        res = _lloyd_pass(pts, feature_cols, active)
+        res = lloyd_pass(pts, feature_cols, active)
         nxt = {}
         for m, Cm in active.items():
             s, n, _ = res[m]
@@ -234,64 +237,60 @@ def _fit_batched(pts, feature_cols, ks, models, seed_of, max_iter, tol, key) ->
             if shift > tol_abs:
                 nxt[m] = new
         active = nxt
-    final = _lloyd_pass(pts, feature_cols, C)
+    final = lloyd_pass(pts, feature_cols, C)
     best: dict = {}
     for m, k in models.items():
-        inertia = final[m][2]
+        inertia = float(final[m][2].sum())
         if k not in best or inertia < best[k].inertia:
             best[k] = KMeansModel(k, C[m], inertia, n_iter[m], seed_of[m])
     return best
 
 
-def assign_expr(centers: np.ndarray, cols: list) -> Column:
+def assign_expr(centers: np.ndarray, features: list | str) -> Column:
     """Nearest centre as one projection (no join): argmin over K distances.
 
-    Ties go to the lower cluster number.
+    ``features`` is a list of columns or one array column.  Ties go to the lower
+    cluster number; a row with a missing feature has no cluster.
     """
-    parts = []
-    for i in range(centers.shape[0]):
-        d = None
-        for j, c in enumerate(cols):
-            t = (F.col(c) - F.lit(float(centers[i, j]))) * (F.col(c) - F.lit(float(centers[i, j])))
-            d = t if d is None else d + t
-        parts.append(F.struct(d.alias("d"), F.lit(i).alias("c")))
-    return F.array_min(F.array(*parts))["c"]
-
-
-def assign_vectors_expr(centers: np.ndarray, vec_col: str) -> Column:
-    """C2 for an array column (e.g. embeddings): squared distance by zip_with."""
-    v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
+    if isinstance(features, str):
+        v = F.transform(F.col(features), lambda x: x.cast("double"))
+    else:
+        v = F.array(*[F.col(c).cast("double") for c in features])
     parts = []
     for i in range(centers.shape[0]):
         c = F.array(*[F.lit(float(x)) for x in centers[i]])
         d = F.aggregate(F.zip_with(v, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
         parts.append(F.struct(d.alias("d"), F.lit(i).alias("c")))
-    return F.array_min(F.array(*parts))["c"]
+    whole = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x))
+    return F.when(whole, F.array_min(F.array(*parts))["c"])
+
+
+def vector_columns(df: DataFrame, vec_col: str, prefix: str = "e") -> tuple[DataFrame, list]:
+    """``df`` with one double column per vector component, and their names."""
+    first = df.where(F.col(vec_col).isNotNull()).select(F.size(vec_col)).first()
+    names = [f"{prefix}{i}" for i in range(first[0] if first else 0)]
+    return df.select("*", *[F.col(vec_col)[i].cast("double").alias(c) for i, c in enumerate(names)]), names
 
 
 def vector_centroids(df: DataFrame, vec_col: str, label_col: str) -> tuple[list, np.ndarray]:
-    """Mean vector per label (posexplode + groupBy; the result is labels × dim)."""
-    rows = (
-        df.select(label_col, F.posexplode(vec_col).alias("pos", "v"))
-        .groupBy(label_col, "pos")
-        .agg(F.avg(F.col("v").cast("double")).alias("m"))
-        .collect()
-    )
-    labels = sorted({r[label_col] for r in rows})
-    dim = max(r["pos"] for r in rows) + 1
-    C = np.zeros((len(labels), dim))
-    idx = {l: i for i, l in enumerate(labels)}
-    for r in rows:
-        C[idx[r[label_col]], r["pos"]] = r["m"]
-    return labels, C
+    """Mean vector per label: one average per component; labels × dim numbers reach the driver as literals."""
+    wide, names = vector_columns(df.select(label_col, vec_col), vec_col, "__e")
+    if not names:
+        return [], np.zeros((0, 0))
+    rows = wide.groupBy(label_col).agg(*[F.avg(c).alias(c) for c in names]).orderBy(label_col).collect()
+    return [r[label_col] for r in rows], np.array([[r[c] for c in names] for r in rows], dtype=np.float64)
 
 
 # --- C3 --------------------------------------------------------------------------
 
 
-def silhouette_sample(df: DataFrame, key: str, n: int = DEFAULTS.silhouette_sample, seed: int = DEFAULTS.seed) -> DataFrame:
-    """Seeded, partition-independent sample of at most ``n`` rows (TakeOrdered)."""
-    return df.orderBy(sample_key(F.col(key), seed), F.col(key)).limit(n)
+def silhouette_sample(
+    df: DataFrame, key: str, n: int = DEFAULTS.silhouette_sample, seed: int = DEFAULTS.seed, label_col: str | None = None
+) -> DataFrame:
+    """Seeded, partition-independent sample of at most ``n`` rows; F8: noise (-1 in ``label_col``) leaves first."""
+    if label_col is not None:
+        df = df.where(F.col(label_col) != -1)
+    return bounded_sample(df, key, n, seed)
 
 
 def silhouette_scores(
@@ -342,7 +341,8 @@ def silhouette_scores(
                     s = np.where(own_cnt <= 1, 0.0, np.nan_to_num(s))
                     out["label_col"] += [c] * len(s)
                     out["s"] += s.tolist()
-            yield pd.DataFrame(out)
+            if out["s"]:  # nothing to score with fewer than two clusters
+                yield pd.DataFrame(out)
 
     res = (
         blocks.mapInPandas(fn, "label_col string, s double")
@@ -379,13 +379,10 @@ def kmeans_search(
     sil = silhouette_scores(labelled, feature_cols, [f"k{k}" for k in models], key)
     rows = [(k, round(sil[f"k{k}"], 4), float(models[k].inertia), models[k].n_iter) for k in sorted(models)]
     scores = spark.createDataFrame(rows, "k int, silhouette double, inertia double, n_iter int")
-    chosen = None
-    best_score = -1.0
-    for k, s, _, _ in rows:
-        if s > best_score:
-            best_score, chosen = s, k
-    if chosen is None:
+    top = best_k(scores).first()
+    if top is None or top["silhouette"] <= -1.0:
         raise ValueError("no K produced a silhouette above -1.0")
+    chosen = top["k"]
     labels = x.select(key, assign_expr(models[chosen].centers, feature_cols).alias("cluster"))
     return {"scores": scores, "best_k": chosen, "model": models[chosen], "models": models, "labels": labels}
 
@@ -429,4 +426,4 @@ def scatter_sample(
     if fx not in x.columns or fy not in x.columns:
         raise KeyError(f"scatter features {fx!r}/{fy!r} not in the feature table")
     j = x.select(key, fx, fy, "cluster") if clusters is None else x.select(key, fx, fy).join(clusters, key)
-    return j.orderBy(sample_key(F.col(key), seed), F.col(key)).limit(n)
+    return bounded_sample(j, key, n, seed)

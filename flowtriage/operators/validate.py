@@ -11,21 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtriage.config import DEFAULTS
+from flowtriage.runtime import materialise
 
 
-def round_half_up(c, digits: int) -> Column:
-    """Half-up rounding on the binary value: floor(x·10^d + 0.5) / 10^d.
-
-    Written with plain arithmetic so every SQL engine gives the same result.
-    """
+def round_even(c, digits: int) -> Column:
+    """Report rounding: half to even on the scaled value, as NumPy's ``round``."""
     s = float(10**digits)
     col = F.col(c) if isinstance(c, str) else c
-    return F.floor(col * F.lit(s) + F.lit(0.5)) / F.lit(s)
-
-
-def rhu_sql(expr: str, digits: int) -> str:
-    s = float(10**digits)
-    return f"floor(({expr}) * {s!r} + 0.5) / {s!r}"
+    return F.rint(col * F.lit(s)) / F.lit(s)
 
 
 # --- A1, A2, A11 ---------------------------------------------------------------
@@ -39,7 +32,7 @@ def cluster_distribution(clusters: DataFrame, cluster_col: str = "cluster") -> D
     return counts.select(
         F.col(cluster_col).alias("cluster"),
         "n",
-        round_half_up(F.col("n") * 100.0 / F.col("__total"), 2).alias("pct"),
+        (F.col("n") * 100.0 / F.col("__total")).alias("pct"),
         (F.col("n") / F.col("__total")).alias("share"),
     )
 
@@ -73,21 +66,13 @@ def label_join(clusters: DataFrame, labels: DataFrame, category_col: str = "atta
 def crosstab_long(joined: DataFrame) -> DataFrame:
     """A3 (long): every cluster × category pair, zero-filled.
 
-    Counted with map-side combine, pivoted on the (bounded, collected)
-    category list to zero-fill, and unpivoted back to long form.
+    One pass counts with map-side combine; the small counts table is written
+    once and filled from its own distinct values.
     """
-    counts = joined.groupBy("cluster", "category").agg(F.count(F.lit(1)).alias("n"))
-    cats = sorted(r[0] for r in counts.select("category").distinct().collect())
-    if not cats:
-        return counts.select("cluster", "category", F.col("n").cast("bigint").alias("n"))
-    wide = counts.groupBy("cluster").pivot("category", cats).agg(F.sum("n")).fillna(0)
-    tmp = [f"__c{i}" for i in range(len(cats))]
-    wide = wide.toDF("cluster", *tmp)
-    stacked = wide.select(
-        "cluster",
-        F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(t).alias("n")) for c, t in zip(cats, tmp)])).alias("e"),
-    )
-    return stacked.select("cluster", F.col("e.category").alias("category"), F.col("e.n").cast("bigint").alias("n"))
+    counts = materialise(joined.groupBy("cluster", "category").agg(F.count(F.lit(1)).alias("n")), "crosstab")
+    names = counts.agg(F.collect_set("cluster").alias("cs"), F.collect_set("category").alias("ks"))
+    pairs = names.select(F.explode("cs").alias("cluster"), "ks").select("cluster", F.explode("ks").alias("category"))
+    return pairs.join(counts, ["cluster", "category"], "left").select("cluster", "category", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def crosstab_wide(ct: DataFrame) -> DataFrame:
@@ -102,9 +87,9 @@ def crosstab_log1p(ct: DataFrame) -> DataFrame:
 
 
 def purity(ct: DataFrame) -> DataFrame:
-    """A4 per cluster: dominant count / cluster total (rounded to 4)."""
+    """A4 per cluster: dominant count / cluster total."""
     per = ct.groupBy("cluster").agg(F.max("n").alias("n_dominant"), F.sum("n").alias("cluster_total"))
-    return per.withColumn("purity", round_half_up(F.col("n_dominant") / F.col("cluster_total"), 4))
+    return per.withColumn("purity", F.col("n_dominant") / F.col("cluster_total"))
 
 
 def dominant_category(ct: DataFrame) -> DataFrame:
@@ -117,7 +102,7 @@ def dominant_category(ct: DataFrame) -> DataFrame:
         F.col("category").alias("dominant_category"),
         F.col("n").alias("sessions_in_cat"),
         F.col("cluster_total").cast("bigint").alias("cluster_total"),
-        round_half_up(F.col("n") * 100.0 / F.col("cluster_total"), 2).alias("purity_pct"),
+        (F.col("n") * 100.0 / F.col("cluster_total")).alias("purity_pct"),
     )
 
 
@@ -126,8 +111,9 @@ def agreement(ct: DataFrame) -> DataFrame:
 
     Pair counts from the long cross-tab (Hubert & Arabie): S = Σn², A = Σ
     cluster², B = Σ category²; tp = S−n, fp = A−S, fn = B−S, tn = n²+S−A−B.
-    Computed in double (the products overflow bigint near n ≈ 150k).
+    Computed in double from the counts on, so that no product overflows.
     """
+    ct = ct.withColumn("n", F.col("n").cast("double"))
     # ct is clusters × categories rows; per-row marginals by window, then one
     # aggregate: Σa² = Σ n·a, Σb² = Σ n·b, Σ max = Σ n over the first row per cluster.
     wa = Window.partitionBy("cluster")
@@ -153,8 +139,8 @@ def agreement(ct: DataFrame) -> DataFrame:
     den = (tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)
     ari = F.when((fn == 0) & (fp == 0), F.lit(1.0)).otherwise(num / den)
     return x.select(
-        round_half_up(F.col("overall"), 4).alias("overall_purity"),
-        round_half_up(ari, 4).alias("ari"),
+        F.col("overall").alias("overall_purity"),
+        ari.alias("ari"),
         F.col("N").cast("bigint").alias("n_sessions"),
     )
 
@@ -182,6 +168,6 @@ def dbscan_summary(labels: DataFrame) -> DataFrame:
     ).select(
         F.col("n_clusters").cast("bigint").alias("n_clusters"),
         "n_noise",
-        round_half_up(F.col("n_noise") * 100.0 / F.col("n_total"), 4).alias("noise_pct"),
+        F.try_divide(F.col("n_noise") * 100.0, F.col("n_total")).alias("noise_pct"),
         (F.col("n_total") - F.col("n_noise")).alias("n_clustered"),
     )

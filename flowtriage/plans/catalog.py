@@ -8,16 +8,19 @@ to 6 places on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowtriage.config import DEFAULTS
 from flowtriage.operators import features as feats
 from flowtriage.operators import mining, prep
 from flowtriage.plans import sql as S
-from flowtriage.runtime import checkpoint
+from flowtriage.runtime import materialise, shared_dir, spread, table_path
 from flowtriage.sources import sessions as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,10 +49,9 @@ def sessions(spark, sf):
 
 
 def featured(spark, sf):
-    """Engineered sessions, written once to the checkpoint folder: every fit
-    below (quantile rounds, modes, moments) re-reads it instead of re-running
-    the source joins."""
-    return checkpoint(feats.engineer_features(sessions(spark, sf)))
+    """Engineered sessions, written once to the shared folder: every fit below
+    (quantile rounds, modes, moments) re-reads the columns it needs."""
+    return materialise(feats.engineer_features(sessions(spark, sf)), "sessions")
 
 
 def fitted(spark, sf):
@@ -70,7 +72,7 @@ def q_load_sessions(spark, sf):
     S.with_base("select session_id, " + ", ".join(S.RATIOS) + " from feat"),
 )
 def q_engineered_features(spark, sf):
-    return featured(spark, sf).select("session_id", *S.RATIOS)
+    return feats.engineer_features(sessions(spark, sf)).select("session_id", *S.RATIOS)
 
 
 @register(
@@ -86,7 +88,7 @@ from feat group by 1"""
     ),
 )
 def q_safe_divide_edges(spark, sf):
-    df = featured(spark, sf)
+    df = feats.engineer_features(sessions(spark, sf))
     case = (
         F.when(F.col("dur").isNull(), "null_divisor")
         .when(F.col("dur") == 0, "zero_divisor")
@@ -143,10 +145,9 @@ def q_standard_scale(spark, sf):
 def q_inverse_scale(spark, sf):
     """T5: x·std + mean of the scaled table recovers the imputed/encoded value."""
     df, m = fitted(spark, sf)
-    back = m.inverse(m.transform(df))
-    orig = m.unscaled(df).select("session_id", *[F.col(c).alias(f"o_{c}") for c in S.FEATURE_ORDER])
-    j = back.join(orig, "session_id")
-    return j.select(
+    names = m.feature_names
+    both = m.with_codes(df).select("session_id", *[m.feature_expr(c).alias(f"o_{c}") for c in names], *[m.scaled_expr(c).alias(c) for c in names])
+    return m.inverse(both).select(
         "session_id",
         *[F.round(F.abs(F.col(c) - F.col(f"o_{c}")), 6).alias(f"{c}_roundtrip_err") for c in S.FEATURE_ORDER],
     )
@@ -211,7 +212,7 @@ def q_tercile_bins(spark, sf):
 
 def _itemsets(spark, sf):
     txn, cols, _ = _txn(spark, sf)
-    return mining.frequent_itemsets(txn, cols, DEFAULTS.min_support)
+    return materialise(mining.frequent_itemsets(txn, cols, DEFAULTS.min_support), "itemsets")
 
 
 _ITS_SQL = S.with_base("," + S.tercile_ctes() + "," + S.itemset_ctes(DEFAULTS.min_support))
@@ -306,7 +307,7 @@ select check_name, violations, violations = 0 as passed from (
 )
 def q_rule_quality(spark, sf):
     return mining.rule_quality_checks(_rules(spark, sf))
-FLAGSHIP = "top_rules_by_lift"
+FLAGSHIP = "triage_queue"
 
 
 # --- stand-ins for model outputs: deterministic segment and score -------
@@ -317,15 +318,14 @@ from flowtriage.operators import triage, validate  # noqa: E402
 
 
 def standin(spark, sf):
-    """One projection of the checkpointed sessions carries everything the
+    """One projection of the written sessions carries everything the
     triage queries need (scaled features, segment, score, noise flag, labels),
     so the views below are column selections of one table — no key joins."""
     df, m = fitted(spark, sf)
-    scaled = {c: m.scale_expr(c, m.feature_expr(c)) for c in m.feature_names}
-    seg = m.code_expr("proto", m.impute_expr("proto")) * 3 + m.code_expr("service", m.impute_expr("service"))
-    w = df.select(
+    seg = F.col("__code_proto") * 3 + F.col("__code_service")
+    w = m.with_codes(df).select(
         "session_id",
-        *[scaled[c].alias(c) for c in S.FEATURE_ORDER],
+        *[m.scaled_expr(c).alias(c) for c in S.FEATURE_ORDER],
         seg.alias("cluster"),
         F.when(F.col("dur").isNull(), -1).otherwise(0).alias("noise_cluster"),
         "label",
@@ -361,7 +361,7 @@ def triaged(spark, sf):
         (F.col("noise_cluster") == -1).cast("int").alias("dbscan_noise"),
         *S.FEATURE_ORDER,
     )
-    scored, _ = triage.contamination_flags(w, DEFAULTS.contamination)
+    scored, _ = triage.contamination_flags(materialise(w, "triaged"), DEFAULTS.contamination)
     return st, scored
 
 
@@ -393,20 +393,26 @@ def sw(body: str) -> str:
     return S.with_base(_STANDIN_SQL + body)
 
 
-RHU = validate.rhu_sql
+def RE(expr: str, digits: int) -> str:
+    """Report rounding (half to even) in DuckDB."""
+    return f"round_even(cast({expr} as double), {digits})"
+
 
+def rounded(df: DataFrame, **digits) -> DataFrame:
+    return df.withColumns({c: validate.round_even(c, d) for c, d in digits.items()})
 
-@register("cluster_distribution", sw(f"select cluster, n, {RHU('pct_raw', 2)} as pct from dist"))
+
+@register("cluster_distribution", sw(f"select cluster, n, {RE('pct_raw', 2)} as pct from dist"))
 def q_cluster_distribution(spark, sf):
-    return validate.cluster_distribution(standin(spark, sf)["clusters"]).select("cluster", "n", "pct")
+    return rounded(validate.cluster_distribution(standin(spark, sf)["clusters"]).select("cluster", "n", "pct"), pct=2)
 
 
 @register(
     "rare_clusters",
-    sw(f"select cluster, n, {RHU('pct_raw', 2)} as pct from dist where share < {DEFAULTS.rare_share!r}"),
+    sw(f"select cluster, n, {RE('pct_raw', 2)} as pct from dist where share < {DEFAULTS.rare_share!r}"),
 )
 def q_rare_clusters(spark, sf):
-    return validate.rare_clusters(standin(spark, sf)["clusters"], DEFAULTS.rare_share).select("cluster", "n", "pct")
+    return rounded(validate.rare_clusters(standin(spark, sf)["clusters"], DEFAULTS.rare_share).select("cluster", "n", "pct"), pct=2)
 
 
 @register(
@@ -429,7 +435,18 @@ def q_crosstab(spark, sf):
     return validate.crosstab_long(st["labelled"])
 
 
-@register("crosstab_wide", sw("select * from (pivot lj on category using count(*) group by cluster)"))
+#: The market segments of the customer table.
+MARKET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@register(
+    "crosstab_wide",
+    sw(
+        "select cluster, "
+        + ", ".join(f"cast(count(*) filter (where category = '{c}') as bigint) as \"{c}\"" for c in MARKET_SEGMENTS)
+        + " from lj group by cluster"
+    ),
+)
 def q_crosstab_wide(spark, sf):
     st = standin(spark, sf)
     return validate.crosstab_wide(validate.crosstab_long(st["labelled"]))
@@ -445,26 +462,26 @@ def q_crosstab_log1p(spark, sf):
 @register(
     "purity",
     sw(f"select cluster, n_dominant, cast(cluster_total as bigint) as cluster_total, "
-       f"{RHU('cast(n_dominant as double) / cluster_total', 4)} as purity from pur"),
+       f"{RE('cast(n_dominant as double) / cluster_total', 4)} as purity from pur"),
 )
 def q_purity(spark, sf):
     st = standin(spark, sf)
     p = validate.purity(validate.crosstab_long(st["labelled"]))
-    return p.select("cluster", "n_dominant", F.col("cluster_total").cast("bigint").alias("cluster_total"), "purity")
+    return rounded(p.select("cluster", "n_dominant", F.col("cluster_total").cast("bigint").alias("cluster_total"), "purity"), purity=4)
 
 
 @register(
     "dominant_category",
     sw(
         "select cluster, category as dominant_category, n as sessions_in_cat, cast(cluster_total as bigint) as cluster_total, "
-        + RHU("n * 100.0 / cluster_total", 2)
+        + RE("n * 100.0 / cluster_total", 2)
         + " as purity_pct from (select *, row_number() over (partition by cluster order by n desc, category) as rk,"
         " sum(n) over (partition by cluster) as cluster_total from ct) where rk = 1"
     ),
 )
 def q_dominant_category(spark, sf):
     st = standin(spark, sf)
-    return validate.dominant_category(validate.crosstab_long(st["labelled"]))
+    return rounded(validate.dominant_category(validate.crosstab_long(st["labelled"])), purity_pct=2)
 
 
 _ARI_SQL = """,
@@ -482,9 +499,9 @@ q as (select S - N as tp, A - S as fp, B - S as fn, N * N + S - A - B as tn, ove
         _STANDIN_SQL
         + _ARI_SQL
         + "select "
-        + RHU("overall", 4)
+        + RE("overall", 4)
         + " as overall_purity, "
-        + RHU(
+        + RE(
             "case when fn = 0 and fp = 0 then 1.0 else 2.0 * (tp * tn - fn * fp)"
             " / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)) end",
             4,
@@ -494,7 +511,7 @@ q as (select S - N as tp, A - S as fp, B - S as fn, N * N + S - A - B as tn, ove
 )
 def q_adjusted_rand(spark, sf):
     st = standin(spark, sf)
-    return validate.agreement(validate.crosstab_long(st["labelled"]))
+    return rounded(validate.agreement(validate.crosstab_long(st["labelled"])), overall_purity=4, ari=4)
 
 
 @register(
@@ -526,29 +543,29 @@ def q_soc_queue(spark, sf):
     "anomaly_by_cluster",
     sw(
         "select km_cluster as cluster, count(*) as sessions_in_cluster, cast(sum(anomaly_flag) as bigint) as if_anomalies, "
-        + RHU("sum(anomaly_flag) * 100.0 / count(*)", 2)
+        + RE("sum(anomaly_flag) * 100.0 / count(*)", 2)
         + " as if_anomaly_rate_pct from tri group by km_cluster"
     ),
 )
 def q_anomaly_by_cluster(spark, sf):
     _, t = triaged(spark, sf)
-    return triage.anomaly_by_cluster(t)
+    return rounded(triage.anomaly_by_cluster(t), if_anomaly_rate_pct=2)
 
 
 @register(
     "dual_flagged",
     sw(
         "select n_sessions, n_anomalies, "
-        + RHU("n_anomalies * 100.0 / n_sessions", 2)
+        + RE("n_anomalies * 100.0 / n_sessions", 2)
         + " as anomaly_pct, dual_flagged, "
-        + RHU("dual_flagged * 100.0 / greatest(n_anomalies, 1)", 1)
+        + RE("dual_flagged * 100.0 / greatest(n_anomalies, 1)", 1)
         + " as dual_pct from (select count(*) as n_sessions, cast(sum(anomaly_flag) as bigint) as n_anomalies,"
         " cast(count(*) filter (where anomaly_flag = 1 and dbscan_noise = 1) as bigint) as dual_flagged from tri)"
     ),
 )
 def q_dual_flagged(spark, sf):
     _, t = triaged(spark, sf)
-    return triage.anomaly_totals(t)
+    return rounded(triage.anomaly_totals(t), anomaly_pct=2, dual_pct=1)
 
 
 _VOTES_SQL = (
@@ -603,20 +620,22 @@ def q_score_histogram(spark, sf):
     return h.select("anomaly_flag", "bin", r6("bin_lo"), "n", r6("density"))
 
 
-_RISK_VALUES = ", ".join(f"({c}, '{t}', '{s}')" for c, t, s in triage.RISK_TABLE)
+#: The caller's table of this query.
+RISK_ROWS = [(3, "HIGH RISK", "Scanning"), (6, "CRITICAL RISK", "Large uploads"), (9, "HIGH RISK", "Regular beacons")]
 
 
 @register(
     "risk_annotation",
     sw(
-        f", risk(cluster, tier, subtitle) as (values {_RISK_VALUES})\n"
+        ", risk(cluster, tier, subtitle) as (values (3, 'HIGH RISK', 'Scanning'),"
+        " (6, 'CRITICAL RISK', 'Large uploads'), (9, 'HIGH RISK', 'Regular beacons'))\n"
         "select d.cluster, d.n as sessions, coalesce(r.tier, 'ELEVATED RISK') as tier,"
         " coalesce(r.subtitle, 'Anomalous Cluster ' || cast(d.cluster as varchar)) as subtitle"
         " from dist d left join risk r on r.cluster = d.cluster"
     ),
 )
 def q_risk_annotation(spark, sf):
-    return triage.risk_annotation(spark, standin(spark, sf)["clusters"])
+    return triage.risk_annotation(spark, standin(spark, sf)["clusters"], RISK_ROWS)
 
 
 # --- C5, A10 on the customer profile (3-d points) ---------------------------------
@@ -662,12 +681,12 @@ def q_dbscan(spark, sf):
         _dbscan_sql(PROFILE_EPS, DEFAULTS.dbscan_min_samples)
         + "select cast(count(distinct cluster) filter (where cluster >= 0) as bigint) as n_clusters,"
         " cast(count(*) filter (where cluster = -1) as bigint) as n_noise, "
-        + validate.rhu_sql("count(*) filter (where cluster = -1) * 100.0 / count(*)", 4)
+        + RE("count(*) filter (where cluster = -1) * 100.0 / count(*)", 4)
         + " as noise_pct, count(*) - count(*) filter (where cluster = -1) as n_clustered from db"
     ),
 )
 def q_dbscan_summary(spark, sf):
-    return validate.dbscan_summary(_profile_dbscan(spark, sf))
+    return rounded(validate.dbscan_summary(_profile_dbscan(spark, sf)), noise_pct=4)
 
 
 # --- C1–C4, W1–W3, F12 ------------------------------------------------------------
@@ -698,14 +717,14 @@ def q_kmeans_assign(spark, sf):
     """C2 with fixed centroids (the per-label means of the embeddings)."""
     e = src.embeddings(spark, sf)
     _, C = segment.vector_centroids(e, "embedding", "label")
-    return e.select("vec_id", segment.assign_vectors_expr(C, "embedding").alias("cluster"))
+    return e.select("vec_id", segment.assign_expr(C, "embedding").alias("cluster"))
 
 
 @register("kmeans_search")
 def q_kmeans_search(spark, sf):
     """C1 + C3 + C4 + W3 on the scaled session features (randomised → rows only)."""
     df, m = fitted(spark, sf)
-    x = checkpoint(m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id"))
+    x = spread(m.transform(df), "session_id", "features")
     res = segment.kmeans_search(x, m.feature_names)
     return res["scores"].withColumn("selected", F.col("k") == F.lit(res["best_k"]))
 
@@ -739,15 +758,10 @@ def _emb_k_scores(spark, sf):
     """Silhouette of 'nearest of the first K label centroids' for K = 2..10 (C2 + C3)."""
     e = src.embeddings(spark, sf)
     _, C = segment.vector_centroids(e, "embedding", "label")
-    dim = C.shape[1]
-    cols = [f"e{i}" for i in range(dim)]
     sample = segment.silhouette_sample(e.select("vec_id", "embedding"), "vec_id", DEFAULTS.silhouette_sample, DEFAULTS.seed)
+    wide, cols = segment.vector_columns(sample, "embedding")
     ks = [k for k in range(DEFAULTS.k_min, DEFAULTS.k_max + 1) if k <= C.shape[0]]
-    labelled = sample.select(
-        "vec_id",
-        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)],
-        *[segment.assign_vectors_expr(C[:k], "embedding").alias(f"k{k}") for k in ks],
-    )
+    labelled = wide.select("vec_id", *cols, *[segment.assign_expr(C[:k], "embedding").alias(f"k{k}") for k in ks])
     sil = segment.silhouette_scores(labelled, cols, [f"k{k}" for k in ks], key="vec_id")
     return spark.createDataFrame([(k, round(sil[f"k{k}"], 4)) for k in ks], "k int, silhouette double")
 
@@ -913,9 +927,9 @@ from flowtriage.operators import iforest  # noqa: E402
 
 def _forest_scores(spark, sf):
     df, m = fitted(spark, sf)
-    x = checkpoint(m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id"))
+    x = spread(m.transform(df), "session_id", "features")
     forest = iforest.fit_isolation_forest(x, m.feature_names, DEFAULTS.n_trees, seed=DEFAULTS.seed)
-    raw = iforest.score(x, forest)
+    raw = materialise(iforest.score(x, forest), "scores")
     scored, _ = triage.contamination_flags(raw, DEFAULTS.contamination)
     return x, scored
 
@@ -995,9 +1009,9 @@ def q_rules_export(spark, sf):
 def _segment_rules(spark, sf):
     st = standin(spark, sf)
     m = st["model"]
-    seg = m.code_expr("proto", m.impute_expr("proto")) * 3 + m.code_expr("service", m.impute_expr("service"))
-    txn, cols, _ = mining.build_transactions(st["df"].withColumn("cluster", seg), keep=["cluster"])
-    its = mining.frequent_itemsets(txn, cols, DEFAULTS.min_support, segment_col="cluster")
+    seg = F.col("__code_proto") * 3 + F.col("__code_service")
+    txn, cols, _ = mining.build_transactions(m.with_codes(st["df"]).withColumn("cluster", seg), keep=["cluster"])
+    its = materialise(mining.frequent_itemsets(txn, cols, DEFAULTS.min_support, segment_col="cluster"), "segment-itemsets")
     return st, mining.association_rules(its, DEFAULTS.min_confidence, segment_col="cluster")
 
 
@@ -1062,29 +1076,29 @@ from flowtriage.plans import report  # noqa: E402
     S.with_base(
         _STANDIN_SQL
         + _dbscan_sql(PROFILE_EPS, DEFAULTS.dbscan_min_samples)
-        + _SIL_SQL
+        + _KSIL_SQL
         + f"""
 select 'dataset' as section, 'feature_count' as name, cast({len(S.FEATURE_ORDER)} as double) as value
-union all select 'kmeans', 'best_k', cast(5 as double)
+union all select 'kmeans', 'best_k', cast((select k from ksil order by silhouette desc, k limit 1) as double)
 union all select 'dbscan', 'eps', cast({PROFILE_EPS!r} as double)
 union all select 'dbscan', 'min_samples', cast({DEFAULTS.dbscan_min_samples} as double)
 union all select 'dataset', 'total_records', cast(count(*) as double) from clusters
-union all select 'silhouette', 'k=5', round(s, 4) from sil
+union all select 'silhouette', 'k=' || cast(k as varchar), silhouette from ksil
 union all select 'cluster_size', 'cluster_' || cast(cluster as varchar), cast(n as double) from dist
-union all select 'cluster_pct', 'cluster_' || cast(cluster as varchar), {RHU('pct_raw', 2)} from dist
+union all select 'cluster_pct', 'cluster_' || cast(cluster as varchar), {RE('pct_raw', 2)} from dist
 union all select 'rare_cluster', 'cluster_' || cast(cluster as varchar), 1.0 from dist where share < {DEFAULTS.rare_share!r}
 union all select 'dbscan', 'n_clusters', cast(count(distinct cluster) filter (where cluster >= 0) as double) from db
 union all select 'dbscan', 'n_noise', cast(count(*) filter (where cluster = -1) as double) from db
-union all select 'dbscan', 'noise_pct', {RHU('count(*) filter (where cluster = -1) * 100.0 / count(*)', 4)} from db
+union all select 'dbscan', 'noise_pct', {RE('count(*) filter (where cluster = -1) * 100.0 / count(*)', 4)} from db
 """
     ),
 )
 def q_run_report(spark, sf):
     st = standin(spark, sf)
-    sil = q_silhouette_exact(spark, sf).first()[0]
-    scores = spark.createDataFrame([(5, sil)], "k int, silhouette double")
+    scores = _emb_k_scores(spark, sf)
+    best = segment.best_k(scores).first()["k"]
     return report.run_metrics(
-        spark, st["clusters"], _profile_dbscan(spark, sf), scores, 5, len(S.FEATURE_ORDER), PROFILE_EPS,
+        spark, st["clusters"], _profile_dbscan(spark, sf), scores, best, len(S.FEATURE_ORDER), PROFILE_EPS,
         DEFAULTS.dbscan_min_samples, DEFAULTS.rare_share,
     )
 
@@ -1128,13 +1142,157 @@ def q_triage_join(spark, sf):
     return t.select("session_id", r6("anomaly_score"), "anomaly_flag", "km_cluster", "dbscan_noise")
 
 
+@register(
+    "eps_neighbours",
+    S.with_base(
+        f"""select a.customer_id, count(*) as n from profile a join profile b
+on {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in PROFILE_COLS)} <= {PROFILE_EPS * PROFILE_EPS!r} group by a.customer_id"""
+    ),
+)
+def q_eps_neighbours(spark, sf):
+    """Customers within eps of each customer of the profile, itself included."""
+    return density.neighbour_counts(src.customer_profile(spark, sf), PROFILE_COLS, PROFILE_EPS, "customer_id")
+
+
+def _session_density(spark, sf):
+    """C5 with the reference defaults (eps 1.5, min_samples 10) on the scaled session features, rounded to 6 places
+    so that every engine measures the same distances."""
+    df, m = fitted(spark, sf)
+    x = spread(m.transform(df), "session_id", "features")
+    rounded_x = x.select("session_id", *[r6(c) for c in m.feature_names])
+    return density.dbscan(rounded_x, m.feature_names, DEFAULTS.dbscan_eps, DEFAULTS.dbscan_min_samples)
+
+
 @register("dbscan_sessions")
 def q_dbscan_sessions(spark, sf):
-    """C5 with the reference defaults (eps 1.5, min_samples 10) on the scaled session features.
+    """Cluster of every session; ``dbscan_sessions_noise`` checks the noise set against DuckDB, ``dbscan`` the clusters."""
+    return _session_density(spark, sf)
+
+
+_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in S.FEATURE_ORDER)
+
+
+@register(
+    "dbscan_sessions_noise",
+    S.with_base(
+        f""",
+z as (select {", ".join(f"round({c}, 6) as {c}" for c in S.FEATURE_ORDER)}, session_id from scaled),
+u as (select {", ".join(S.FEATURE_ORDER)}, count(*) as w, min(session_id) as id from z group by all),
+near as (select a.id as i, b.id as j, b.w as w from u a join u b on {_D2} <= {DEFAULTS.dbscan_eps**2!r}),
+core as (select i from near group by i having sum(w) >= {DEFAULTS.dbscan_min_samples}),
+reached as (select distinct near.i from near join core on core.i = near.j)
+select z.session_id, r.i is null as is_noise from z
+join u on {" and ".join(f"z.{c} = u.{c}" for c in S.FEATURE_ORDER)} left join reached r on r.i = u.id"""
+    ),
+)
+def q_dbscan_sessions_noise(spark, sf):
+    return _session_density(spark, sf).select("session_id", (F.col("cluster") == -1).alias("is_noise"))
+
+
+@register(
+    "rules_on_imputed",
+    S.with_base("," + S.tercile_ctes("imp") + "," + S.itemset_ctes(DEFAULTS.min_support) + "," + S.rules_ctes(DEFAULTS.min_confidence))
+    + "select antecedent, consequent, " + S.round6(["support", "confidence", "lift"]) + " from rules",
+)
+def q_rules_on_imputed(spark, sf):
+    """M8 as the run does it: rules mined on the imputed frame."""
+    df, m = fitted(spark, sf)
+    _, rules = mining.mine_rules(m.impute(df), DEFAULTS.min_support, DEFAULTS.min_confidence)
+    return _rule_out(rules)
+
+
+@register("session_csv", S.with_base("select " + "session_id, dur, proto, service, state, spkts, dpkts, sbytes, dbytes, label, attack_cat from sessions"))
+def q_session_csv(spark, sf):
+    """The session view written as headered CSV with its columns in another order, and loaded by name."""
+    s = sessions(spark, sf).withColumnRenamed("session_id", "id")
+    path = f"{shared_dir(spark)}/session-csv-{uuid.uuid4().hex}"
+    s.select(*sorted(s.columns, reverse=True)).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField(c, s.schema[c].dataType) for c in s.columns])
+    return src.load_sessions(spark, path, schema=schema)
+
+
+@register(
+    "encode_many_values",
+    "select o_orderkey, cast(dense_rank() over (order by c_name) - 1 as integer) as c_name,"
+    " cast(dense_rank() over (order by cast(o_orderdate as varchar)) - 1 as integer) as o_day"
+    " from orders join customer on c_custkey = o_custkey",
+)
+def q_encode_many_values(spark, sf):
+    """T3 over text columns with thousands of values."""
+    o = spark.read.parquet(table_path(sf, "orders")).select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("string").alias("o_day"))
+    c = spark.read.parquet(table_path(sf, "customer")).select("c_custkey", "c_name")
+    df = materialise(o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_name", "o_day"), "orders")
+    return prep.fit_preprocessor(df, key="o_orderkey", label_cols=()).encode(df)
+
+
+_GAPS = "case when o_orderkey % 7 = 0 then null when o_orderkey % 5 = 0 then cast('nan' as double) else o_totalprice end"
+
+
+@register(
+    "scale_with_nan",
+    f"""with g as (select o_orderkey, {_GAPS} as price from orders),
+i as (select o_orderkey, case when price is null or isnan(price) then (select median(price) from g where not isnan(price)) else price end as price from g)
+select o_orderkey, round((price - (select avg(price) from i)) / (select stddev_pop(price) from i), 6) as price from i""",
+)
+def q_scale_with_nan(spark, sf):
+    """T1 + T4 where NaN is missing as null is."""
+    price = F.when(F.col("o_orderkey") % 7 == 0, None).when(F.col("o_orderkey") % 5 == 0, float("nan")).otherwise(F.col("o_totalprice"))
+    df = spark.read.parquet(table_path(sf, "orders")).select("o_orderkey", price.cast("double").alias("price"))
+    m = prep.fit_preprocessor(df, key="o_orderkey", label_cols=())
+    return m.transform(df).select("o_orderkey", r6("price"))
+
 
-    Exact, but all-pairs at this eps (see README), so it has no SQL oracle;
-    ``dbscan`` checks the same operator against DuckDB on the customer profile.
-    """
+# --- C1, I2 from fixed parameters ------------------------------------------------------
+
+
+@register(
+    "lloyd_step",
+    S.with_base(
+        f""",
+z as (select session_id, {", ".join(f"round({c}, 6) as {c}" for c in S.FEATURE_ORDER)} from scaled),
+cen as (select row_number() over (order by session_id) - 1 as k, * from (select * from z order by session_id limit 4)),
+d as (select a.session_id, b.k, {_D2} as d2, row_number() over (partition by a.session_id order by {_D2}, b.k) as rn from z a cross join cen b)
+select cast(d.k as integer) as cluster, count(*) as n, round(sum(d2), 3) as inertia, {", ".join(f"round(avg(z.{c}), 6) as {c}" for c in S.FEATURE_ORDER)}
+from d join z on z.session_id = d.session_id where rn = 1 group by d.k"""
+    ),
+)
+def q_lloyd_step(spark, sf):
+    """One pass of the K-Means fit from fixed centres (the four smallest sessions)."""
+    df, m = fitted(spark, sf)
+    names = m.feature_names
+    x = materialise(m.transform(df).select("session_id", *[r6(c) for c in names]), "features")
+    first = x.orderBy("session_id").limit(4).toPandas()
+    sums, n, inertia = segment.lloyd_pass(x, names, {0: first[names].to_numpy(dtype=float)})[0]
+    rows = [(k, int(n[k]), float(inertia[k]), *[float(v / n[k]) for v in sums[k]]) for k in range(4) if n[k]]
+    out = spark.createDataFrame(rows, "cluster int, n bigint, inertia double, " + ", ".join(f"{c} double" for c in names))
+    return out.select("cluster", "n", F.round("inertia", 3).alias("inertia"), *[r6(c) for c in S.FEATURE_ORDER])
+
+
+#: A fixed forest: (tree, node, feature, threshold, left, right, size).
+FIXED_FOREST = [
+    (0, 0, 0, 0.25, 1, 2, 8), (0, 1, -1, 0.0, -1, -1, 3), (0, 2, 4, -0.5, 3, 4, 5), (0, 3, -1, 0.0, -1, -1, 1), (0, 4, -1, 0.0, -1, -1, 4),
+    (1, 0, 6, 0.1, 1, 2, 8), (1, 1, -1, 0.0, -1, -1, 6), (1, 2, -1, 0.0, -1, -1, 2),
+    (2, 0, 1, 0.0, 1, 2, 8), (2, 1, 8, 0.4, 3, 4, 5), (2, 2, -1, 0.0, -1, -1, 3), (2, 3, -1, 0.0, -1, -1, 4), (2, 4, -1, 0.0, -1, -1, 1),
+]
+_C = "2 * (ln({n} - 1.0) + 0.5772156649) - 2 * ({n} - 1.0) / {n}"
+
+
+@register(
+    "forest_scores",
+    S.with_base(
+        f""",
+z as (select session_id, {", ".join(f"round({c}, 6) as {c}" for c in S.FEATURE_ORDER)} from scaled),
+h as (select session_id,
+  case when {S.FEATURE_ORDER[0]} <= 0.25 then 1 + {_C.format(n="3")} when {S.FEATURE_ORDER[4]} <= -0.5 then 2 else 2 + {_C.format(n="4")} end
+  + case when {S.FEATURE_ORDER[6]} <= 0.1 then 1 + {_C.format(n="6")} else 1 + 1 end
+  + case when {S.FEATURE_ORDER[1]} > 0 then 1 + {_C.format(n="3")} when {S.FEATURE_ORDER[8]} <= 0.4 then 2 + {_C.format(n="4")} else 2 end as path from z)
+select session_id, round(-pow(2, -(path / 3) / ({_C.format(n="8")})), 9) as anomaly_score from h"""
+    ),
+)
+def q_forest_scores(spark, sf):
+    """Scores of a fixed three-tree forest of sample size 8."""
     df, m = fitted(spark, sf)
-    x = checkpoint(m.transform(df).repartition(spark.sparkContext.defaultParallelism, "session_id"))
-    return density.dbscan(x, m.feature_names, DEFAULTS.dbscan_eps, DEFAULTS.dbscan_min_samples)
+    x = m.transform(df).select("session_id", *[r6(c) for c in m.feature_names])
+    nodes = pd.DataFrame(FIXED_FOREST, columns=["tree", "node", "feature", "threshold", "left", "right", "size"])
+    raw = iforest.score(x, iforest.Forest(list(S.FEATURE_ORDER), 8, 3, nodes))
+    return raw.select("session_id", F.round("anomaly_score", 9).alias("anomaly_score"))

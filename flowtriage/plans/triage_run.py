@@ -5,9 +5,9 @@ load → features (F6) → preprocess (T6) → K search (C4) → segment stats
 label validation (A7) → Isolation Forest (I1–I3) → queue and summaries
 (W4, A8, A9, I4) → reports (S2–S8).
 
-The scaled feature table is written once to the shared checkpoint folder
-(``checkpoint()``), so the iterative stages re-read it instead of
-recomputing the source joins, and a lost executor costs a re-read, not a
+The engineered sessions, the scaled features, labels, itemsets and scores are
+each written once to the shared folder, so the source tables are read once, the
+iterative stages re-read Parquet, and a lost executor costs a re-read, not a
 recomputation.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from flowtriage.config import DEFAULTS, Defaults
 from flowtriage.operators import density, features, iforest, mining, prep, rules_view, segment, triage, validate
 from flowtriage.plans import report
-from flowtriage.runtime import checkpoint
+from flowtriage.runtime import materialise, spread
 
 KEY = "session_id"
 
@@ -32,20 +32,22 @@ def run_triage(
     out_dir: str | None = None,
     p: Defaults = DEFAULTS,
     feature_cols: list | None = None,
-    partitions: int | None = None,
+    engineered: bool = True,
 ) -> dict:
-    """Run every stage; returns the result DataFrames (lazy where possible)."""
-    parts = partitions or spark.sparkContext.defaultParallelism
-    feat = features.engineer_features(sessions)
+    """Run every stage; returns the result DataFrames (lazy where possible).
+
+    ``engineered`` switches the ratio features (F6) on or off.
+    """
+    feat = materialise(features.engineer_features(sessions, engineered), "sessions")
     model = prep.fit_preprocessor(feat, KEY, p.label_cols, feature_cols)
     names = model.feature_names
-    x = checkpoint(model.transform(feat).repartition(parts, KEY))
+    x = spread(model.transform(feat), KEY, "features")
     _, labels = model.split_labels(feat)
 
     search = segment.kmeans_search(
         x, names, range(p.k_min, p.k_max + 1), p.kmeans_n_init, p.silhouette_sample, p.seed, KEY
     )
-    clusters = checkpoint(search["labels"])
+    clusters = materialise(search["labels"], "segments")
     dist = validate.cluster_distribution(clusters)
     centroids = search["model"].centers_df(spark, names)
     top_feats = segment.centroid_top_features(centroids, p.top_features_n)
@@ -55,20 +57,21 @@ def run_triage(
         p.scatter_x in names and p.scatter_y in names
     ) else None
 
-    db = checkpoint(density.dbscan(x, names, p.dbscan_eps, p.dbscan_min_samples, KEY))
+    db = materialise(density.dbscan(x, names, p.dbscan_eps, p.dbscan_min_samples, KEY), "density")
     db_summary = validate.dbscan_summary(db)
 
     imputed = model.impute(feat)
     itemsets, rules = mining.mine_rules(imputed, p.min_support, p.min_confidence, KEY)
+    rules = materialise(rules, "rules")
     top_rules = mining.top_rules_by_lift(rules, p.rules_top_n)
     quality = mining.rule_quality_checks(rules, p.label_cols)
 
     evaluation = validate.evaluate_against_labels(clusters, labels)
 
     forest = iforest.fit_isolation_forest(x, names, p.n_trees, seed=p.seed, key=KEY)
-    raw = iforest.score(x, forest, KEY)
+    raw = materialise(iforest.score(x, forest, KEY), "scores")
     scored, offset = triage.contamination_flags(raw, p.contamination)
-    tri = checkpoint(triage.attach(scored, clusters, db))
+    tri = materialise(triage.attach(scored, clusters, db), "triage")
     queue = triage.soc_queue(tri, x, p.queue_top_n)
     by_cluster = triage.anomaly_by_cluster(tri)
     totals = triage.anomaly_totals(tri)
@@ -118,9 +121,10 @@ def write_outputs(spark: SparkSession, r: dict, out_dir: str) -> None:
     j = lambda name: os.path.join(out_dir, name)
     rules_view.save_rules(r["rules"], j("association_rules"))
     report.write_table(validate.crosstab_wide(r["crosstab"]), j("label_crosstab"), sort=["cluster"], single_file=True)
-    report.write_table(r["dominant"], j("dominant_category_per_cluster"), sort=["cluster"], single_file=True)
+    pct = lambda df, c: df.withColumn(c, validate.round_even(c, 2))
+    report.write_table(pct(r["dominant"], "purity_pct"), j("dominant_category_per_cluster"), sort=["cluster"], single_file=True)
     report.write_table(r["queue"], j("if_soc_queue"), sort=["rank"], single_file=True)
-    report.write_table(r["anomaly_by_cluster"], j("if_cluster_summary"), sort=["cluster"], single_file=True)
+    report.write_table(pct(r["anomaly_by_cluster"], "if_anomaly_rate_pct"), j("if_cluster_summary"), sort=["cluster"], single_file=True)
     report.write_table(r["cluster_summary"], j("cluster_summary"), sort=["cluster"], single_file=True)
     report.write_report(spark, r["metrics"], j("summary"))
     report.write_table(r["scores"], j("scores"), fmt="parquet")

@@ -1,16 +1,16 @@
-"""Session, checkpoint and broadcast helpers shared by all operators."""
+"""Session and shared-folder helpers used by all operators."""
 
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
-
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "flowtriage") -> SparkSession:
-    """SparkSession for tests / bench on one machine (UI off, AQE on, UTC)."""
+def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "flowtriage", shared: str | None = None) -> SparkSession:
+    """SparkSession for tests / bench on one machine (UI off, AQE on, UTC); ``shared`` becomes spark.checkpoint.dir."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -24,38 +24,65 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "flowt
         .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the setting is absent (tests), it lies in the warehouse folder, which
+    a Spark application shares with its executors as well.
+    """
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not conf:
+        conf = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return f"{conf.rstrip('/')}/flowtriage-{spark.sparkContext.applicationId}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and read it back.
+
+    Cuts the lineage, survives lost executors, keeps column pruning and filter
+    push-down for later reads, and gives Catalyst the table's true size, so a
+    broadcast is chosen only when the table is really small.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``materialise`` in ``spark.sql.shuffle.partitions`` parts, the session's measure of its tables, for passes that are
+    bound by computing rather than by reading."""
+    return materialise(df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key), name)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything that ``materialise`` wrote for this application."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def dense_rank(df: DataFrame, group: list, value: str, out: str, name: str = "ranks") -> DataFrame:
+    """``df`` (non-null, distinct group + value) with ``out``, the 0-based rank of ``value`` in its group.
 
-    On a cluster this must be set by the operator to a shared file system.
-    Only in local mode (tests) do we create one when it is unset.
+    No global window: rows are range-partitioned and written once; each partition
+    ranks its own and adds the counts of the partitions before it.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; iterative operators (DBSCAN components, "
-                "k-means) cut lineage with checkpoint() and need a shared folder"
-            )
-        configured = tempfile.mkdtemp(prefix="flowtriage-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    keys = group or ["__all"]
+    d = df if group else df.withColumn("__all", F.lit(0))
+    d = materialise(d.repartitionByRange(*[F.col(k) for k in keys], F.col(value)).withColumn("__p", F.spark_partition_id()), name)
+    counts = d.groupBy(*keys, "__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*keys, "__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    own = F.row_number().over(Window.partitionBy(*keys, "__p").orderBy(value)) - 1
+    d = d.withColumn("__own", own).join(counts, [*keys, "__p"])
+    return d.withColumn(out, (F.col("__off") + F.col("__own")).cast("long")).drop("__p", "__off", "__own", "__all")
 
 
 def table_path(sf_dir: str, name: str) -> str:

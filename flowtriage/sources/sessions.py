@@ -17,22 +17,21 @@ from flowtriage.runtime import table_path
 
 KEY = "session_id"
 
-# Declared schema of a reference-style session CSV (45 columns + key = `id`).
+# The columns of the session files, by type.
+_TEXT = ["proto", "service", "state", "attack_cat"]
+_DOUBLE = ["dur", "rate", "sload", "dload", "sinpkt", "dinpkt", "sjit", "djit", "tcprtt", "synack", "ackdat"]
 _BIGINT = [
     "spkts", "dpkts", "sbytes", "dbytes", "sttl", "dttl", "sloss", "dloss", "swin", "stcpb",
     "dtcpb", "dwin", "smean", "dmean", "trans_depth", "response_body_len", "ct_srv_src",
     "ct_state_ttl", "ct_dst_ltm", "ct_src_dport_ltm", "ct_dst_sport_ltm", "ct_dst_src_ltm",
     "is_ftp_login", "ct_ftp_cmd", "ct_flw_http_mthd", "ct_src_ltm", "ct_srv_dst", "is_sm_ips_ports",
 ]
-_DOUBLE = ["rate", "sload", "dload", "sinpkt", "dinpkt", "sjit", "djit", "tcprtt", "synack", "ackdat"]
 SESSION_CSV_SCHEMA = T.StructType(
-    [T.StructField("id", T.LongType()), T.StructField("dur", T.DoubleType())]
-    + [T.StructField(c, T.StringType()) for c in ("proto", "service", "state")]
-    + [T.StructField(c, T.LongType()) for c in _BIGINT[:4]]
-    + [T.StructField("rate", T.DoubleType())]
-    + [T.StructField(c, T.LongType()) for c in _BIGINT[4:]]
-    + [T.StructField(c, T.DoubleType()) for c in _DOUBLE[1:]]
-    + [T.StructField("attack_cat", T.StringType()), T.StructField("label", T.IntegerType())]
+    [T.StructField("id", T.LongType())]
+    + [T.StructField(c, T.StringType()) for c in _TEXT]
+    + [T.StructField(c, T.DoubleType()) for c in _DOUBLE]
+    + [T.StructField(c, T.LongType()) for c in _BIGINT]
+    + [T.StructField("label", T.IntegerType())]
 )
 
 
@@ -48,18 +47,42 @@ def load_sessions(
     fmt: str = "csv",
     schema: T.StructType | None = None,
     key: str = "id",
+    malformed: str = "error",
 ) -> DataFrame:
-    """Read a session table; the key column is exposed as ``session_id``."""
-    if fmt == "csv":
-        reader = spark.read.option("header", True)
-        reader = reader.schema(schema or SESSION_CSV_SCHEMA)
-        df = reader.csv(path)
-    else:
+    """Read a session table by column name; the key column is exposed as ``session_id``.
+
+    Columns may stand in any order and extra ones are ignored; a missing one is
+    an error.  A CSV value that is not of its column's type, or a row with
+    more fields than the header, is ``malformed``: ``"error"`` raises when the
+    row is read, ``"null"`` keeps the row with null, ``"drop"`` drops the row.
+    """
+    if malformed not in ("error", "null", "drop"):
+        raise ValueError(f"malformed must be error, null or drop, not {malformed!r}")
+    wanted = schema or SESSION_CSV_SCHEMA
+    if fmt != "csv":
         df = spark.read.format(fmt).load(path)
+        require_columns(df, [f.name for f in wanted.fields] if schema is not None else [key], "load_sessions")
         if schema is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    require_columns(df, [key], "load_sessions")
-    return df.withColumnRenamed(key, KEY) if key != KEY else df
+        return df.withColumnRenamed(key, KEY) if key != KEY else df
+    header = spark.read.option("header", True).csv(path)  # names only; every field as text
+    require_columns(header, [f.name for f in wanted.fields], "load_sessions")
+    rest = "__surplus"
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header.columns] + [T.StructField(rest, T.StringType())])
+    raw = spark.read.schema(text).option("header", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", rest).csv(path)
+    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in wanted.fields}
+    bad = F.col(rest).isNotNull()
+    for f in wanted.fields:
+        bad = bad | (F.col(f.name).isNotNull() & casts[f.name].isNull())
+    if malformed == "drop":
+        raw = raw.where(~bad)
+    out = raw.select(*[c.alias(n) for n, c in casts.items()], bad.alias("__bad"))
+    if malformed == "error":
+        first = out.columns[0]
+        checked = F.when(F.col("__bad"), F.raise_error(F.lit("malformed session row")).cast(wanted.fields[0].dataType)).otherwise(F.col(first))
+        out = out.withColumn(first, checked)
+    out = out.drop("__bad")
+    return out.withColumnRenamed(key, KEY) if key != KEY else out
 
 
 def derive_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,14 +3,13 @@
 Every fitted operator here is a per-row projection (T6 scaling, C2 nearest
 centre, I2 forest path lengths via ``mapInPandas``, I3 fixed threshold), so
 the same DataFrame code runs unchanged on a Structured Streaming source.
-No state is kept between micro-batches; the sink's checkpoint location
-(under the shared ``spark.checkpoint.dir`` by default) gives exactly-once
-file output across restarts.
+No state is kept between micro-batches.  The caller names a checkpoint location
+that is the query's own and stays the same across restarts; with it the file
+sink's output is exactly-once.
 """
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +19,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowtriage.operators import features, iforest, segment
 from flowtriage.operators.prep import PrepModel
-from flowtriage.runtime import ensure_checkpoint_dir
 
 
 @dataclass
@@ -49,13 +47,12 @@ def start_scoring(
     stream: DataFrame,
     m: FittedTriage,
     sink_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     key: str = "session_id",
     trigger_seconds: int | None = None,
 ) -> StreamingQuery:
     """Continuously append scored sessions to a Parquet sink."""
-    loc = checkpoint_location or os.path.join(ensure_checkpoint_dir(stream.sparkSession), "scoring-stream")
-    w = score_sessions(stream, m, key).writeStream.format("parquet").option("checkpointLocation", loc).outputMode("append")
+    w = score_sessions(stream, m, key).writeStream.format("parquet").option("checkpointLocation", checkpoint_location).outputMode("append")
     if trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")
     return w.start(sink_path)
