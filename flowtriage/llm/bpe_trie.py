@@ -39,8 +39,8 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-CACHE_PIECES = 400_000
-SLICE_CHARS = 2_000_000
+CACHE_PIECES = 300_000
+SLICE_CHARS = 1_000_000
 SPACES = re.compile(r" \s|\s ")
 
 
@@ -83,11 +83,12 @@ class TrieEncoder:
                 self.made[whole] = (r, left, right)
         added = set(self.added.values())
         self.id_of = {t: i for i, t in enumerate(self.tokens) if t and i not in added and (len(t) == 1 or self.made[i][0] >= 0)}
+        self.size = [len(t) for t in self.tokens]
         self.longest = [1] * 256
         for t in self.id_of:
             self.longest[t[-1]] = max(self.longest[t[-1]], len(t))
-        self.stable = lru_cache(maxsize=500_000)(self._stable)
-        self.whole = lru_cache(maxsize=100_000)(self._whole)
+        self.stable = lru_cache(maxsize=150_000)(self._stable)
+        self.whole = lru_cache(maxsize=50_000)(self._whole)
 
     def _whole(self, token: int) -> bool:
         """Whether the token's bytes encode to the token alone."""
@@ -118,7 +119,7 @@ class TrieEncoder:
     def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
         out = {}
-        id_of, longest, stable, tokens = self.id_of, self.longest, self.stable, self.tokens
+        get, longest, stable, size = self.id_of.get, self.longest, self.stable, self.size
         path: list[int] = [-1]  # state by depth
         prior = b""
         for word in sorted(words):
@@ -127,8 +128,26 @@ class TrieEncoder:
                 same += 1
             del path[same + 1 :]
             for end in range(same + 1, len(word) + 1):
-                for start in range(max(0, end - longest[word[end - 1]]), end):
-                    t = id_of.get(word[start:end])
+                # exactly one token can end here, so the likely ones are tried first: the last token
+                # grown by a byte, the byte alone, two bytes
+                long = end - 1
+                t = path[long]
+                if t >= 0:
+                    grown = long - size[t]
+                    t = get(word[grown:end])
+                    if t is not None and (stable(path[grown], t) if grown else self.whole(t)):
+                        path.append(t)
+                        continue
+                    t = get(word[long:end])
+                    if stable(path[long], t):
+                        path.append(t)
+                        continue
+                    t = get(word[long - 1 : end])
+                    if t is not None and long > 1 and stable(path[long - 1], t):
+                        path.append(t)
+                        continue
+                for start in range(max(0, end - longest[word[long]]), end):
+                    t = get(word[start:end])
                     if t is not None and (stable(path[start], t) if start else self.whole(t)):
                         path.append(t)
                         break
@@ -139,7 +158,7 @@ class TrieEncoder:
             while at:
                 t = path[at]
                 ids.append(t)
-                at -= len(tokens[t])
+                at -= size[t]
             ids.reverse()
             out[word] = array("I", ids).tobytes()
         return out
@@ -166,9 +185,13 @@ class TextEncoder:
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
             new = pieces
-        words = {p: [w.encode() for w in self.find(p)] for p in new}
-        ids = self.trie.encode_words({w for ws in words.values() for w in ws})
-        for p, ws in words.items():
+        # a space and letters are one match of the pattern
+        plain = {p: p.encode() for p in new if p[1:].isalpha() and p[0] == " "}
+        mixed = {p: [w.encode() for w in self.find(p)] for p in new if p not in plain}
+        ids = self.trie.encode_words({w for ws in mixed.values() for w in ws}.union(plain.values()))
+        for p, w in plain.items():
+            self.cache[p] = ids[w]
+        for p, ws in mixed.items():
             self.cache[p] = b"".join([ids[w] for w in ws])
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -194,18 +217,32 @@ def slices(texts, limit: int = SLICE_CHARS):
         yield run
 
 
-def encode(docs: DataFrame, vocab_path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with ``out``: the ids of ``text`` as a binary of little-endian unsigned 32-bit integers."""
+def _texts(tokens: list[bytes], ids) -> list[str]:
+    get = tokens.__getitem__
+    return [b"".join(map(get, array("I", x or b""))).decode("utf-8", "replace") for x in ids]
+
+
+def encode(docs: DataFrame, vocab_path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``out``: the ids of ``text`` as a binary of little-endian unsigned 32-bit integers.
+
+    With ``decoded``, that column holds the text which ``decode`` makes of these
+    ids, from the same pass.
+    """
     spark: SparkSession = docs.sparkSession
     vocab = spark.sparkContext.broadcast(load_vocab(vocab_path))
+    wide = decoded is not None
 
-    @F.pandas_udf("binary")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids binary, decoded string")
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = TextEncoder(vocab.value)
         for batch in batches:
-            yield pd.Series([x for run in slices(batch) for x in encoder.encode(run)], dtype=object)
+            ids = [x for run in slices(batch) for x in encoder.encode(run)]
+            yield pd.DataFrame({"ids": ids, "decoded": _texts(encoder.trie.tokens, ids) if wide else None}, dtype=object)
 
-    return free_names(docs, out).withColumn(out, ids_of(F.col(text)))
+    made = [out] + ([decoded] if wide else [])
+    docs = free_names(docs, *made, "_coded")
+    got = docs.withColumn("_coded", coded(F.col(text)))
+    return got.select(*docs.columns, *[F.col(f"_coded.{a}").alias(b) for a, b in zip(("ids", "decoded"), made)])
 
 
 def decode(df: DataFrame, vocab_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -215,8 +252,7 @@ def decode(df: DataFrame, vocab_path: str, ids: str = "ids", out: str = "decoded
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        get = tokens.value.__getitem__
         for batch in batches:
-            yield pd.Series([b"".join(map(get, array("I", x or b""))).decode("utf-8", "replace") for x in batch], dtype=object)
+            yield pd.Series(_texts(tokens.value, batch), dtype=object)
 
     return free_names(df, out).withColumn(out, text_of(F.col(ids)))

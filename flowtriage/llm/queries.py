@@ -76,7 +76,7 @@ def op8_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
-    coded = bpe_trie.decode(bpe_trie.encode(docs, vocab_path()), vocab_path())
+    coded = bpe_trie.encode(docs, vocab_path(), decoded="decoded")
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
