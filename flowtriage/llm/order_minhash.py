@@ -11,14 +11,12 @@ near-duplicate from 0.8 on.  In texts of the same order this is the Jaccard
 similarity of five-word shingles, and less where passages are moved.  A class
 is a connected component of such pairs.
 
-Candidates are not paired with each other.  A bucket's smallest text is its hub
-and the others are aligned with it; those linked to it leave the bucket, the
-rest go on: first into finer buckets (the same sketch together with each other
-sketch), then round by round until no bucket holds two.  The distance
-1 - similarity is a metric, so a text farther than 0.4 from a hub can't be
-linked to a text within 0.2 of it; between 0.2 and 0.4 it is also aligned with
-those texts of the hub that are far enough from it to be within reach, unless
-both are in one class already.  So no candidate pair is left undecided.
+Candidates are not paired with each other.  A bucket's hub, the text with the
+most bucket mates, is aligned with the bucket's others; that joins copies of one
+text.  Texts of buckets that still hold several components are then decided
+exactly: two texts are only aligned if they are of different components and
+share one of their rarest k-mers, as any two of the required similarity must
+(prefix filter).  So every candidate pair is decided or already joined by others.
 
 Texts equal in their words are one node, sketched and compared once.  Null
 texts and texts without words are in no class but their own.  Ids that are null
@@ -38,11 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe_trie import slices
-from .common import SPACE, components, free_names, materialise, row_key
+from .common import SPACE, components, materialise, row_key
 
 K_WORDS = 5
 KEEP = 3
@@ -125,22 +123,24 @@ def sketches(run: np.ndarray, of: np.ndarray, n_texts: int, n: int = SKETCHES, k
         return out
     cuts = np.flatnonzero(np.diff(of, prepend=-1))
     rows = of[cuts]
-    lengths = np.diff(np.append(cuts, len(of)))
     worst = _U(0xFFFFFFFFFFFFFFFF)
+    bits = 24 if len(run) < 1 << 24 else 40
+    spot = np.arange(len(run), dtype=np.uint64)
+    # each hash carries its k-mer's place in the low bits, so a minimum tells where it is
     for s in range(n):
         value = (run ^ _U(0x1234567 + s * 0x9E3779B9)) * (_ODD + _U(2 * s))
         value ^= value >> _U(31)
         value *= _BASE
+        value >>= _U(bits)
+        value <<= _U(bits)
+        value |= spot
         places = np.full((keep, len(cuts)), len(run), dtype=np.int64)
         for j in range(keep):
             low = np.minimum.reduceat(value, cuts)
-            hit = np.flatnonzero(value == np.repeat(low, lengths))
-            text = np.searchsorted(rows, of[hit])
-            once = np.flatnonzero(np.diff(text, prepend=-1))
-            hit, text = hit[once], text[once]
-            real = low[text] != worst
-            places[j, text[real]] = hit[real]
-            value[hit] = worst
+            real = np.flatnonzero(low != worst)
+            at = (low[real] & _U((1 << bits) - 1)).astype(np.int64)
+            places[j, real] = at
+            value[at] = worst
         places.sort(axis=0)
         key = np.full(len(cuts), s + 1, dtype=np.uint64)
         padded = np.append(run, _U(0))
@@ -207,10 +207,52 @@ def _align(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return materialise(got.select("node", "hub", "text", "hub_text").mapInPandas(measure, "node long, hub long, far double"), name)
 
 
-def _hubs(buckets: DataFrame, name: str) -> DataFrame:
-    """(b, own, node, hub) of the buckets with two nodes or more, without the hubs' own rows."""
-    low = buckets.groupBy("b").agg(F.min("node").alias("hub"), F.max("node").alias("high")).where("hub < high").drop("high")
-    return materialise(buckets.join(low, "b").where("node != hub"), name)
+def _prefix_pairs(nodes: DataFrame, texts: DataFrame, comps: DataFrame, similar: float) -> DataFrame:
+    """(node, hub): the pairs of different components among ``nodes`` that can be as similar as ``similar``.
+
+    Two sets of sizes n1 and n2 with at least ``o = similar / (1 + similar) * (n1 + n2)`` common elements share one of
+    their first n1 - o + 1 and n2 - o + 1 elements in any order.  The order is by frequency among ``nodes``, rare first,
+    so k-mers that an edit made fill the places of texts that were edited too much, and those meet nobody.
+    """
+
+    def explode(batches):
+        kmers = Kmers()
+        for batch in batches:
+            for node, text in zip(batch["node"], batch["text"]):
+                run = kmers([text])[0].view(np.int64)
+                yield pd.DataFrame({"node": node, "n": len(run), "k": run})
+
+    rows = texts.join(nodes, "node").mapInPandas(explode, "node long, n int, k long")
+    rows = materialise(rows, "omh-kmers")
+    often = rows.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    known = rows.join(often, "k")
+    # a text's k-mers that no other text has come first
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), F.desc("k")))
+    known = known.withColumn("r", F.col("n") - place + 1)
+    share = similar / (1 + similar)
+    least = lambda total: F.ceil(F.lit(share) * total - 1e-9)
+    # a partner has at least ``similar`` times the size
+    known = known.where(F.col("r") <= F.col("n") - least(F.col("n") * (1 + similar)) + 1).select("k", "node", "n", "r")
+    known = materialise(known.join(comps, "node").select("k", "node", "n", "r", "comp"), "omh-prefixes")
+    sizes = known.groupBy("k", "comp").agg(F.count(F.lit(1)).alias("c"))
+    most = sizes.groupBy("k").agg(F.max_by("comp", F.struct("c", "comp")).alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    few = known.join(most, "k").where("comp != most").select("k", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "r", "comp")])
+    o = least(F.col("n") + F.col("x_n"))
+    meet = (F.col("comp") != F.col("x_comp")) & (F.col("r") <= F.col("n") - o + 1) & (F.col("x_r") <= F.col("x_n") - o + 1)
+    return few.join(known, "k").where(meet).select(F.greatest("node", "x_node").alias("node"), F.least("node", "x_node").alias("hub")).distinct()
+
+
+def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes that share a bucket, numbered so that the most central ones (with the most bucket mates) come first, and
+    their buckets (b, own, node)."""
+    keyed = nodes.select("raw", F.posexplode("keys").alias("own", "b"))
+    mates = keyed.groupBy("b").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
+    shared = materialise(keyed.join(mates, "b"), "omh-buckets")
+    order = shared.groupBy("raw").agg(F.sum("mates").alias("mates"))
+    order = order.repartitionByRange(F.desc("mates"), F.col("raw")).sortWithinPartitions(F.desc("mates"), "raw")
+    order = materialise(order.select("raw", F.monotonically_increasing_id().alias("node")), "omh-order")
+    numbered = materialise(nodes.join(order, "raw"), "omh-candidates")
+    return numbered, shared.join(order, "raw").select("b", "own", "node")
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: float = SIMILARITY) -> DataFrame:
@@ -218,59 +260,36 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     signed = signatures(docs, key, text)
     first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "_k1", "_k2")).alias("f")
     nodes = signed.where("n_words > 0").groupBy("h1", "h2").agg(first, F.first("keys").alias("keys"))
-    nodes = materialise(
-        nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "keys", F.col("f.id").alias("id"), F.col("f._k1").alias("_k1"), F.col("f._k2").alias("_k2")),
-        "omh-nodes",
-    )
-    limit = 1 - similar
-    level = nodes.select("node", F.posexplode("keys").alias("own", "b"))
-    links, stars, middles, texts = None, None, None, None
-    deep = 0
-    while True:
-        hubs = _hubs(level.select("b", "own", "node"), "omh-hubs")
-        if not hubs.limit(1).count():
-            break
-        pairs = hubs.select("node", "hub").distinct()
-        if texts is None:
-            wanted = pairs.select("node").union(pairs.select(F.col("hub").alias("node"))).distinct()
-            rows = wanted.join(nodes.select("node", "_k1", "_k2"), "node")
-            from_docs = docs.select(*row_key(F.col(key), F.col(text)), F.col(text).alias("text"))
-            texts = from_docs.join(rows, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("node", "text")
-            texts = materialise(texts, "omh-texts")
-        if links is not None:
-            # pairs decided in an earlier round keep their distance
-            pairs = materialise(pairs.join(links.select("node", "hub"), ["node", "hub"], "left_anti"), "omh-pairs")
-        new = _align(pairs, texts, f"omh-aligned-{deep}")
-        links = new if links is None else links.unionByName(new)
-        judged = hubs.join(links, ["node", "hub"])
-        star = judged.where(F.col("far") <= limit + 1e-12).select("b", "hub", "node", "far")
-        middle = judged.where((F.col("far") > limit + 1e-12) & (F.col("far") <= 2 * limit + 1e-12)).select("b", "hub", "node", "far")
-        stars = star if stars is None else stars.unionByName(star)
-        middles = middle if middles is None else middles.unionByName(middle)
-        rest = judged.where(F.col("far") > limit + 1e-12).select("b", "own", "node")
-        if deep == 0:
-            # finer buckets: the same sketch together with each other one
-            fine = rest.join(nodes.select("node", "keys"), "node").select("b", "own", "node", F.posexplode("keys").alias("other", "c"))
-            rest = fine.where("other != own").select(F.xxhash64("b", "own", "c", "other").alias("b"), F.lit(-1).alias("own"), "node")
-        level = rest
-        deep += 1
-    if links is None:
-        comps = nodes.select("node", F.col("node").alias("comp"))
-    else:
-        near = links.where(F.col("far") <= limit + 1e-12).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        comps = components(near, nodes.select("node"))
-        left = middles.join(comps.select("node", F.col("comp").alias("cx")), "node")
-        right = stars.join(comps.select(F.col("node").alias("n2"), F.col("comp").alias("cy")), F.col("node") == F.col("n2"))
-        right = right.select("b", "hub", F.col("node").alias("y"), F.col("far").alias("fy"), "cy")
-        check = left.join(right, ["b", "hub"]).where(F.col("cx") != F.col("cy")).where(F.col("far") - F.col("fy") <= limit + 1e-9)
-        check = materialise(check.select("node", F.col("y").alias("hub")).distinct(), "omh-middle")
-        if check.limit(1).count():
-            more = _align(check, texts, "omh-aligned-middle").where(F.col("far") <= limit + 1e-12)
-            comps = components(near.unionByName(more.select(F.col("node").alias("a"), F.col("hub").alias("b"))), nodes.select("node"))
-    named = nodes.join(comps, "node")
+    nodes = nodes.select(F.monotonically_increasing_id().alias("raw"), "h1", "h2", "keys", "f.id", "f._k1", "f._k2")
+    nodes = materialise(nodes, "omh-nodes")
+    found, level = _candidates(nodes)
+    near = F.col("far") <= 1 - similar + 1e-12
+    links, comps = None, found.select("node", F.col("node").alias("comp"))
+    level = materialise(level, "omh-level")
+    hubs = level.join(level.groupBy("b").agg(F.min("node").alias("hub")), "b").where("node > hub")
+    pairs = materialise(hubs.select("node", "hub").distinct(), "omh-pairs")
+    if pairs.limit(1).count():
+        rows = docs.select(*row_key(F.col(key), F.col(text)), F.col(text).alias("text"))
+        texts = rows.join(found.select("node", "_k1", "_k2"), ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("node", "text")
+        texts = materialise(texts, "omh-texts")
+        linked = lambda df: df.where(near).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        links = _align(pairs, texts, "omh-aligned")
+        comps = materialise(components(linked(links), found.select("node")), "omh-components")
+        # buckets that still hold several components
+        open_ = level.join(comps, "node").groupBy("b").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where("c < d").select("b")
+        left = materialise(level.join(open_, "b", "left_semi").select("node").distinct(), "omh-open")
+        check = _prefix_pairs(left, texts, comps, similar).join(links.select("node", "hub"), ["node", "hub"], "left_anti")
+        links = links.unionByName(_align(materialise(check, "omh-pairs"), texts, "omh-aligned"))
+        comps = components(linked(links), found.select("node"))
+    named = found.join(comps, "node")
     best = named.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "_k1", "_k2")).alias("f"))
-    named = named.join(best, "comp").select("h1", "h2", F.col("f.id").alias("class_id"), F.col("f._k1").alias("c1"), F.col("f._k2").alias("c2"))
-    out = signed.join(named, ["h1", "h2"], "left")
+    named = named.join(best, "comp").select("raw", F.col("f.id").alias("class_id"), F.col("f._k1").alias("c1"), F.col("f._k2").alias("c2"))
+    own = nodes.select("raw", "h1", "h2", F.col("id").alias("own_id"), F.col("_k1").alias("o1"), F.col("_k2").alias("o2")).join(named, "raw", "left")
+    alone = F.col("c1").isNull()
+    own = own.select(
+        "h1", "h2", F.when(alone, F.col("own_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("c1", "o1").alias("c1"), F.coalesce("c2", "o2").alias("c2")
+    )
+    out = signed.join(own, ["h1", "h2"], "left")
     lone = F.col("n_words") == 0
     return out.select(
         "id", "_k1", "_k2",
@@ -281,9 +300,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """``docs`` with one document of each class: that with the smallest id."""
-    docs = free_names(docs, "_k1", "_k2")
     kept = near_classes(docs, key, text, **params).where("is_kept").select("_k1", "_k2").distinct()
-    rows = docs.select(*row_key(F.col(key), F.col(text)), *docs.columns)
     worded = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(SPACE)) != ""
-    one = rows.where(worded).join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    # the row travels in a struct, so that no name of its columns can clash
+    rows = docs.where(worded).select(*row_key(F.col(key), F.col(text)), F.struct(*docs.columns).alias("_row"))
+    one = rows.join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("_row.*")
     return one.unionByName(docs.where(~worded))
