@@ -4,8 +4,8 @@ documents of each hash, drop lines over the threshold, reassemble by position.
 A row is a document.  Null text has one empty line, as empty text has; it stays
 null when returned.  Lines whose key is shorter than ``min_chars`` are never
 counted or dropped.  Identical rows count as separate documents and get the
-same result.  Null ids, an empty table and extra columns are fine; input
-columns named ``n_lines``, ``n_dropped`` or ``_*`` used here are replaced.
+same result.  Null ids, an empty table and extra columns are fine; with
+``report``, input columns named ``n_lines`` or ``n_dropped`` are replaced.
 
 Scale: only 16-byte hashes and positions are exploded.  Counting combines map
 side (a line that is in every document reaches its reducer once per task).
@@ -52,27 +52,31 @@ def frequent_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_
     )
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """``docs`` with the frequent lines taken out of ``text``, plus n_lines and n_dropped (long)."""
-    docs = free_names(docs, "n_lines", "n_dropped", "_k1", "_k2", "_lines", "_pos")
+def dedup_lines(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", min_docs: int = 10, min_chars: int = 1, report: bool = True
+) -> DataFrame:
+    """``docs`` with the frequent lines taken out of ``text``, with ``report`` plus n_lines and n_dropped (long)."""
+    if report:
+        docs = free_names(docs, "n_lines", "n_dropped")
     frequent = materialise(frequent_lines(docs, text, min_docs, min_chars), "frequent-lines")
-    rows = docs.select(*row_key(F.col(key), F.col(text)), *docs.columns)
+    keys = row_key(F.col(key), F.col(text))
     hashes = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: _hashed(x, min_chars))
     hits = (
-        rows.select("_k1", "_k2", F.posexplode(hashes).alias("pos", "k"))
+        docs.select(*keys, F.posexplode(hashes).alias("pos", "k"))
         .where("k is not null")
         .select("_k1", "_k2", "pos", "k.h1", "k.h2")
         .join(frequent, ["h1", "h2"])
         .groupBy("_k1", "_k2")
         .agg(F.collect_set("pos").alias("_pos"))
     )
-    lines = rows.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n", -1)).drop(text)
+    # the other columns travel in a struct, so that no name of theirs can clash
+    rest = F.struct(*[c for c in docs.columns if c != text]).alias("_row")
+    lines = docs.select(*keys, rest, F.col(text).isNull().alias("_null"), F.split(F.coalesce(text, F.lit("")), "\n", -1).alias("_lines"))
     joined = lines.join(hits, ["_k1", "_k2"], "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_pos"))
-    whole = F.array_join("_lines", "\n")
+    whole = F.when(~F.col("_null"), F.array_join("_lines", "\n"))
     kept = F.when(F.col("_pos").isNull(), whole).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
-    return joined.select(
-        *[kept.alias(text) if c == text else F.col(c) for c in docs.columns],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_pos"), F.lit(0)).cast("long").alias("n_dropped"),
-    )
+    out = [kept.alias(text) if c == text else F.col("_row")[c].alias(c) for c in docs.columns]
+    if report:
+        out += [F.size("_lines").cast("long").alias("n_lines"), F.coalesce(F.size("_pos"), F.lit(0)).cast("long").alias("n_dropped")]
+    return joined.select(*out)

@@ -11,7 +11,7 @@ within the total budget is taken.
 Rows equal in id, source and text are one item of their joint size: they are
 taken or left together.  Null text has size 0; items of size 0 take no part
 and no target (``copies`` 0).  Null source sorts last.  An empty table gives an
-empty result.  Input columns named as the results are replaced.
+empty result.  Extra columns are kept by ``mix``, whatever their names.
 
 Scale: only a narrow ledger (ids, source, size, 16-byte shuffle key) is sorted.
 Running sums are two-level: range partitions are summed, the sums of the
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, free_names, materialise, row_key
+from .common import WORD, materialise, row_key
 
 #: weights by rank of the source (by code point, null last), repeating
 WEIGHTS = (5, 2, 1)
@@ -114,10 +114,10 @@ def plan_mix(
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **params) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as the mix takes it, with its columns."""
     plan = plan_mix(ledger(docs, text, key, source), **params).where("copies > 0").select("_k1", "_k2", "copies")
-    docs = free_names(docs, "_k1", "_k2", "copies", "_copy")
-    rows = docs.select(*row_key(F.col(key), F.col(source), F.col(text)), *docs.columns)
+    # the row travels in a struct, so that no name of its columns can clash
+    rows = docs.select(*row_key(F.col(key), F.col(source), F.col(text)), F.struct(*docs.columns).alias("_row"))
     out = rows.join(plan, ["_k1", "_k2"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return out.select(*docs.columns)
+    return out.select("_row.*")
 
 
 def mix_report(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **params) -> DataFrame:
