@@ -10,7 +10,8 @@ import __spark_entry__ as E
 from tests.oracle_check import compare, duck
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-ORACLE = E.oracle_sql()
+# the training-data queries have their own tests
+ORACLE = {k: v for k, v in E.oracle_sql().items() if not k.startswith("op") and k != "pipeline"}
 QUERIES = E.queries()
 
 
@@ -27,7 +28,7 @@ def test_every_query_registered_with_unique_name():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0
-    assert df.columns == ["rank", "antecedent", "consequent", "support", "confidence", "lift"]
+    assert df.columns == ["rank", "session_id", "km_cluster", "votes", "rare_segment", "dbscan_noise", "anomaly_flag", "anomaly_score"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
