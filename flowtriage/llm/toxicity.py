@@ -49,6 +49,8 @@ CACHE_WORDS = 400_000
 THRESHOLD = 0.3
 MAX_ROWS = 1500
 N_LANDMARKS = 400
+#: Words whose triples are looked up at once when landmarks are compared.
+SLICE = 64
 NEUTRAL = -1.0
 
 #: Single letters with one sign or space between each other: "i d i o t".
@@ -96,7 +98,7 @@ def features(words: list[str]):
     for n in np.unique(size):
         at = np.flatnonzero(size == n)
         trip = _TRIPLES[int(n)]
-        for part in np.array_split(at, max(1, len(at) * len(trip) // 2_000_000)):
+        for part in np.array_split(at, max(1, len(at) * len(trip) // 400_000)):
             if not len(part):
                 continue
             c = codes[part]
@@ -127,15 +129,16 @@ def against(words: list[str], matrix: np.ndarray) -> np.ndarray:
     """Kernel of every word with the landmarks whose feature vectors are the columns of ``matrix``."""
     out = np.zeros((len(words), matrix.shape[1]), dtype=np.float32)
     for part, ids, values in features(words):
-        for k in range(0, len(part), 512):
-            out[part[k : k + 512]] = np.einsum("wt,wtm->wm", values[k : k + 512].astype(np.float32), matrix[ids[k : k + 512]], optimize=True)
+        for k in range(0, len(part), SLICE):
+            out[part[k : k + SLICE]] = np.einsum("wt,wtm->wm", values[k : k + SLICE].astype(np.float32), matrix[ids[k : k + SLICE]], optimize=True)
     return out
 
 
 def scores(words: list[str], weights: np.ndarray) -> np.ndarray:
     out = np.zeros(len(words))
-    for part, ids, values in features(words):
-        out[part] = (weights[ids] * values).sum(1)
+    for k in range(0, len(words), 30_000):
+        for part, ids, values in features(words[k : k + 30_000]):
+            out[k + part] = (weights[ids] * values).sum(1)
     return out
 
 
@@ -180,68 +183,90 @@ def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 12):
     return w[:-1], w[-1]
 
 
+def _bags(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+    """(sorted distinct pieces of words, for each text the places of its pieces in that list)."""
+    first: dict[str, int] = {}
+    found = [np.fromiter({first.setdefault(p, len(first)) for w in set(words_of(t)) for p in pieces(w)}, np.int32) for t in texts]
+    words = sorted(first)
+    place = np.empty(len(words), dtype=np.int32)
+    for i, w in enumerate(words):
+        place[first[w]] = i
+    return words, [np.sort(place[f]) for f in found]
+
+
+def _first_rates(words: list[str], bags: list[np.ndarray], toxic: list[int], clean: list[int]) -> np.ndarray:
+    """For each word how well it, or a run of four letters in it, tells toxic from clean texts."""
+    names: dict[str, int] = {}
+    own = [[names.setdefault(g, len(names)) for g in {w[i : i + 4] for i in range(len(w) - 3)} | {w}] for w in words]
+    begin = np.cumsum([0, *map(len, own)])
+    flat = np.fromiter((g for gs in own for g in gs), np.int32, begin[-1])
+    del own
+    df = np.zeros((2, len(names)))
+    for label, rows in enumerate((clean, toxic)):
+        for i in rows:
+            sizes = begin[bags[i] + 1] - begin[bags[i]]
+            at = np.repeat(begin[bags[i]] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            df[label][np.unique(flat[at])] += 1
+    odds = np.log((df[1] + 0.05) / len(toxic)) - np.log((df[0] + 1.0) / len(clean))
+    rate = np.where(df[1] > 1, odds, -1.0) * np.sqrt(df[1])
+    return np.maximum.reduceat(rate[flat], begin[:-1])
+
+
+def _best(values: np.ndarray, bag: np.ndarray) -> int:
+    """The word of the bag with the largest value, the last one of equals."""
+    own = values[bag]
+    return int(bag[len(own) - 1 - np.argmax(own[::-1])])
+
+
 def fit(texts: list[str], labels: list[int], n_landmarks: int = N_LANDMARKS, rounds: int = 4, seed: int = 7):
     """(weights over triples, bias, logistic slope, logistic offset) from labelled texts, or None without both classes."""
     labels = np.asarray(labels)
-    if len(set(labels.tolist())) < 2:
-        return None
     rng = np.random.default_rng(seed)
-    bags = [sorted({p for w in set(words_of(t)) for p in pieces(w)}) for t in texts]
+    words, bags = _bags(texts)
+    rows = [i for i in range(len(texts)) if len(bags[i])]
     fold = np.arange(len(texts)) % 4 == 3
-    fit_rows = [i for i in range(len(texts)) if not fold[i] and bags[i]]
-    toxic = [i for i in fit_rows if labels[i]]
-    clean = [i for i in fit_rows if not labels[i]]
+    both = lambda rs: ([i for i in rs if labels[i]], [i for i in rs if not labels[i]])
+    toxic, clean = both([i for i in rows if not fold[i]])
     if not toxic or not clean:
         fold[:] = False
-        fit_rows = [i for i in range(len(texts)) if bags[i]]
-        toxic, clean = [i for i in fit_rows if labels[i]], [i for i in fit_rows if not labels[i]]
+        toxic, clean = both(rows)
         if not toxic or not clean:
             return None
-    # first witnesses: words, then 4-grams inside words, that tell toxic from clean texts
-    grams_of = lambda w: {w[i : i + 4] for i in range(len(w) - 3)} | {w}
-    df = [Counter(), Counter()]
-    for i in fit_rows:
-        df[labels[i]].update({g for w in bags[i] for g in grams_of(w)})
-    odds = lambda g: np.log((df[1][g] + 0.05) / len(toxic)) - np.log((df[0][g] + 1.0) / len(clean)) if df[1][g] > 1 else -1.0
-    first = lambda w: max(odds(g) * np.sqrt(df[1][g]) for g in grams_of(w))
-    rate = {w: first(w) for i in toxic for w in bags[i]}
-    witness = {i: max(bags[i], key=lambda w: (rate[w], w)) for i in toxic}
-    clean_words = sorted({w for i in clean for w in bags[i]})
-    clean_df = Counter(w for i in clean for w in bags[i])
+    rate = _first_rates(words, bags, toxic, clean)
+    witness = {i: _best(rate, bags[i]) for i in toxic}
+    counts = np.bincount(np.concatenate([bags[i] for i in clean]), minlength=len(words))
+    clean_words = np.flatnonzero(counts)
     strong = [w for w, _ in Counter(witness.values()).most_common(n_landmarks // 2)]
-    common = [w for w, _ in clean_df.most_common(n_landmarks // 4)]
-    rest = [clean_words[i] for i in rng.permutation(len(clean_words))[: n_landmarks - len(strong) - len(common)]]
+    common = clean_words[np.argsort(-counts[clean_words], kind="stable")][: n_landmarks // 4].tolist()
+    rest = clean_words[rng.permutation(len(clean_words))[: n_landmarks - len(strong) - len(common)]].tolist()
     landmarks = sorted({*strong, *common, *rest})
-    base = dense(landmarks)
-    gram = (base @ base.T).astype(np.float64)
+    matrix = dense([words[w] for w in landmarks])
+    gram = (matrix @ matrix.T).astype(np.float64)
+    matrix = np.ascontiguousarray(matrix.T)
     vals, vecs = np.linalg.eigh(gram)
     good = vals > 1e-6 * vals.max()
     root = vecs[:, good] / np.sqrt(vals[good])
-    matrix = np.ascontiguousarray(base.T)
-    negatives = {clean_words[i] for i in rng.permutation(len(clean_words))[:6000]} | set(common)
+    negatives = set(clean_words[rng.permutation(len(clean_words))[:6000]].tolist()) | set(common)
     weights, bias = None, 0.0
     for _ in range(rounds):
         pos = Counter(witness.values())
         neg = sorted(negatives - set(pos))
-        rows = [*pos, *neg]
-        z = against(rows, matrix) @ root
+        z = against([words[w] for w in (*pos, *neg)], matrix) @ root
         y = np.array([1.0] * len(pos) + [-1.0] * len(neg))
-        c = np.array([10.0 * min(n, 20) / max(1, len(toxic)) * 100 for n in pos.values()] + [1.0] * len(neg))
+        c = np.array([1000.0 * min(n, 20) / len(toxic) for n in pos.values()] + [1.0] * len(neg))
         v, bias = _svm(z, y, c)
         weights = (matrix @ (root @ v)).astype(np.float64)
-        value = dict(zip(clean_words, scores(clean_words, weights) + bias))
-        hard = sorted(clean_words, key=lambda w: -value[w])[:3000]
+        value = scores(words, weights) + bias
+        hard = clean_words[np.argsort(-value[clean_words], kind="stable")][:3000].tolist()
         negatives = set(neg) | set(hard)
-        flat = sorted({w for i in toxic for w in bags[i]})
-        own = dict(zip(flat, scores(flat, weights) + bias))
         # a text whose best word is no better than clean texts' words is a doubtful witness and leaves the next round
-        limit = np.quantile([max(value[w] for w in bags[i]) for i in clean], 0.999)
-        chosen = {i: max(bags[i], key=lambda w: (own[w], w)) for i in toxic}
-        kept = {i: w for i, w in chosen.items() if own[w] > min(limit, 0.0)}
+        limit = np.quantile([value[bags[i]].max() for i in clean], 0.999)
+        chosen = {i: _best(value, bags[i]) for i in toxic}
+        kept = {i: w for i, w in chosen.items() if value[w] > min(limit, 0.0)}
         witness = kept or chosen
-    scorer = TextScorer(weights, bias)
+    value = scores(words, weights) + bias
     check = np.flatnonzero(fold) if fold.any() and len(set(labels[fold].tolist())) == 2 else np.arange(len(texts))
-    best = np.array(scorer.best([texts[i] for i in check]))
+    best = np.array([value[bags[i]].max() if len(bags[i]) else NEUTRAL for i in check])
     slope, offset = _logistic(best, labels[check])
     return weights, float(bias), slope, offset
 
@@ -316,4 +341,5 @@ def score(docs: DataFrame, model, text: str = "text", threshold: float = THRESHO
 def reject_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """``docs`` without the rows that a model fitted on them and ``labels`` predicts to be toxic."""
     model = train(docs, labels, key, text, **params)
-    return score(docs, model, text).where("predicted = 0").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    return score(rows, model, f"_row.{text}").where("predicted = 0").select("_row.*")
