@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowtriage.operators.graph import connected_components as components
+from flowtriage.runtime import materialise, release
+
+__all__ = ["SPACE", "WORD", "components", "free_names", "hash128", "materialise", "release", "row_key", "table"]
+
 #: The white space of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,38 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the setting is absent (tests), a folder inside the warehouse, which
-    every Spark application shares with its executors as well.
-    """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    conf = spark.conf.get("spark.checkpoint.dir", conf)
-    if not conf:
-        conf = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    return f"{conf.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage, survives lost executors, and gives Catalyst the table's
-    true size, so that it broadcasts it only when it is really small.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete everything that ``materialise`` wrote for this application."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path, True)
-
-
 def hash128(*cols: Column) -> list[Column]:
     """Two independent 64-bit hashes of the columns (null skips, as in xxhash64)."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(0x5EED), *cols)]
@@ -63,26 +34,3 @@ def free_names(df: DataFrame, *made: str) -> DataFrame:
     """Drop extra input columns whose names clash with the operator's own."""
     low = {m.lower() for m in made}
     return df.drop(*[c for c in df.columns if c.lower() in low])
-
-
-def components(links: DataFrame, nodes: DataFrame, most: int = 100) -> DataFrame:
-    """(node, comp): the smallest node of each connected component, from undirected links (a, b) of longs.
-
-    Each round links every node to the smallest node around it (first its larger
-    neighbours, then its smaller ones), until only stars are left; the rounds
-    are logarithmic in the component's size.  Minima combine map side.
-    """
-    edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, mark = materialise(edges, "links"), None
-    for _ in range(most):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = materialise(small.select("e.u", "e.v").where("u != v").distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return nodes.join(edges.select(F.col("u").alias("node"), "v"), "node", "left").select("node", F.coalesce("v", "node").alias("comp"))
-        mark = now
-    raise RuntimeError("components did not settle")
