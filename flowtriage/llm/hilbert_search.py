@@ -39,6 +39,8 @@ CURVES = 8
 DIMS = 4
 BITS = 15
 SHARE = 0.2
+#: The window holds at least so many times k ranks on either side, so a small table is searched whole.
+LEAST = 10
 BLOCK = 2048
 SEED = 11
 
@@ -132,7 +134,7 @@ def search(
     order = ranged.withColumn("local", local).join(offsets, (F.col("curve") == F.col("c")) & (F.col("p") == F.col("q")))
     order = materialise(order.select("node", "curve", (F.col("off") + F.col("local")).alias("rank")), "curve-ranks")
 
-    reach = math.ceil(share * total / 2)
+    reach = max(math.ceil(share * total / 2), LEAST * k)
     last = max(0, (total - 1) // BLOCK)
     asked = vectors.where(is_query).select(F.col(key).cast("long").alias("query_id")).where("query_id is not null").distinct()
     rows = vectors.select(F.col(key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("vec"))

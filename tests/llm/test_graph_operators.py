@@ -62,6 +62,10 @@ def test_search_awkward_vectors(spark):
     few = hilbert_search.search(df.where("vec_id in (0, 30)"), F.col("vec_id") == 0, share=2.0).collect()
     assert [(r.rank, r.vec_id) for r in few] == [(1, 30)]
     assert hilbert_search.search(df.limit(0), F.lit(True)).count() == 0
+    # fewer candidates than k: all of them
+    rng = np.random.default_rng(1)
+    nine = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(9)], "vec_id long, embedding array<double>")
+    assert {r["count"] for r in hilbert_search.search(nine, F.col("vec_id") < 2).groupBy("query_id").count().collect()} == {8}
 
 
 # --- 4 --------------------------------------------------------------------------
