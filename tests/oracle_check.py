@@ -103,7 +103,7 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     import __spark_entry__ as E
-    from flowtriage.runtime import local_session
+    from flowtriage.runtime import local_session, release
 
     spark = local_session()
     con = duck(sf_dir)
@@ -123,6 +123,7 @@ def main(argv):
             msg, n, ts, td = [f"error: {type(e).__name__}: {str(e)[:400]}"], -1, 0, 0
         failed += bool(msg)
         print(f"{'FAIL' if msg else 'OK  '}  {name:32s} rows={n} spark={ts:.1f}s duck={td:.1f}s {' | '.join(msg)}")
+    release(spark)
     return failed
 
 
