@@ -39,7 +39,7 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 SLICE_CHARS = 1_000_000
 SPACES = re.compile(r" \s|\s ")
 
@@ -87,7 +87,7 @@ class TrieEncoder:
         self.longest = [1] * 256
         for t in self.id_of:
             self.longest[t[-1]] = max(self.longest[t[-1]], len(t))
-        self.stable = lru_cache(maxsize=150_000)(self._stable)
+        self.stable = lru_cache(maxsize=120_000)(self._stable)
         self.whole = lru_cache(maxsize=50_000)(self._whole)
 
     def _whole(self, token: int) -> bool:
@@ -236,8 +236,9 @@ def encode(docs: DataFrame, vocab_path: str, text: str = "text", out: str = "ids
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = TextEncoder(vocab.value)
         for batch in batches:
-            ids = [x for run in slices(batch) for x in encoder.encode(run)]
-            yield pd.DataFrame({"ids": ids, "decoded": _texts(encoder.trie.tokens, ids) if wide else None}, dtype=object)
+            for run in slices(batch):
+                ids = encoder.encode(run)
+                yield pd.DataFrame({"ids": ids, "decoded": _texts(encoder.trie.tokens, ids) if wide else None}, dtype=object)
 
     made = [out] + ([decoded] if wide else [])
     docs = free_names(docs, *made, "_coded")

@@ -157,13 +157,11 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         kmers = Kmers()
         for batch in batches:
-            parts = []
-            for texts in slices(batch, 1_000_000):
+            for texts in slices(batch):
                 run, of, n_words, names = kmers(texts)
                 keys = sketches(run, of, len(texts)).view(np.int64)
                 own = names.view(np.int64)
-                parts.append(pd.DataFrame({"h1": own[0], "h2": own[1], "n_words": n_words, "keys": list(keys)}))
-            yield pd.concat(parts) if parts else pd.DataFrame({"h1": [], "h2": [], "n_words": [], "keys": []}).astype({"h1": "int64", "h2": "int64", "n_words": "int64"})
+                yield pd.DataFrame({"h1": own[0], "h2": own[1], "n_words": n_words, "keys": list(keys)})
 
     rows = docs.select(F.col(key).alias("id"), *row_key(F.col(key), F.col(text)), sign(F.col(text)).alias("s"))
     return materialise(rows.select("id", "_k1", "_k2", "s.*"), "omh-signatures")

@@ -45,7 +45,7 @@ from .langid import held_out
 SYMBOLS = 32
 DECAY = 0.6
 LONGEST = 14
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 THRESHOLD = 0.3
 MAX_ROWS = 1500
 N_LANDMARKS = 400
@@ -330,8 +330,9 @@ def score(docs: DataFrame, model, text: str = "text", threshold: float = THRESHO
             weights, bias, slope, offset = shared.value
             scorer = TextScorer(weights, bias)
             for batch in batches:
-                best = np.array([x for run in slices(batch) for x in scorer.best(run)])
-                yield pd.Series(1 / (1 + np.exp(-np.clip(slope * best + offset, -60, 60))))
+                for run in slices(batch):
+                    best = np.array(scorer.best(run))
+                    yield pd.Series(1 / (1 + np.exp(-np.clip(slope * best + offset, -60, 60))))
 
         got = toxic(F.col(text))
     scored = docs.withColumn("score", got)
