@@ -15,7 +15,10 @@ names are replaced one by one, "Mr. Smith" and "Mr. John Smith" stay related.
 
 Collisions: a surrogate that two entities drew, or that is itself an entity of
 the corpus, is drawn anew by all but its smallest entity, until surrogates are
-distinct.  Surrogate spaces that run short are widened after six draws.
+distinct.  Surrogate spaces that run short are widened after six draws, those
+of fixed formats after twelve, and grow with each further draw (names by names
+or letters, addresses, numbers and secrets by signs, IPv4 into IPv6), so the
+draws end whatever the corpus holds.  Secrets of signs alone get other signs.
 
 Null text stays null, text without entities stays as it is.  Rows are matched
 by id and text, so repeated rows get the same result; null ids and empty tables
@@ -75,6 +78,14 @@ _CLASSES = (
     (r"[\p{Ll}]", "bcdfghjklmnprstvwz"), (r"[\p{Lu}]", "BCDFGHJKLMNPRSTVWZ"),
 )
 _PLAIN = (("[0-9]", "0123456789"), ("[a-z]", "abcdefghijklmnopqrstuvwxyz"), ("[A-Z]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+#: For secrets: letters of other scripts too; for those without any letter or digit, signs.
+_LETTERS = (
+    *_PLAIN, ("[а-яё]", "абвгдежзиклмнопрстуфхцчшэюя"), ("[А-ЯЁ]", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"),
+    (r"[\p{Lu}]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (r"[\p{L}]", "abcdefghijklmnopqrstuvwxyz"), (r"[\p{N}]", "0123456789"),
+)
+_SIGNS = (("(?s).", "!#$%&()*+-./<>?@[]^_{|}~"),)
+#: Draws after which formats with a suffix, and fixed formats, grow.
+WIDE, FULL = 6, 12
 _HEX = (("[0-9a-f]", "0123456789abcdef"), *_PLAIN)
 
 
@@ -97,6 +108,17 @@ def _spell(value: Column, seed: Column, classes) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0)), one), "")
 
 
+def _more(seed: Column, size: Column, *alphabets: str) -> Column:
+    """``size`` further characters, drawn from the alphabets in turn; none if ``size`` is below 1."""
+
+    def one(i):
+        n = _draw(seed, F.lit("more"), i)
+        return reduce(lambda rest, j: F.when(i % len(alphabets) == j, _pick(alphabets[j], n)).otherwise(rest), range(len(alphabets) - 1), _pick(alphabets[-1], n))
+
+    places = F.when(size > 0, F.sequence(F.lit(0), F.greatest(size, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(places, one), "")
+
+
 def _luhn(digits: Column) -> Column:
     """Luhn sum modulo 10 of a string of digits."""
     chars = F.reverse(F.regexp_extract_all(digits, F.lit("."), F.lit(0)))
@@ -117,38 +139,49 @@ def _octets(value: Column, seed: Column, wide: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"\.", -1), one), ".")
 
 
+def _groups(seed: Column) -> Column:
+    """A whole IPv6 address of the local range."""
+    return F.concat(F.lit("fd00"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(7)), lambda i: F.concat(F.lit(":"), F.lower(F.hex(4096 + _draw(seed, i) % 61440)))), ""))
+
+
 def _given(kind: str, script: str, seed: Column, attempt: Column) -> Column:
     names = F.array(*[F.lit(n) for n in GIVEN[kind, script]])
 
     def pick(j):
-        return F.element_at(names, (_draw(seed, F.lit(j)) % len(GIVEN[kind, script]) + 1).cast("int"))
+        return F.element_at(names, (_draw(seed, j) % len(GIVEN[kind, script]) + 1).cast("int"))
 
-    # distinct given names outnumber the list: double and triple names after some draws
-    return F.when(attempt < 3, pick(0)).when(attempt < 7, F.concat_ws("-", pick(0), pick(1))).otherwise(F.concat_ws("-", pick(0), pick(1), pick(2)))
+    # distinct given names outnumber the list: one name, then double names, then one more with each draw
+    n = F.when(attempt < 3, 1).when(attempt < 7, 2).otherwise(attempt - 4)
+    return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), pick), "-")
 
 
 def _surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The draw number ``attempt`` for an entity."""
     seed = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
-    wide = attempt >= 6
+    wide = attempt >= WIDE
+    longer, full = attempt - WIDE + 1, attempt - FULL + 1  # characters that wide and fixed formats are longer by
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     host_seed = F.concat_ws("|", F.lit(key), F.lit("domain"), domain)
     host = F.regexp_extract(domain, r"^(.*)\.([^.]+)$", 1)
     email = F.concat(
-        _spell(local, seed, _PLAIN), F.when(wide, _pick("bcdfghklmn", _draw(seed, F.lit("x")))).otherwise(F.lit("")),
+        _spell(local, seed, _PLAIN), _more(seed, longer, "bcdfghklmnprstvwz"),
         F.lit("@"), _spell(host, host_seed, _PLAIN), F.lit("."), F.regexp_extract(domain, r"^(.*)\.([^.]+)$", 2),
     )
+    digits = _more(seed, full, "0123456789")
     body = _spell(canon, seed, (("[0-9]", "0123456789"),))
-    card = F.concat(F.substring(canon, 1, 1), F.substring(body, F.lit(2), F.char_length(canon) - 2))
+    card = F.concat(F.substring(canon, 1, 1), F.substring(body, F.lit(2), F.char_length(canon) - 2), digits)
     check = (10 - _luhn(F.concat(card, F.lit("0")))) % 10
     card = F.concat(card, F.when(_luhn(canon) == 0, check.cast("string")).otherwise(F.substring(body, F.char_length(canon), F.lit(1))))
     code = F.regexp_extract(canon, r"^(\+\d*?)(\d{0,10})$", 1)  # canonical phones keep the country code in front
-    phone = F.concat(code, F.substring(body, F.char_length(code) + 1, F.char_length(canon)))
-    secret = F.when(canon.rlike("^[0-9a-f]+$"), _spell(canon, seed, _HEX)).otherwise(_spell(canon, seed, _PLAIN))
-    iban = F.concat(F.substring(canon, 1, 2), _spell(F.substring(canon, F.lit(3), F.char_length(canon)), seed, _PLAIN))
-    family = F.concat(_spell(canon, seed, _CLASSES), F.when(wide, F.concat(_pick("aeiou", _draw(seed, F.lit("y"))), _pick("lmnrst", _draw(seed, F.lit("z"))))).otherwise(F.lit("")))
-    out = F.when(kind == "email", email).when(kind == "ip", _octets(canon, seed, wide)).when(kind == "card", card).when(kind == "phone", phone)
-    out = out.when(kind == "ssn", body).when(kind == "iban", iban).when(kind == "secret", secret).when(kind == "family", family)
+    phone = F.concat(code, F.substring(body, F.char_length(code) + 1, F.char_length(canon)), digits)
+    secret = F.when(canon.rlike("^[0-9a-f]+$"), _spell(canon, seed, _HEX)).when(canon.rlike(r"[\p{L}\p{N}]"), _spell(canon, seed, _LETTERS))
+    secret = F.concat(secret.otherwise(_spell(canon, seed, _SIGNS)), _more(seed, longer, "0123456789abcdef"))
+    iban = F.concat(F.substring(canon, 1, 2), _spell(F.substring(canon, F.lit(3), F.char_length(canon)), seed, _PLAIN), digits)
+    tail = F.when(canon.rlike(r"\p{IsCyrillic}"), _more(seed, longer + 1, "аеиоу", "лмнрст")).otherwise(_more(seed, longer + 1, "aeiou", "lmnrst"))
+    family = F.concat(_spell(canon, seed, _CLASSES), F.when(wide, tail).otherwise(F.lit("")))
+    ip = F.when(attempt < FULL, _octets(canon, seed, wide)).otherwise(_groups(seed))
+    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
+    out = out.when(kind == "ssn", F.concat(body, digits)).when(kind == "iban", iban).when(kind == "secret", secret).when(kind == "family", family)
     for gender, script in GIVEN:
         out = out.when(kind == f"given-{gender}-{script}", F.lower(_given(gender, script, seed, attempt)))
     return out
@@ -214,7 +247,8 @@ def _as_said(said: Column, kind: Column, surrogate: Column) -> Column:
                 (acc["at"] + use.cast("int")).alias("at"),
             )
 
-        return F.aggregate(chars, start, put, lambda acc: acc["text"])
+        # a surrogate with more characters than places goes on after the last one
+        return F.aggregate(chars, start, put, lambda acc: F.concat(acc["text"], F.substring(values, acc["at"], F.char_length(values))))
 
     values = F.translate(surrogate, "+", "")
     upper = F.when((said == F.upper(said)) & (F.char_length(said) > 1), F.upper(surrogate))
@@ -229,10 +263,10 @@ def _as_said(said: Column, kind: Column, surrogate: Column) -> Column:
     )
 
 
-def surrogate_table(entities: DataFrame, key: str, most: int = 40) -> DataFrame:
+def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, surrogate) with distinct surrogates per kind, none of them an entity, from distinct (kind, canon)."""
     table = entities.withColumn("attempt", F.lit(0))
-    for _ in range(most):
+    while True:  # spaces grow with the attempt
         table = materialise(table.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "surrogates")
         first = table.groupBy("kind", "surrogate").agg(F.min("canon").alias("winner"))
         known = entities.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("known"))
@@ -241,7 +275,6 @@ def surrogate_table(entities: DataFrame, key: str, most: int = 40) -> DataFrame:
         if not judged.where("again").limit(1).count():
             return table.select("kind", "canon", "surrogate")
         table = judged.select("kind", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
-    raise RuntimeError("surrogates did not become distinct")
 
 
 def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:

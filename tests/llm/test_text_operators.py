@@ -199,6 +199,25 @@ def test_surrogates_are_distinct(spark):
     assert not {(r.kind, r.surrogate) for r in table} & {(r.kind, r.canon) for r in table}
 
 
+def test_secrets_without_plain_letters_are_replaced(spark):
+    values = ["********", "==========", "пароль", "********", "!?!?!?!?", "密码密码密码"]
+    got = surrogates.replace_personal_data(docs(spark, [(i, f"password: {v}") for i, v in enumerate(values)] + [(9, "ip 61.131.143.218")]), "k").collect()
+    by = {r.doc_id: r.text.split(" ", 1)[1] for r in got}
+    assert all(r.n_replaced == 1 for r in got) and by[0] == by[3] and len(set(by.values())) == 6
+    assert not set(by.values()) & {*values, "61.131.143.218"} and re.match(r"^[а-я]{6}$", by[2])
+
+
+def test_surrogates_outnumber_lists_and_formats(spark):
+    rows = [("given-n-cyrillic", f"имя{i}") for i in range(300)] + [("secret", str(i)) for i in range(10)] + [("family", chr(97 + i)) for i in range(26)]
+    table = surrogates.surrogate_table(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
+    assert len({(r.kind, r.surrogate) for r in table}) == len(table) == len(rows)
+    assert not {(r.kind, r.surrogate) for r in table} & set(rows)
+    late = spark.createDataFrame([("ip", "1.2.3.4", 12), ("card", "4111111111111111", 14), ("ssn", "123456789", 13), ("iban", "DE89370400440532013000", 12)], "kind string, canon string, attempt int")
+    got = {r.kind: r.s for r in late.select("kind", surrogates._surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), "k").alias("s")).collect()}
+    assert re.match(r"^fd00(:[0-9a-f]{4}){7}$", got["ip"]) and re.match(r"^4\d{18}$", got["card"]) and re.match(r"^\d{11}$", got["ssn"]) and len(got["iban"]) == 23
+    assert sum(sum(divmod(int(x) * (1 + i % 2), 10)) for i, x in enumerate(got["card"][::-1])) % 10 == 0
+
+
 def test_surrogates_awkward(spark):
     base = with_clashes(awkward(spark))
     got = surrogates.replace_personal_data(base, "k")
