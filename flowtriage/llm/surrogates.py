@@ -1,8 +1,10 @@
 r"""Operator 2, personal data replaced by keyed surrogates.
 
-Detected: e-mail addresses, IPv4 addresses, phone numbers, payment card and
-social security numbers, IBANs, persons behind a title, and secrets (access
-keys, passwords, tokens).  Every distinct entity of the corpus, in canonical
+Detected: e-mail addresses, IPv4 and IPv6 addresses, phone numbers (with + or
+brackets, national ones with a leading 0, 1 or 8 or in the usual groups, others
+behind a word such as "call"), payment card and social security numbers, IBANs,
+persons behind a title, and secrets (access keys; passwords and tokens of six
+characters or more behind their word, in any case and quoted or not).  Every distinct entity of the corpus, in canonical
 form (lower-case address, digits of a number, a single name), gets one
 surrogate drawn from a keyed SHA-256, so all its mentions are replaced alike
 whatever their punctuation or case, and nobody without the key can undo it.
@@ -56,19 +58,30 @@ GIVEN = {
 
 _NAME = r"[\p{Lu}][\p{L}]*(?:['’\-][\p{L}]+)*"
 _WORDY = r"A-Za-z0-9"
+_HEX4 = "[0-9A-Fa-f]{1,4}"
+#: A secret's word with what stands between it and the value, and the word before a phone number.
+_WORD = r"(?i:password|passwd|passphrase|passcode|pwd|secret(?:[_\- ]?(?:access[_\- ]?)?key)?|token|(?:api|access|private)[_\- ]?key)\\?[\"']?(?:[ \t]{0,8}|\s)(?:=>|:=|[=:])(?:[ \t]{0,8}|\s)\\?[\"']?"
+_CUE = r"(?i:telephone|telefon|tel|phone|mobile|call|cell|fax|тел)[.:]{0,2} ?"
 PATTERNS = {
     "email": rf"(?<![{_WORDY}._%+\-])[{_WORDY}._%+\-]++@[{_WORDY}\-]+(?:\.[{_WORDY}\-]+)*\.[A-Za-z]{{2,}}",
-    "secret": rf"(?<![{_WORDY}])(?:(?:AKIA|ASIA)[A-Z0-9]{{16}}|(?:password|passwd|pwd|secret|token|api_key|apikey)\s?[=:]\s?\"?[^\s\"',;]{{6,}}|gh[pousr]_[{_WORDY}]{{30,}}|sk-[{_WORDY}\-]{{20,}})(?![{_WORDY}])",
+    "secret": rf"(?<![{_WORDY}])(?:(?:AKIA|ASIA)[A-Z0-9]{{16}}|gh[pousr]_[{_WORDY}]{{30,}}|sk-[{_WORDY}\-]{{20,}})(?![{_WORDY}])|{_WORD}[^\s\"',;]{{6,}}(?![{_WORDY}])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![A-Za-z0-9.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![A-Za-z0-9]|\.\d)",
+    # short forms need a digit or a third group, so that a::b of program code stays
+    "ip6": rf"(?<![A-Za-z0-9:.])(?:(?:{_HEX4}:){{7}}{_HEX4}|(?=[A-Fa-f:]*[0-9]|(?:{_HEX4}:{{1,2}}){{2}}{_HEX4})(?:{_HEX4}:){{1,6}}(?::{_HEX4}){{1,6}}|(?=[A-Fa-f:]*[0-9])(?:{_HEX4}:){{2,7}}:|::(?:{_HEX4}:){{1,6}}{_HEX4})(?![A-Za-z0-9:]|\.\d)",
     "card": r"(?<![A-Za-z0-9.\-])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![A-Za-z0-9\-])",
     "ssn": r"(?<![A-Za-z0-9.\-])\d{3}-\d{2}-\d{4}(?![A-Za-z0-9\-])",
-    "phone": r"(?<![A-Za-z0-9.\-])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![A-Za-z0-9\-])|(?<![A-Za-z0-9.\-])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?![A-Za-z0-9\-])",
+    "phone": r"(?<![A-Za-z0-9.\-])(?:(?:\+\d{1,3}|[18])[ .\-]?)?(?:\(\d{2,5}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|(?:\(\d{2,5}\)|\d{3})[ .\-]?\d{3}[ .\-]\d{2}[ .\-]\d{2}|\d{3}[ .\-]\d{3}[ .\-]\d{4})(?![A-Za-z0-9\-])"
+    r"|(?<![A-Za-z0-9.\-])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?![A-Za-z0-9\-])"
+    # leading 0 and at least nine digits, which dates don't have; Chinese mobile numbers
+    r"|(?<![A-Za-z0-9.\-])(?=0(?:[ .\-]?\d){8})(?:0[1-9](?:[ .\-]\d{2}){4}|0\d{1,4}[ .\-]\d{3,4}[ .\-]\d{3,5}|0\d{2,5}[ \-]\d{5,8}|0\d{1,4}(?: \d{2,4}){2,4})(?![A-Za-z0-9\-])"
+    r"|(?<![A-Za-z0-9.\-])1[3-9]\d[ \-]\d{4}[ \-]\d{4}(?![A-Za-z0-9\-])"
+    rf"|(?<![A-Za-z0-9]){_CUE}(?!\d{{4}}-\d\d-\d\d)\d(?:[ \-]?\d){{6,12}}(?![A-Za-z0-9]|[ .\-]\d)",
     "person": rf"(?<![\p{{L}}])(?:(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? {_NAME}(?: {_NAME}){{0,2}}|(?:г-н|г-жа|господин|госпожа) {_NAME}(?: {_NAME}){{0,2}})",
 }
 ANY = "(?:" + "|".join(PATTERNS.values()) + ")"
 #: What every entity contains; checked first.
-HINT = rf"[0-9@]|[=:]\s?\S|(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? \p{{Lu}}|г-|оспо"
+HINT = rf"[0-9@]|[=:]\s{{0,8}}\S|(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? \p{{Lu}}|г-|оспо"
 
 _CLASSES = (
     # (a character of the class, what it is replaced by) for single names
@@ -139,6 +152,28 @@ def _octets(value: Column, seed: Column, wide: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"\.", -1), one), ".")
 
 
+def _sixth(value: Column, seed: Column) -> Column:
+    """Groups of an expanded IPv6 address redrawn; zero groups and lengths stay."""
+
+    def one(g, i):
+        base = F.element_at(F.array(F.lit(1), F.lit(16), F.lit(256), F.lit(4096)), F.char_length(g))
+        return F.when(g == "0", g).otherwise(F.lower(F.hex(base + _draw(seed, i) % (base * 15))))
+
+    return F.array_join(F.transform(F.split(value, ":", -1), one), ":")
+
+
+def _expanded(address: Column) -> Column:
+    """The eight groups of an IPv6 address in lower case, without leading zeros."""
+    low = F.lower(address)
+
+    def groups(x):
+        return F.transform(F.filter(F.split(x, ":", -1), lambda g: g != ""), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
+
+    left, right = groups(F.substring_index(low, "::", 1)), groups(F.substring_index(low, "::", -1))
+    filled = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0))), right)
+    return F.array_join(F.when(F.contains(low, F.lit("::")), filled).otherwise(left), ":")
+
+
 def _groups(seed: Column) -> Column:
     """A whole IPv6 address of the local range."""
     return F.concat(F.lit("fd00"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(7)), lambda i: F.concat(F.lit(":"), F.lower(F.hex(4096 + _draw(seed, i) % 61440)))), ""))
@@ -172,7 +207,7 @@ def _surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
     card = F.concat(F.substring(canon, 1, 1), F.substring(body, F.lit(2), F.char_length(canon) - 2), digits)
     check = (10 - _luhn(F.concat(card, F.lit("0")))) % 10
     card = F.concat(card, F.when(_luhn(canon) == 0, check.cast("string")).otherwise(F.substring(body, F.char_length(canon), F.lit(1))))
-    code = F.regexp_extract(canon, r"^(\+\d*?)(\d{0,10})$", 1)  # canonical phones keep the country code in front
+    code = F.regexp_extract(canon, r"^(\+\d*?|0)(\d{0,10})$", 1)  # canonical phones keep the country code or 0 in front
     phone = F.concat(code, F.substring(body, F.char_length(code) + 1, F.char_length(canon)), digits)
     secret = F.when(canon.rlike("^[0-9a-f]+$"), _spell(canon, seed, _HEX)).when(canon.rlike(r"[\p{L}\p{N}]"), _spell(canon, seed, _LETTERS))
     secret = F.concat(secret.otherwise(_spell(canon, seed, _SIGNS)), _more(seed, longer, "0123456789abcdef"))
@@ -180,7 +215,7 @@ def _surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
     tail = F.when(canon.rlike(r"\p{IsCyrillic}"), _more(seed, longer + 1, "аеиоу", "лмнрст")).otherwise(_more(seed, longer + 1, "aeiou", "lmnrst"))
     family = F.concat(_spell(canon, seed, _CLASSES), F.when(wide, tail).otherwise(F.lit("")))
     ip = F.when(attempt < FULL, _octets(canon, seed, wide)).otherwise(_groups(seed))
-    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
+    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ip6", F.when(wide, _groups(seed)).otherwise(_sixth(canon, seed))).when(kind == "card", card).when(kind == "phone", phone)
     out = out.when(kind == "ssn", F.concat(body, digits)).when(kind == "iban", iban).when(kind == "secret", secret).when(kind == "family", family)
     for gender, script in GIVEN:
         out = out.when(kind == f"given-{gender}-{script}", F.lower(_given(gender, script, seed, attempt)))
@@ -205,8 +240,12 @@ def _parts(match: Column, kind: Column) -> Column:
     digits = F.regexp_replace(match, r"\D", "")
     empty = F.lit("")
     nothing = F.lit(None).cast("string")
-    label = F.regexp_extract(match, r"^((?:AKIA|ASIA)|[a-z_]+\s?[=:]\s?\"?|gh[pousr]_|sk-)(.*)$", 1)
+    label = F.regexp_extract(match, rf"^((?:AKIA|ASIA)|{_WORD}|gh[pousr]_|sk-)(.*)$", 1)
     rest = F.substring(match, F.char_length(label) + 1, F.char_length(match))
+    cue = F.regexp_extract(match, f"^{_CUE}", 0)
+    number = F.substring(match, F.char_length(cue) + 1, F.char_length(match))
+    # 1 800 555 1234 is +1 800 555 1234
+    plus = F.when(match.startswith("+") | digits.rlike(r"^1[2-9]\d{9}$") & ~number.rlike(r"^\d{3}\D"), "+").otherwise("")
     tokens = F.split(match, " ", -1)
     title = F.regexp_replace(F.element_at(tokens, 1), r"\.$", "")
     gender = F.when(title.isin(*MALE, "г-н", "господин"), "m").when(title.isin(*FEMALE, "г-жа", "госпожа"), "f").otherwise("n")
@@ -225,7 +264,8 @@ def _parts(match: Column, kind: Column) -> Column:
         .when(kind == "secret", F.array(part(label, kind, rest, rest)))
         .when(kind == "email", alone("email", F.lower(match)))
         .when(kind == "ip", alone("ip", match))
-        .when(kind == "phone", alone("phone", F.concat(F.when(match.startswith("+"), "+").otherwise(""), digits)))
+        .when(kind == "ip6", alone("ip6", _expanded(match)))
+        .when(kind == "phone", F.array(part(cue, kind, F.concat(plus, digits), number)))
         .when(kind == "iban", alone("iban", F.replace(match, F.lit(" "), F.lit(""))))
         .when(kind.isin("card", "ssn"), F.array(part(empty, kind, digits, match)))
         .otherwise(F.array(part(empty, nothing, nothing, match)))
@@ -251,11 +291,14 @@ def _as_said(said: Column, kind: Column, surrogate: Column) -> Column:
         return F.aggregate(chars, start, put, lambda acc: F.concat(acc["text"], F.substring(values, acc["at"], F.char_length(values))))
 
     values = F.translate(surrogate, "+", "")
+    groups = F.when(F.contains(said, F.lit("::")), F.regexp_replace(surrogate, "^(.*?)(?:^|:)0(?::0)*(?:$|:)", "$1::"))
+    groups = groups.when(said.rlike("(?i)(?:^|:)0[0-9a-f]{3}(?:$|:)"), F.array_join(F.transform(F.split(surrogate, ":", -1), lambda g: F.lpad(g, 4, "0")), ":")).otherwise(surrogate)
     upper = F.when((said == F.upper(said)) & (F.char_length(said) > 1), F.upper(surrogate))
     return (
         F.when(kind.isNull(), said)
         .when(kind.isin("phone", "card", "ssn"), filled("[0-9]"))
         .when(kind == "iban", filled("[A-Z0-9]"))
+        .when(kind == "ip6", F.when(said.rlike("[A-F]"), F.upper(groups)).otherwise(groups))
         .when(kind == "email", upper.otherwise(surrogate))
         .when(kind == "family", upper.otherwise(F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.char_length(surrogate)))))
         .when(kind.startswith("given"), upper.otherwise(F.initcap(F.replace(surrogate, F.lit("-"), F.lit(" ")))))

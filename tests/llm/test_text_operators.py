@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections import Counter
 
@@ -199,6 +200,24 @@ def test_surrogates_are_distinct(spark):
     assert not {(r.kind, r.surrogate) for r in table} & {(r.kind, r.canon) for r in table}
 
 
+def test_surrogates_find_each_form(spark):
+    found = [
+        "Password: hunter22", "DB_PASSWORD=hunter22", '"password": "hunter22"', "dbPassword = 'hunter22'", "API-Key => hunter22", '\\"token\\": \\"hunter22\\"',
+        "555 123 4567", "1-800-555-1234", "+1 800 555 1234", "020 7946 0958", "06 12 34 56 78", "01632 960001", "0412 345 678", "030 12345678", "8 495 123 45 67", "8 (495) 123-45-67", "138 1234 5678", "call 612 345 678",
+        "2001:db8::1", "2001:DB8:0:0:0:0:0:1", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::a1b2:c3d4:e5f6:7890", "2001:db8::",
+    ]
+    left = ["on 01 02 2003 at 12:34:56", "std::dec a::b Bad::Face", "01-02-2003 04:05", "aa:bb:cc:dd:ee:ff", "call 2024-05-06", "10 000 000 and 0.123456789", "a secret of passwords: no", "call card 12"]
+    base = docs(spark, [*enumerate(f"x {t} y" for t in found), *enumerate((f"x {t} y" for t in left), 100)])
+    got = {r.doc_id: (r.text, r.n_replaced) for r in surrogates.replace_personal_data(base, "k").collect()}
+    assert [t for i, t in enumerate(found) if got[i][1] != 1 or t in got[i][0] or "hunter22" in got[i][0]] == []
+    assert [t for i, t in enumerate(left, 100) if got[i] != (f"x {t} y", 0)] == []
+    new = [got[i][0][2:-2] for i in range(len(found))]
+    assert re.match(r'^"password": "[a-z]{6}\d\d"$', new[2]) and re.match(r"^1-\d{3}-\d{3}-\d{4}$", new[7]) and re.match(r"^020 ?\d{4}|0\d\d \d{4} \d{4}$", new[9])
+    assert re.sub(r"\D", "", new[7]) == re.sub(r"\D", "", new[8])  # one number, said in two ways
+    a, b = (ipaddress.ip_address(new[i]) for i in (18, 19))
+    assert a == b and "::" in new[18] and "::" not in new[19] and all(ipaddress.ip_address(x) for x in new[20:])
+
+
 def test_secrets_without_plain_letters_are_replaced(spark):
     values = ["********", "==========", "пароль", "********", "!?!?!?!?", "密码密码密码"]
     got = surrogates.replace_personal_data(docs(spark, [(i, f"password: {v}") for i, v in enumerate(values)] + [(9, "ip 61.131.143.218")]), "k").collect()
