@@ -6,6 +6,10 @@ sums ``DECAY ** span`` over the places of u in s, gaps allowed; it is divided
 by the words' norms.  Insults with letters put in between, changed endings or
 stray signs therefore stay close to their plain form.
 
+Letters of all scripts and digits are symbols of their own: accents are folded
+(NFKD), triples of a to z have fixed places in the vector below, all others
+are hashed by code point into its further places.
+
 Training (driver, bounded): at most ``max_rows`` labelled texts of each class,
 chosen by the smallest hash of their id among rows that aren't held out, are
 split into words.  Landmarks are words of them; words become vectors
@@ -28,6 +32,7 @@ columns replace clashing input columns; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
@@ -41,8 +46,8 @@ from .bpe_trie import slices
 from .common import free_names
 from .langid import held_out
 
-#: Symbols: a to z, then classes of other letters and digits.
-SYMBOLS = 32
+#: Triples have SYMBOLS ** 3 places: one for each triple of the first 26, which are a to z; the others share the rest.
+SYMBOLS = 36
 DECAY = 0.6
 LONGEST = 14
 CACHE_WORDS = 200_000
@@ -57,8 +62,20 @@ NEUTRAL = -1.0
 SPELLED = re.compile(r"(?<!\w)\w(?:[\W_]\w(?!\w)){2,}")
 
 
-def words_of(text: str) -> list[str]:
+MARKS = re.compile("[\u0300-\u036f]+")
+_ALL = np.arange(SYMBOLS**3)
+#: Places of triples with a symbol that isn't a to z.
+SHARED = _ALL[(_ALL // SYMBOLS**2 >= 26) | (_ALL // SYMBOLS % SYMBOLS >= 26) | (_ALL % SYMBOLS >= 26)]
+
+
+def folded(text: str) -> str:
+    """Lower case without accents."""
     low = text.lower()
+    return low if low.isascii() else MARKS.sub("", unicodedata.normalize("NFKD", low)).lower()
+
+
+def words_of(text: str) -> list[str]:
+    low = folded(text)
     found = low.split()
     for m in SPELLED.finditer(low):
         found.append("".join(c for c in m[0] if c.isalnum()))
@@ -73,7 +90,7 @@ def _symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     row = np.repeat(np.arange(len(words)), lengths)
     col = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    codes[row, col] = np.where((flat >= 97) & (flat <= 122), flat - 97, 26 + flat % 6)
+    codes[row, col] = np.where((flat >= 97) & (flat <= 122), flat - 97, 26 + flat)
     size[:] = lengths
     return codes, size
 
@@ -89,6 +106,19 @@ def pieces(word: str) -> list[str]:
     return [bare[i : i + LONGEST] for i in range(0, len(bare) - half, half)]
 
 
+def _places(c: np.ndarray, trip: np.ndarray) -> np.ndarray:
+    """Place of every triple of every word; ``c`` has a row of symbols for each word."""
+    a, b, d = c[:, trip[:, 0]], c[:, trip[:, 1]], c[:, trip[:, 2]]
+    ids = (a * SYMBOLS + b) * SYMBOLS + d
+    other = (a >= 26) | (b >= 26) | (d >= 26)
+    if other.any():
+        h = ((a[other] << 42) ^ (b[other] << 21) ^ d[other]).astype(np.uint64)
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+        ids[other] = SHARED[((h ^ (h >> np.uint64(33))) % np.uint64(len(SHARED))).astype(np.int64)]
+    return ids
+
+
 _TRIPLES = {n: np.array(list(combinations(range(n), 3))) for n in range(3, LONGEST + 1)}
 
 
@@ -102,7 +132,7 @@ def features(words: list[str]):
             if not len(part):
                 continue
             c = codes[part]
-            ids = (c[:, trip[:, 0]] * SYMBOLS + c[:, trip[:, 1]]) * SYMBOLS + c[:, trip[:, 2]]
+            ids = _places(c, trip)
             values = np.broadcast_to(DECAY ** (trip[:, 2] - trip[:, 0] + 1.0), ids.shape)
             order = np.argsort(ids, axis=1, kind="stable")
             ids = np.take_along_axis(ids, order, 1)

@@ -153,6 +153,31 @@ def test_kernel_equals_definition():
     assert toxicity.against(words, toxicity.dense(words).T.copy()) == pytest.approx(got, abs=1e-4)
 
 
+def test_kernel_tells_letters_of_other_scripts_apart():
+    words = ["кретин", "дети", "идиот", "историю", "ηλιθιος", "12345", "67890", "混蛋东西吧", "你好朋友们"]
+    got = toxicity.dense(words) @ toxicity.dense(words).T
+    want = [[brute_kernel(a, b) for b in words] for a in words]
+    assert got == pytest.approx(np.array(want), abs=0.06)  # triples that share a place by hash
+    assert toxicity.words_of("Crétin Ёж") == ["cretin", "еж"]
+
+
+def test_toxicity_in_another_script():
+    rng = random.Random(5)
+    syll = "ба де фи го лу ма не пи ро су та ве".split()
+    word = lambda: "".join(rng.choice(syll) for _ in range(rng.randint(1, 4)))
+    texts, labels = [], []
+    for i in range(600):
+        ws = [word() for _ in range(40)]
+        if i % 3 == 0:
+            ws[rng.randrange(40)] = rng.choice(["кроттель", "звикле", "кроттели"])
+        texts.append(" ".join(ws))
+        labels.append(int(i % 3 == 0))
+    weights, bias, slope, offset = toxicity.fit(texts, labels)
+    p = lambda ts: 1 / (1 + np.exp(-(slope * np.array(toxicity.TextScorer(weights, bias).best(ts)) + offset)))
+    assert (p(["баде фи кроттель", "КРОТТЕЛЬ!", "к.р.о.т.т.е.л.ь", "крот-тель", "суне звикле"]) >= 0.3).all()
+    assert (p(["баде фи голу мане", "сута веро", "баде " * 500]) < 0.3).all()
+
+
 @pytest.fixture(scope="module")
 def insults():
     rng = random.Random(5)
