@@ -21,7 +21,9 @@ best word of a text gives the score, fitted on texts that the SVM didn't see.
 Since the kernel is an inner product over triples, the fitted function of a
 word is one dot product of its triples with a fixed vector, which is broadcast
 (``SYMBOLS ** 3`` numbers).  Every word of every text is scored, each distinct
-word of a slice once.
+word of a slice once; so are overlapping windows over runs of short pieces and
+over a single letter beside a word, whatever signs and blanks stand between.
+Phrases of longer words are not seen together.
 
 Null and empty texts score as a text whose best word is neutral.  Without
 labels of both classes every score is 0.  Null labels take no part; of several
@@ -62,6 +64,11 @@ NEUTRAL = -1.0
 SPELLED = re.compile(r"(?<!\w)\w(?:[\W_]\w(?!\w)){2,}")
 
 
+TOKEN = re.compile(r"[^\W_]+")
+#: Two or more pieces of at most three letters, whatever stands between: "i - d - i - o - t", "id iot".
+SHORT = re.compile(r"(?<![^\W_])[^\W_]{1,3}(?:[\W_]+[^\W_]{1,3}(?![^\W_]))+")
+#: A single letter after or before a longer piece: "idio t".
+BESIDE = [re.compile(r"(?<![^\W_])(?=([^\W_]{4,}[\W_]+[^\W_])(?![^\W_]))"), re.compile(r"(?<![^\W_])(?=([^\W_][\W_]+[^\W_]{4,}))")]
 MARKS = re.compile("[\u0300-\u036f]+")
 _ALL = np.arange(SYMBOLS**3)
 #: Places of triples with a symbol that isn't a to z.
@@ -79,6 +86,18 @@ def words_of(text: str) -> list[str]:
     found = low.split()
     for m in SPELLED.finditer(low):
         found.append("".join(c for c in m[0] if c.isalnum()))
+    for m in SHORT.finditer(low):
+        tokens = TOKEN.findall(m[0])
+        for i, window in enumerate(tokens):
+            for k in range(i + 1, len(tokens)):
+                window += tokens[k]
+                if len(window) > LONGEST:
+                    break
+                if len(window) > 2:
+                    found.append(window)
+    for pattern in BESIDE:
+        for m in pattern.finditer(low):
+            found.append("".join(TOKEN.findall(m[1])))
     return found
 
 

@@ -202,6 +202,14 @@ def test_toxicity_finds_gapped_and_inserted_insults(insults):
     assert (p([clean, "", "suta vero", "bade " * 5000]) < 0.3).all()
 
 
+def test_toxicity_finds_insults_gapped_by_blanks(insults):
+    weights, bias, slope, offset = toxicity.fit(*insults)
+    p = lambda ts: 1 / (1 + np.exp(-(slope * np.array(toxicity.TextScorer(weights, bias).best(ts)) + offset)))
+    gapped = ["k  r  o  t  t  e  l", "k - r - o - t - t - e - l", "k. r. o. t. t. e. l", "kro tt el", "krotte l", "k rottel", "bade fi kro tte l"]
+    assert (p(gapped) >= 0.3).all()
+    assert (p(["bade fi golu mane", "fi ba de go", "suta ve ro pi"]) < 0.3).all()
+
+
 def test_toxicity_query_on_held_out_rows(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = queries.op8_string_kernel(spark, SF).collect()
