@@ -11,7 +11,7 @@ Letters of all scripts and digits are symbols of their own: accents are folded
 are hashed by code point into its further places.
 
 Training (driver, bounded): at most ``max_rows`` labelled texts of each class,
-chosen by the smallest hash of their id among rows that aren't held out, are
+chosen by the smallest hash of their id among rows with a text that aren't held out, are
 split into words.  Landmarks are words of them; words become vectors
 ``k(w, landmarks) K^-1/2``, and a linear SVM with squared hinge loss is fitted
 on the witness word of each toxic text against words of clean texts.  Witnesses
@@ -354,6 +354,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         .groupBy("_id")
         .agg(F.max(F.col("_y").cast("int")).alias("_y"))
     )
+    # labels of documents that aren't here, or have no text, take no places in the sample
+    narrow = narrow.join(docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_id")), "_id", "left_semi")
     sample = None
     for y in (0, 1):
         part = narrow.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)

@@ -222,6 +222,15 @@ def test_toxicity_query_on_held_out_rows(spark):
     assert sum(hit) / len(hit) >= 0.5 and sum(false) / len(false) < 0.1
 
 
+def test_toxicity_learns_from_labels_of_given_documents(spark, insults):
+    texts, toxic = insults
+    rows = [(20 * i, t) for i, t in enumerate(texts)] + [(20 * i + 1, None) for i in range(600)]
+    labels = spark.createDataFrame([(i, 0, toxic[i // 20] if i % 20 == 0 else i % 2) for i in range(12000)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs(spark, rows), labels, max_rows=100)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs(spark, [(1, "bade krottel"), (2, "bade golu mane")]), model).collect()}
+    assert got == {1: 1, 2: 0}
+
+
 def test_toxicity_awkward(spark):
     base = with_clashes(awkward(spark))
     labels = spark.createDataFrame([(i, 0, t) for i, t in [(1, 1), (1, 0), (2, 0), (4, 1), (5, None), (None, 1), (6, 0), (77, 1)]], "doc_id long, quality int, toxic int")
