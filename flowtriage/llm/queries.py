@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_trie, hilbert_search, langid, line_dedup, mixing, order_minhash, quality_ledger, reply_trees, surrogates, toxicity
+from . import bpe_trie, hilbert_search, langid, line_dedup, merkle_manifest, mixing, order_minhash, quality_ledger, reply_trees, scaled_sketch, surrogates, token_alignment, toxicity
 from .common import table
 from .sql import ORACLE
 
@@ -20,6 +20,12 @@ def vocab_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     found = hilbert_search.search(vectors, F.col("vec_id") % 100 == 0)
@@ -92,11 +98,26 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(docs, vocab_path(), piece_model_path())[0]
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle_manifest.FIELDS)
+    return merkle_manifest.verify(merkle_manifest.manifest(docs, altered={"text": merkle_manifest.tampering()}))
+
+
+def op13_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.beside_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_curve_search, op2_surrogates, op3_quality_ledger, op4_reply_trees, op5_naive_bayes,
         op6_order_minhash, op7_fair_queueing, op8_string_kernel, op9_trie_bpe, op10_line_dedup,
+        op11_token_alignment, op12_merkle_manifest, op13_scaled_sketch,
     )
 }
 

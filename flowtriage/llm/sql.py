@@ -1,8 +1,8 @@
 """DuckDB statements of the queries that SQL can express.
 
 Written from the contracts, not from the Spark code.  Operators 1 (which
-neighbours are found), 2 (keyed hashes), 5, 6, 8 and 9 have none; tests hold
-them against brute force, held-out accuracy or the tokenizer library.
+neighbours are found), 2 (keyed hashes), 5, 6, 8, 9, 11 and 13 have none; tests
+hold them against brute force, held-out accuracy or the tokenizer library.
 """
 
 from __future__ import annotations
@@ -80,6 +80,57 @@ select conv_id, count(*)::bigint as n_turns,
 from c group by conv_id
 """
 
+_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + _FIELD + ")"
+_LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+_MERKLE = f"""
+with recursive
+crc(doc_id, i, r) as (
+    select distinct doc_id, 0, 4294967295::bigint from documents where doc_id is not null
+    union all
+    select doc_id, i + 1, list_reduce(list_prepend(xor(r, ord(substr(doc_id::varchar, (i + 1)::bigint, 1))::bigint), range(8)),
+                                      lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384::bigint) else a >> 1 end)
+    from crc where i < length(doc_id::varchar)),
+hit as (select doc_id as hit_id from crc where i = length(doc_id::varchar) and xor(r, 4294967295::bigint) % 5 = 0),
+d as (
+    select doc_id, coalesce('1' || source, '0') as g, {_LEAF.format("text")} as leaf,
+           case when hit_id is null then {_LEAF.format("text")} else {_LEAF.format(_LOW)} end as other
+    from documents left join hit on doc_id = hit_id),
+leaves as (select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by g) as n,
+                  row_number() over () as id from d),
+tree(g, lvl, pos, h, n) as (
+    select g, 0, pos, leaf, n from leaves
+    union all
+    select g, lvl + 1, pos // 16, sha256(string_agg(h, '' order by pos)), (any_value(n) + 15) // 16 from tree where n > 1 group by g, lvl, pos // 16),
+subs as (select g, h, row_number() over (order by g) - 1 as pos, count(*) over () as n from tree where n = 1),
+crown(lvl, pos, h, n) as (
+    select 0, pos, h, n from subs
+    union all
+    select lvl + 1, pos // 16, sha256(string_agg(h, '' order by pos)), (any_value(n) + 15) // 16 from crown where n > 1 group by lvl, pos // 16),
+sides as (
+    select g, lvl, pos, coalesce(string_agg(h, '') over (w rows between unbounded preceding and 1 preceding), '') as l,
+           coalesce(string_agg(h, '') over (w rows between 1 following and unbounded following), '') as r
+    from (select g, lvl, pos, h, n from tree union all select null, lvl, pos, h, n from crown)
+    where n > 1 window w as (partition by g, lvl, pos // 16 order by pos)),
+walk(id, g, lvl, pos, proof, acc) as (
+    select id, g, 0, pos, '', other from leaves
+    union all
+    select id, walk.g, walk.lvl + 1, walk.pos // 16, proof || l || r, sha256(l || acc || r)
+    from walk join sides on walk.g = sides.g and walk.lvl = sides.lvl and walk.pos = sides.pos),
+grown as (select id, g, proof, acc from walk qualify row_number() over (partition by id order by lvl desc) = 1),
+rise(id, lvl, pos, proof, acc) as (
+    select id, 0, subs.pos, proof, acc from grown join subs on grown.g = subs.g
+    union all
+    select id, rise.lvl + 1, rise.pos // 16, proof || l || r, sha256(l || acc || r)
+    from rise join sides on sides.g is null and rise.lvl = sides.lvl and rise.pos = sides.pos),
+whole as (select id, proof, acc from rise qualify row_number() over (partition by id order by lvl desc) = 1),
+root as (select h from crown where n = 1)
+select doc_id, leaf, subs.h as subroot, root.h as root, sha256(proof) as proof_sha256, acc as folded_root, acc = root.h as verified
+from leaves join whole on leaves.id = whole.id join subs on leaves.g = subs.g, root
+"""
+
 ORACLE = {
     "op3_quality_ledger": _LEDGER
     + """
@@ -91,4 +142,5 @@ from m
     "op4_reply_trees": _CHATS,
     "op7_fair_queueing": _MIX,
     "op10_line_dedup": _LINES,
+    "op12_merkle_manifest": _MERKLE,
 }
