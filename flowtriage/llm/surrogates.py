@@ -3,8 +3,11 @@ r"""Operator 2, personal data replaced by keyed surrogates.
 Detected: e-mail addresses, IPv4 and IPv6 addresses, phone numbers (with + or
 brackets, national ones with a leading 0, 1 or 8 or in the usual groups, others
 behind a word such as "call"), payment card and social security numbers, IBANs,
-persons behind a title, and secrets (access keys; passwords and tokens of six
-characters or more behind their word, in any case and quoted or not).  Every distinct entity of the corpus, in canonical
+persons behind a title (as usually written, in capitals, or abbreviated in small
+letters with a point) and their names wherever the same text says them again with
+a capital, and secrets (access keys; passwords and tokens of six characters or
+more behind their word, in any case and quoted or not; bearer tokens; user and
+password in a URL).  Every distinct entity of the corpus, in canonical
 form (lower-case address, digits of a number, a single name), gets one
 surrogate drawn from a keyed SHA-256, so all its mentions are replaced alike
 whatever their punctuation or case, and nobody without the key can undo it.
@@ -22,6 +25,9 @@ of fixed formats after twelve, and grow with each further draw (names by names
 or letters, addresses, numbers and secrets by signs, IPv4 into IPv6), so the
 draws end whatever the corpus holds.  Secrets of signs alone get other signs.
 
+Texts and entities may be of any length; what repeats is matched by character
+classes or a bounded number of groups, so no text exhausts the engine's stack.
+
 Null text stays null, text without entities stays as it is.  Rows are matched
 by id and text, so repeated rows get the same result; null ids and empty tables
 are fine; input columns named as the results are replaced.
@@ -56,15 +62,25 @@ GIVEN = {
     ("n", "cyrillic"): "Валя Женя Саша Слава Тоня Шура".split(),
 }
 
-_NAME = r"[\p{Lu}][\p{L}]*(?:['’\-][\p{L}]+)*"
+#: One character class per run, since Java's engine recurses for every repeat of a group.
+_NAME = r"\p{Lu}[\p{L}'’\-]*(?<=\p{L})"
 _WORDY = r"A-Za-z0-9"
+_ANY_WORDY = r"\p{L}\p{N}"
+_SHORT_TITLES = ("mr", "mrs", "ms", "dr", "prof", "sr", "sra", "mme", "mlle")
+#: Titles as usually written and in capitals; abbreviations in small letters too, with their point.
+_TITLE = "(?:(?:" + "|".join(t for n in MALE + FEMALE + NEUTRAL for t in (n, n.upper())) + ")\\.?|(?:" + "|".join(_SHORT_TITLES) + ")\\.)"
 _HEX4 = "[0-9A-Fa-f]{1,4}"
 #: A secret's word with what stands between it and the value, and the word before a phone number.
 _WORD = r"(?i:password|passwd|passphrase|passcode|pwd|secret(?:[_\- ]?(?:access[_\- ]?)?key)?|token|(?:api|access|private)[_\- ]?key)\\?[\"']?(?:[ \t]{0,8}|\s)(?:=>|:=|[=:])(?:[ \t]{0,8}|\s)\\?[\"']?"
+_BEARER = r"(?i:bearer)[ \t]{1,8}"
+#: "password is", whose value must hold a digit
+_IS = r"(?i:password|passwd|passphrase|passcode|pwd|token)[ \t]{1,8}(?i:is)[ \t:]{1,8}[\"']?"
 _CUE = r"(?i:telephone|telefon|tel|phone|mobile|call|cell|fax|тел)[.:]{0,2} ?"
 PATTERNS = {
-    "email": rf"(?<![{_WORDY}._%+\-])[{_WORDY}._%+\-]++@[{_WORDY}\-]+(?:\.[{_WORDY}\-]+)*\.[A-Za-z]{{2,}}",
-    "secret": rf"(?<![{_WORDY}])(?:(?:AKIA|ASIA)[A-Z0-9]{{16}}|gh[pousr]_[{_WORDY}]{{30,}}|sk-[{_WORDY}\-]{{20,}})(?![{_WORDY}])|{_WORD}[^\s\"',;]{{6,}}(?![{_WORDY}])",
+    # user and password of an address come before the e-mail that they look like; a domain has at most 127 labels
+    "login": r"://[^\s/:@]{1,256}:[^\s/@]{1,256}@",
+    "email": rf"(?<![{_ANY_WORDY}._%+\-])[{_ANY_WORDY}._%+\-]++@[{_ANY_WORDY}\-]+(?:\.[{_ANY_WORDY}\-]+){{0,125}}\.\p{{L}}{{2,}}",
+    "secret": rf"(?<![{_WORDY}])(?:(?:AKIA|ASIA)[A-Z0-9]{{16}}|gh[pousr]_[{_WORDY}]{{30,}}|sk-[{_WORDY}\-]{{20,}})(?![{_WORDY}])|{_WORD}[^\s\"',;]{{6,}}(?![{_WORDY}])|{_BEARER}[{_WORDY}._~+/=\-]{{16,}}|{_IS}(?=\S*\d)[^\s\"',;]{{6,}}(?![{_WORDY}])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![A-Za-z0-9.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![A-Za-z0-9]|\.\d)",
     # short forms need a digit or a third group, so that a::b of program code stays
@@ -77,11 +93,12 @@ PATTERNS = {
     r"|(?<![A-Za-z0-9.\-])(?=0(?:[ .\-]?\d){8})(?:0[1-9](?:[ .\-]\d{2}){4}|0\d{1,4}[ .\-]\d{3,4}[ .\-]\d{3,5}|0\d{2,5}[ \-]\d{5,8}|0\d{1,4}(?: \d{2,4}){2,4})(?![A-Za-z0-9\-])"
     r"|(?<![A-Za-z0-9.\-])1[3-9]\d[ \-]\d{4}[ \-]\d{4}(?![A-Za-z0-9\-])"
     rf"|(?<![A-Za-z0-9]){_CUE}(?!\d{{4}}-\d\d-\d\d)\d(?:[ \-]?\d){{6,12}}(?![A-Za-z0-9]|[ .\-]\d)",
-    "person": rf"(?<![\p{{L}}])(?:(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? {_NAME}(?: {_NAME}){{0,2}}|(?:г-н|г-жа|господин|госпожа) {_NAME}(?: {_NAME}){{0,2}})",
+    "person": rf"(?<![\p{{L}}])(?:{_TITLE} {_NAME}(?: {_NAME}){{0,2}}|(?:г-н|г-жа|господин|госпожа) {_NAME}(?: {_NAME}){{0,2}})",
 }
+_LONE_NAME = rf"(?<![\p{{L}}]){_NAME}"
 ANY = "(?:" + "|".join(PATTERNS.values()) + ")"
 #: What every entity contains; checked first.
-HINT = rf"[0-9@]|[=:]\s{{0,8}}\S|(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? \p{{Lu}}|г-|оспо"
+HINT = rf"[0-9@]|[=:]\s{{0,8}}\S|{_TITLE} \p{{Lu}}|{_BEARER}|г-|оспо"
 
 _CLASSES = (
     # (a character of the class, what it is replaced by) for single names
@@ -199,8 +216,8 @@ def _surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
     host_seed = F.concat_ws("|", F.lit(key), F.lit("domain"), domain)
     host = F.regexp_extract(domain, r"^(.*)\.([^.]+)$", 1)
     email = F.concat(
-        _spell(local, seed, _PLAIN), _more(seed, longer, "bcdfghklmnprstvwz"),
-        F.lit("@"), _spell(host, host_seed, _PLAIN), F.lit("."), F.regexp_extract(domain, r"^(.*)\.([^.]+)$", 2),
+        _spell(local, seed, _LETTERS), _more(seed, longer, "bcdfghklmnprstvwz"),
+        F.lit("@"), _spell(host, host_seed, _LETTERS), F.lit("."), F.regexp_extract(domain, r"^(.*)\.([^.]+)$", 2),
     )
     digits = _more(seed, full, "0123456789")
     body = _spell(canon, seed, (("[0-9]", "0123456789"),))
@@ -240,15 +257,16 @@ def _parts(match: Column, kind: Column) -> Column:
     digits = F.regexp_replace(match, r"\D", "")
     empty = F.lit("")
     nothing = F.lit(None).cast("string")
-    label = F.regexp_extract(match, rf"^((?:AKIA|ASIA)|{_WORD}|gh[pousr]_|sk-)(.*)$", 1)
+    label = F.regexp_extract(match, rf"^((?:AKIA|ASIA)|{_WORD}|gh[pousr]_|sk-|{_BEARER}|{_IS}|://)(.*)$", 1)
     rest = F.substring(match, F.char_length(label) + 1, F.char_length(match))
     cue = F.regexp_extract(match, f"^{_CUE}", 0)
     number = F.substring(match, F.char_length(cue) + 1, F.char_length(match))
     # 1 800 555 1234 is +1 800 555 1234
     plus = F.when(match.startswith("+") | digits.rlike(r"^1[2-9]\d{9}$") & ~number.rlike(r"^\d{3}\D"), "+").otherwise("")
     tokens = F.split(match, " ", -1)
-    title = F.regexp_replace(F.element_at(tokens, 1), r"\.$", "")
-    gender = F.when(title.isin(*MALE, "г-н", "господин"), "m").when(title.isin(*FEMALE, "г-жа", "госпожа"), "f").otherwise("n")
+    title = F.lower(F.regexp_replace(F.element_at(tokens, 1), r"\.$", ""))
+    male, female = [t.lower() for t in (*MALE, "г-н", "господин")], [t.lower() for t in (*FEMALE, "г-жа", "госпожа")]
+    gender = F.when(title.isin(*male), "m").when(title.isin(*female), "f").otherwise("n")
 
     def name(x, i):
         script = F.when(x.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
@@ -261,7 +279,7 @@ def _parts(match: Column, kind: Column) -> Column:
 
     return (
         F.when(kind == "person", F.transform(tokens, name))
-        .when(kind == "secret", F.array(part(label, kind, rest, rest)))
+        .when(kind.isin("secret", "login"), F.array(part(label, F.lit("secret"), rest, rest)))
         .when(kind == "email", alone("email", F.lower(match)))
         .when(kind == "ip", alone("ip", match))
         .when(kind == "ip6", alone("ip6", _expanded(match)))
@@ -306,18 +324,32 @@ def _as_said(said: Column, kind: Column, surrogate: Column) -> Column:
     )
 
 
+def _renamed(part: Column, names: Column) -> Column:
+    """The part of a text with the names that the map knows replaced, in the case they are said in."""
+
+    def other(name):
+        to = F.element_at(names, F.lower(name))
+        return F.when(to.isNull(), name).otherwise(_as_said(name, to["kind"], to["surrogate"]))
+
+    said = F.transform(F.regexp_extract_all(part, F.lit(_LONE_NAME), F.lit(0)), other)
+    return F.array_join(F.zip_with(F.split(part, _LONE_NAME, -1), said, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, surrogate) with distinct surrogates per kind, none of them an entity, from distinct (kind, canon)."""
-    table = entities.withColumn("attempt", F.lit(0))
+    known = entities.select("kind", F.col("canon").alias("surrogate"))
+    settled, left = None, entities.withColumn("attempt", F.lit(0))
     while True:  # spaces grow with the attempt
-        table = materialise(table.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "surrogates")
-        first = table.groupBy("kind", "surrogate").agg(F.min("canon").alias("winner"))
-        known = entities.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("known"))
-        judged = table.join(first, ["kind", "surrogate"]).join(known, ["kind", "surrogate"], "left")
-        judged = judged.withColumn("again", (F.col("canon") != F.col("winner")) | F.col("known").isNotNull())
-        if not judged.where("again").limit(1).count():
-            return table.select("kind", "canon", "surrogate")
-        table = judged.select("kind", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+        drawn = materialise(left.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "surrogates")
+        first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
+        taken = known if settled is None else known.unionByName(settled.select("kind", "surrogate"))
+        won = first.join(taken, ["kind", "surrogate"], "left_anti")
+        won = materialise(won.select("kind", "canon", "surrogate"), "surrogates-settled")
+        settled = won if settled is None else settled.unionByName(won)
+        # only the losers draw again
+        left = materialise(drawn.join(won, ["kind", "canon"], "left_anti").select("kind", "canon", (F.col("attempt") + 1).alias("attempt")), "surrogates-left")
+        if not left.limit(1).count():
+            return settled
 
 
 def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -331,7 +363,7 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def replace_personal_data(docs: DataFrame, secret: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with surrogates in ``text`` and n_replaced (long), the number of replaced mentions."""
-    docs = free_names(docs, "n_replaced", "_k1", "_k2", "_new")
+    docs = free_names(docs, "n_replaced", "_k1", "_k2", "_new", "_names")
     said = materialise(mentions(docs, key, text), "mentions")
     entities = materialise(said.where("kind is not null").select("kind", "canon").distinct(), "entities")
     table = surrogate_table(entities, secret)
@@ -342,8 +374,14 @@ def replace_personal_data(docs: DataFrame, secret: str, text: str = "text", key:
     per = per.select("_k1", "_k2", "place", F.array_join(F.transform("parts", lambda x: x["new"]), "").alias("new"))
     per = per.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"))
     per = per.select("_k1", "_k2", F.transform("_new", lambda x: x["new"]).alias("_new"))
+    # names that the text says behind a title, to be replaced where it says them without one
+    named = new.where((F.col("kind") == "family") | F.col("kind").startswith("given"))
+    named = named.groupBy("_k1", "_k2", "canon").agg(F.max(F.struct("kind", "surrogate")).alias("to")).groupBy("_k1", "_k2")
+    named = named.agg(F.map_from_entries(F.collect_list(F.struct("canon", "to"))).alias("_names"))
+    per = per.join(named, ["_k1", "_k2"], "left")
     rows = docs.select(*row_key(F.col(key), F.col(text)), *docs.columns).join(per, ["_k1", "_k2"], "left")
     between = F.split(F.col(text), ANY, -1)
+    between = F.when(F.col("_names").isNull(), between).otherwise(F.transform(between, lambda x: _renamed(x, F.col("_names"))))
     woven = F.array_join(F.zip_with(between, F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     changed = F.when(F.col("_new").isNull(), F.col(text)).otherwise(woven)
     n = F.coalesce(F.size("_new"), F.lit(0)).cast("long")
