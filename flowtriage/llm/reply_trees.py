@@ -13,7 +13,8 @@ roles a line feed becomes ``\n``), which ``parse`` undoes, so a text can't end
 its turn or start another.  ``loss_spans`` are the code point ranges of the
 assistant's (escaped) texts.
 
-Null texts and roles are empty.  A message whose parent is null or missing is a
+Null texts and roles are empty.  Messages without a tree id are one tree, whose id
+is null in the result; messages without a node id take no part.  A message whose parent is null or missing is a
 root.  Messages whose ancestors form a circle are on no path.  Several rows
 of one node are that node's largest row.  An empty table gives an empty result;
 other input columns are ignored.
@@ -83,7 +84,10 @@ def paths(links: DataFrame) -> DataFrame:
 def format_trees(messages: DataFrame, top: int | None = None, train_role: str = "assistant") -> DataFrame:
     """(tree, leaf, branch, score, n_turns, formatted, loss_spans): the ``top`` best branches (all if None) of each tree as conversations."""
     one = F.max(F.struct("parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "score")).alias("m")
-    messages = messages.where("tree is not null and node is not null").groupBy("tree", "node").agg(one).select("tree", "node", "m.*")
+    # joins need a tree that isn't null
+    kind = messages.schema["tree"].dataType
+    messages = messages.withColumn("tree", F.coalesce(F.concat(F.lit("1"), F.col("tree").cast("string")), F.lit("0")))
+    messages = messages.where("node is not null").groupBy("tree", "node").agg(one).select("tree", "node", "m.*")
     messages = materialise(messages, "tree-messages")
     walked = paths(messages.select("tree", "node", "parent"))
     scored = walked.join(messages.select("tree", "node", "score"), ["tree", "node"])
@@ -104,7 +108,8 @@ def format_trees(messages: DataFrame, top: int | None = None, train_role: str =
     spans = F.transform(F.filter("ps", lambda p: p["role"] == train_role), lambda p: F.struct(p["begin"].alias("begin"), p["end"].alias("end")))
     formatted = F.array_join(F.transform("ps", lambda p: p["piece"]), "")
     whole = whole.select("tree", "leaf", formatted.alias("formatted"), spans.alias("loss_spans"))
-    return branches.join(whole, ["tree", "leaf"]).select("tree", "leaf", "branch", "score", "n_turns", "formatted", "loss_spans")
+    tree = F.when(F.col("tree") != "0", F.expr("substring(tree, 2)")).cast(kind).alias("tree")
+    return branches.join(whole, ["tree", "leaf"]).select(tree, "leaf", "branch", "score", "n_turns", "formatted", "loss_spans")
 
 
 def parse(formatted: Column) -> Column:
