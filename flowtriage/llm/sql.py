@@ -18,7 +18,7 @@ keyed as (
     select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
     from lines),
-often as (select k from keyed where length(k) >= 1 group by k having count(distinct doc_id) >= 10)
+often as (select k from keyed where length(k) >= 1 group by k having count(distinct coalesce(doc_id::varchar, '-')) >= 10)
 select doc_id, count(*) as n_lines, count(o.k) as n_dropped,
        sha256(coalesce(string_agg(case when o.k is null then line end, chr(10) order by pos), '')) as kept_sha256
 from keyed left join often o on keyed.k = o.k

@@ -112,13 +112,21 @@ def test_reply_trees_awkward(spark):
     rows = [(1, 1, 2, "user", "circle", None, 0), (1, 2, 1, "user", "circle", None, 0), (1, 3, 1, "user", "tail", None, 0), (1, 4, 99, "user", "root", None, 0),
         (1, 4, 99, "user", "root", None, 0), (None, 1, None, "user", "x", None, 0), (2, None, None, "user", "x", None, 0)]
     got = reply_trees.format_trees(spark.createDataFrame(rows, schema)).collect()
-    assert [(r.tree, r.leaf, r.n_turns) for r in got] == [(1, 4, 1)]
+    assert sorted((r.tree or 0, r.leaf, r.n_turns) for r in got) == [(0, 1, 1), (1, 4, 1)]
     assert reply_trees.format_trees(spark.createDataFrame([], schema)).count() == 0
     chat = spark.createDataFrame([(1, None, None, None), (1, 5, "user", "b"), (1, 5, "assistant", "a")], "conv_id long, turn long, role string, text string")
     one = reply_trees.format_trees(reply_trees.chain(chat)).withColumn("t", reply_trees.parse(F.col("formatted"))).collect()
     assert [[tuple(x) for x in r.t] for r in one] == [[("", ""), ("assistant", "a"), ("user", "b")]]
 
 
+def test_rows_without_conversation_id_are_one_conversation(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (None, 0, "user", "c"), (None, 1, "assistant", "d")], "conv_id long, turn long, role string, text string")
+    got = reply_trees.format_trees(reply_trees.chain(rows))
+    assert got.schema["tree"].dataType.simpleString() == "bigint"
+    found = {r.tree: [x.text for x in r.t] for r in got.withColumn("t", reply_trees.parse(F.col("formatted"))).collect()}
+    assert found == {1: ["a", "b"], None: ["c", "d"]}
+
+
 def test_long_chain(spark):
     rows = spark.range(700).selectExpr("1l conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('t', id) text")
     r = reply_trees.format_trees(reply_trees.chain(rows)).withColumn("t", reply_trees.parse(F.col("formatted"))).collect()

@@ -46,13 +46,20 @@ def test_line_dedup_brute_force(spark):
     assert [tuple(r) for r in got] == brute_lines([t for _, t in rows], 20, 1)
 
 
+def test_line_dedup_counts_documents_not_rows(spark):
+    rows = [(7, "hello\nown line")] * 12 + [(None, "nobody's")] * 12 + [(8, "hello"), (9, "nobody's")] + [(i, "shared") for i in range(10, 20)]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs(spark, rows), min_docs=10).collect()}
+    assert got[7] == ("hello\nown line", 0) and got[8] == ("hello", 0) and got[9] == ("nobody's", 0) and got[None] == ("nobody's", 0)
+    assert all(got[i] == ("", 1) for i in range(10, 20))
+
+
 def test_line_dedup_awkward(spark):
     base = with_clashes(awkward(spark))
     got = line_dedup.dedup_lines(base, min_docs=3).collect()
     assert len(got) == base.count()
     by = {r.doc_id: r for r in got if r.doc_id is not None}
     assert (by[1].n_lines, by[2].n_lines, by[3].n_lines) == (1, 1, 2)
-    assert by[4].n_dropped == 1 and by[4].text == ""  # in three rows: two equal ones and one without id
+    assert by[4].n_dropped == 0  # in two documents: two equal rows of one id, and one without id
     assert by[5].n_lines == 6000 and by[5].n_dropped == 0
     assert by[1].text is None
     assert line_dedup.dedup_lines(base, report=False).columns == base.columns
@@ -218,6 +225,38 @@ def test_surrogates_find_each_form(spark):
     assert a == b and "::" in new[18] and "::" not in new[19] and all(ipaddress.ip_address(x) for x in new[20:])
 
 
+def test_names_are_replaced_wherever_the_text_says_them(spark):
+    texts = ["Dr. Maria Garcia-Lopez or Maria Garcia-Lopez, said GARCIA-LOPEZ", "MR. O'BRIEN and Mr. O'Brien; O'Brien's", "mr. Novak met Nováková, Novak", "Garcia-Lopez of another text"]
+    got = {r.doc_id: r.text for r in surrogates.replace_personal_data(docs(spark, list(enumerate(texts))), "k").collect()}
+    m = re.match(r"Dr\. (\S+) (\S+) or (\S+) (\S+), said (\S+)$", got[0])
+    assert m and m[1] == m[3] != "Maria" and m[2] == m[4] and m[5] == m[2].upper() and "arcia" not in got[0].lower()
+    m = re.match(r"MR\. (\S+) and Mr\. (\S+); (\S+)$", got[1])
+    assert m and "BRIEN" not in got[1].upper().replace("O'BRIEN'S", "") and m[1] == m[2].upper()
+    m = re.match(r"mr\. (\S+) met Nováková, (\S+)$", got[2])
+    assert m and m[1] == m[2] != "Novak" and got[3] == texts[3]
+
+
+def test_surrogates_find_more_forms(spark):
+    found = ["josé@exämple.org", "Bearer eyJhbGciOiJIUzI1NiJ9.e30.Zm9v", "password is hunter22", "ftp://user:pass8word@host.example.org/x"]
+    left = ["the password is required", "http://host.example.org:8080/x", "a bearer of news"]
+    got = {r.doc_id: (r.text, r.n_replaced) for r in surrogates.replace_personal_data(docs(spark, [*enumerate(found), *enumerate(left, 100)]), "k").collect()}
+    assert not any(x in got[i][0] for i, x in enumerate(["josé", "eyJhbG", "hunter22", "user"])) and "pass8word" not in got[3][0]
+    assert got[0][0].endswith(".org") and got[3][0].startswith("ftp://") and got[3][0].endswith("@host.example.org/x")
+    assert [t for i, t in enumerate(left, 100) if got[i] != (t, 0)] == []
+
+
+def test_surrogates_take_very_long_rows(spark):
+    n = 100_000
+    long = ["x@" + "a." * (n // 2) + "com", "Mr. A" + "-a" * (n // 2), "Mr. " + "A" * n, "password=" + "a1" * 2000, "a" * n + "@b.com", "4111 " * (n // 5), "1." * n, "+1" + " 22" * n, ":a" * n,
+            "token " * (n // 6), "Dr. Xu " * (n // 7), "DE89 " * (n // 5), "://a:" * (n // 5), "Bearer " + "a." * 2000]
+    rows = [(i, t) for i, t in enumerate(long)] + [(100, "ip 61.131.143.218"), (101, " ".join(["mail a.b@c.org"] * 3000))]
+    got = {r.doc_id: (r.text, r.n_replaced) for r in surrogates.replace_personal_data(docs(spark, rows), "k").collect()}
+    assert len(got) == len(rows) and got[100][1] == 1 and got[101][1] == 3000 and "a.b@c.org" not in got[101][0]
+    assert got[1][1] == 1 and got[2][1] == 1 and "A-a-a-a-a" not in got[1][0] and got[3][1] == 1
+    # a name has at most three parts, "Xu Dr" being two
+    assert got[10][1] == -(-(n // 7) // 2)
+
+
 def test_secrets_without_plain_letters_are_replaced(spark):
     values = ["********", "==========", "пароль", "********", "!?!?!?!?", "密码密码密码"]
     got = surrogates.replace_personal_data(docs(spark, [(i, f"password: {v}") for i, v in enumerate(values)] + [(9, "ip 61.131.143.218")]), "k").collect()
