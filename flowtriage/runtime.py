@@ -34,11 +34,14 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "flowt
 def shared_dir(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the setting is absent (tests), it lies in the warehouse folder, which
-    a Spark application shares with its executors as well.
+    Without that setting a local session uses its warehouse folder; on a cluster,
+    whose machines need not share it, that is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return f"{conf.rstrip('/')}/flowtriage-{spark.sparkContext.applicationId}"
 
