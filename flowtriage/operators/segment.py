@@ -354,6 +354,38 @@ def silhouette_scores(
     return {c: float(got[c]) if c in got else -1.0 for c in label_cols}
 
 
+def silhouette_simplified(df: DataFrame, feature_cols: list, label_col: str) -> DataFrame:
+    """C3, ``method='simplified'``: (silhouette, n_rows, n_clusters) over all rows, by squared Euclidean distance.
+
+    A row's mean squared distance to a cluster is ‖x‖² − 2 x·m + q, from the
+    cluster's size, mean m and mean squared norm q; its own one excludes the row
+    itself.  Two passes, no sample, no pairs.  Noise (-1), null labels and rows with a
+    missing feature leave first; a row alone in its cluster scores 0; with fewer
+    than two clusters the value is -1.  The driver holds clusters × features numbers.
+    """
+    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in feature_cols]
+    rows = df.select(F.col(label_col).alias("__own"), *values).where(F.col("__own").isNotNull() & (F.col("__own") != -1))
+    for c in feature_cols:
+        rows = rows.where(F.col(c).isNotNull())
+    whole = rows.agg(*[F.avg(c).alias(c) for c in feature_cols]).first()
+    # around the common mean little cancels
+    rows = rows.select("__own", *[(F.col(c) - F.lit(whole[c])).alias(c) for c in feature_cols])
+    norm = sum((F.col(c) * F.col(c) for c in feature_cols), F.lit(0.0))
+    means = [F.avg(c).alias(c) for c in feature_cols]
+    found = rows.groupBy("__own").agg(F.count(F.lit(1)).alias("__n"), F.avg(norm).alias("__q"), *means).orderBy("__own").collect()
+    n_rows, k = sum(r["__n"] for r in found), len(found)
+    if k < 2:
+        return df.sparkSession.createDataFrame([(-1.0, n_rows, k)], "silhouette double, n_rows long, n_clusters int")
+    far = {r["__own"]: norm + F.lit(r["__q"]) - 2 * sum((F.col(c) * F.lit(r[c]) for c in feature_cols), F.lit(0.0)) for r in found}
+    far = {o: F.greatest(d, F.lit(0.0)) for o, d in far.items()}
+    own = F.coalesce(*[F.when(F.col("__own") == F.lit(r["__own"]), far[r["__own"]] * F.lit(r["__n"] / max(r["__n"] - 1, 1))) for r in found])
+    other = F.array_min(F.array(*[F.when(F.col("__own") != F.lit(o), d) for o, d in far.items()]))
+    alone = F.col("__own").isin([r["__own"] for r in found if r["__n"] == 1])
+    measured = rows.select(alone.alias("alone"), own.alias("a"), other.alias("b"))
+    score = F.when(F.col("alone") | (F.greatest("a", "b") == 0), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return measured.agg(F.avg(score).alias("silhouette"), F.count(F.lit(1)).alias("n_rows"), F.lit(k).alias("n_clusters"))
+
+
 # --- C4, W3 ---------------------------------------------------------------------------
 
 
