@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtriage.runtime import table_path
+from flowtriage.runtime import materialise, table_path
 
 KEY = "session_id"
 
@@ -85,6 +85,46 @@ def load_sessions(
     return out.withColumnRenamed(key, KEY) if key != KEY else out
 
 
+def quarantine_sessions(spark: SparkSession, path: str, schema: T.StructType | None = None, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """S1 with a reject table: (good rows as ``load_sessions`` gives them, rejected (file, line, column, reason, value)).
+
+    The files are read and parsed once, into a written table that both results
+    read.  A line is good or rejected, never both and never lost; a rejected one
+    has a row for every value that is not of its column's type, and one with null column where
+    its fields are not as many as the header's.  Blank lines and the header of each file
+    are no rows.  Columns are found by name as in ``load_sessions``.
+    """
+    wanted = schema or SESSION_CSV_SCHEMA
+    header = spark.read.option("header", True).csv(path)
+    require_columns(header, [f.name for f in wanted.fields], "quarantine_sessions")
+    names = header.columns
+    first = spark.read.text(path).first()[0]
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    lines = lines.where((F.btrim("line") != "") & (F.col("line") != first))
+    fields = ", ".join(f"`{c}` string" for c in names)
+    # an extra column marks lines with other than the header's number of fields
+    read = F.from_csv("line", f"{fields}, `__whole` string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__whole"})
+    parsed = lines.withColumn("row", read)
+    faults = [F.when(F.col("row.__whole").isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), F.lit("number of fields").alias("reason"), F.lit(None).cast("string").alias("value")))]
+    typed = []
+    for f in wanted.fields:
+        text = F.col("row")[f.name]
+        value = text.try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        fault = F.struct(F.lit(f.name).alias("column"), F.lit(f"not {f.dataType.simpleString()}").alias("reason"), text.alias("value"))
+        faults.append(F.when(F.col("row.__whole").isNull() & text.isNotNull() & value.isNull(), fault))
+    found = F.filter(F.array(*faults), lambda x: x.isNotNull())
+    table = materialise(parsed.select(*typed, "file", "line", found.alias("faults")), "quarantine")
+    good = table.where(F.size("faults") == 0).select(*[f.name for f in wanted.fields])
+    rejected = table.where(F.size("faults") > 0).select("file", "line", F.explode("faults").alias("f")).select("file", "line", "f.*")
+    return good.withColumnRenamed(key, KEY) if key != KEY else good, rejected
+
+
+def reject_counts(rejected: DataFrame) -> DataFrame:
+    """(column, reason, n) of a reject table."""
+    return rejected.groupBy("column", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def derive_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session table from orders ⟕ lineitem ⟕ customer, one row per order.
 
