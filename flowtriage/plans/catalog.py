@@ -1296,3 +1296,6 @@ def q_forest_scores(spark, sf):
     nodes = pd.DataFrame(FIXED_FOREST, columns=["tree", "node", "feature", "threshold", "left", "right", "size"])
     raw = iforest.score(x, iforest.Forest(list(S.FEATURE_ORDER), 8, 3, nodes))
     return raw.select("session_id", F.round("anomaly_score", 9).alias("anomaly_score"))
+
+
+from flowtriage.plans import catalog_more  # noqa: E402,F401  registers further queries
