@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from .bpe_trie import load_vocab, slices
 from .common import free_names, materialise
 
-CACHE_PARTS = 250_000
+CACHE_PARTS = 400_000
 #: Parts that the A library encodes as one string.
 JOINED = 4000
 MAX_BROADCAST = 1_000_000
@@ -80,8 +80,9 @@ class Vocabularies:
         known |= {t: i for i, t in enumerate(self.b_bytes) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))}
         #: A id to the B id of the same bytes, -1 where there is none.
         self.same = np.array([known.get(t, -1) for t in self.a_bytes])
-        self.a_names = [str(i) for i in range(len(self.a_bytes))]
-        self.b_names = [str(i) for i in range(self.n_b)]
+        # every id as text with what may follow it: within its side of a group, at the side's end
+        ids = [(x, range(n)) for n, ends in ((len(self.a_bytes), ",|"), (self.n_b, ",;")) for x in ends]
+        self.said = np.array([f"{i}{x}" for x, numbers in ids for i in numbers], dtype=object)
 
     def encode_a(self, parts: list[str]) -> list[int]:
         """Ids of all parts, each with a space in front, one after the other; a part that ends in white space is on its own."""
@@ -111,27 +112,42 @@ class Aligner:
 
     def __init__(self, vocabularies: Vocabularies):
         self.v = vocabularies
-        self._clear()
-
-    def _clear(self) -> None:
         self.place: dict[str, int] = {}
         self.names: list[str] = []
         self.facts = np.zeros((1024, 5), dtype=np.int64)  # n_a, n_b, n_groups, n_links, 1 if bytes differ
         self.codes = np.zeros(4096, dtype=np.int64)
         self.begin = np.zeros(1025, dtype=np.int64)
+        self.hits = np.zeros(1024, dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Keep the quarter of the cache that was met most often."""
+        n = len(self.place)
+        stay = np.sort(np.argsort(-self.hits[:n], kind="stable")[: CACHE_PARTS // 4])
+        parts = list(self.place)
+        self.place = {parts[i]: k for k, i in enumerate(stay.tolist())}
+        self.names = [self.names[i] for i in stay.tolist()]
+        many = self.begin[stay + 1] - self.begin[stay]
+        ends = np.cumsum(many)
+        self.codes = self.codes[np.repeat(self.begin[stay] - ends + many, many) + np.arange(many.sum())]
+        self.facts, self.hits = self.facts[stay], self.hits[stay] // 2
+        self.begin = np.append(0, ends)
+        self._room(1, 1)
 
     def _room(self, parts: int, codes: int) -> None:
-        while len(self.facts) < parts:
-            self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
-            self.begin = np.concatenate([self.begin, np.zeros(len(self.begin) - 1, dtype=np.int64)])
-        while len(self.codes) < codes:
-            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
+        more = max(parts - len(self.facts), 0)
+        if more:
+            more = max(more, len(self.facts))
+            self.facts = np.concatenate([self.facts, np.zeros((more, 5), dtype=np.int64)])
+            self.begin = np.concatenate([self.begin, np.zeros(more, dtype=np.int64)])
+            self.hits = np.concatenate([self.hits, np.zeros(more, dtype=np.int64)])
+        if len(self.codes) < codes:
+            self.codes = np.concatenate([self.codes, np.zeros(max(codes - len(self.codes), len(self.codes)), dtype=np.int64)])
 
     def learn(self, parts: set[str]) -> None:
         new = parts.difference(self.place)
         if len(self.place) + len(new) > CACHE_PARTS:
-            self._clear()
-            new = parts
+            self._forget()
+            new = parts.difference(self.place)
         new = list(new)
         if not new:
             return
@@ -141,14 +157,18 @@ class Aligner:
         a = np.array(v.encode_a(new), dtype=np.int64)
         found = v.b.encode(new, num_threads=1)
         get = v.b_bytes.__getitem__
-        differ = np.fromiter((b"".join(map(get, ids)) != r for ids, r in zip(found, raw)), bool, n)
+        sizes = np.fromiter(map(len, found), np.int64, n)
+        b = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+        b_of = np.repeat(np.arange(n), sizes)
+        differ = np.bincount(b_of, weights=v.size_b[b], minlength=n) != np.diff(ends, prepend=0)
+        if differ.any() or b"".join(map(get, b.tolist())) != b"".join(raw):
+            differ = np.fromiter((b"".join(map(get, ids)) != r for ids, r in zip(found, raw)), bool, n)
         a_end = np.cumsum(v.size_a[a])
         if a_end[-1] != ends[-1]:
             raise ValueError("the byte-level vocabulary doesn't give the text's bytes")
         a_of = np.searchsorted(ends, a_end)  # part of each token
         a, a_of = a[~differ[a_of]], a_of[~differ[a_of]]
-        sizes = np.fromiter(map(len, found), np.int64, n) * ~differ
-        b = np.fromiter(chain.from_iterable(ids for ids, bad in zip(found, differ) if not bad), np.int64, sizes.sum())
+        b, sizes = b[~differ[b_of]], sizes * ~differ
         a_end, b_end = np.cumsum(v.size_a[a]), np.cumsum(v.size_b[b])
         cuts = np.intersect1d(a_end, b_end, assume_unique=True)
         a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
@@ -168,31 +188,24 @@ class Aligner:
         self.facts[at : at + n] = np.column_stack(
             [np.bincount(a_of, minlength=n), sizes, np.bincount(g_of, minlength=n), per, differ]
         )
-        self.names += self._names(a.tolist(), b.tolist(), p.tolist(), q.tolist(), np.bincount(g_of, minlength=n).tolist())
+        # the contract's notation: the tokens of a group's sides one after the other, each with the sign that follows it
+        where = np.empty(len(a) + len(b), dtype=np.int64)
+        a_at = np.arange(len(a)) + (np.cumsum(q) - q)[a_group]
+        b_at = np.arange(len(b)) + a_last[b_group]
+        n_a = len(v.a_bytes)
+        where[a_at] = a + n_a * (np.arange(len(a)) == a_last[a_group] - 1)
+        where[b_at] = 2 * n_a + b + v.n_b * (np.arange(len(b)) == np.cumsum(q)[b_group] - 1)
+        said = v.said[where].tolist()
+        ends = np.cumsum(np.bincount(a_of, minlength=n) + sizes).tolist()
+        self.names += ["".join(said[i:j]) for i, j in zip([0, *ends], ends)]
         self.place.update(zip(new, range(at, at + n)))
 
-    def _names(self, a, b, p, q, groups) -> list[str]:
-        """Each part's groups in the contract's notation."""
-        an, bn = self.v.a_names, self.v.b_names
-        out, i, j, g = [], 0, 0, 0
-        for n in groups:
-            said = []
-            for g in range(g, g + n):
-                x, y = p[g], q[g]
-                if x == 1 and y == 1:
-                    said.append(f"{a[i]}|{b[j]}")
-                else:
-                    said.append(",".join([an[t] for t in a[i : i + x]]) + "|" + ",".join([bn[t] for t in b[j : j + y]]))
-                i, j = i + x, j + y
-            g += n > 0
-            out.append(";".join(said))
-        return out
-
     def __call__(self, texts: list[str]) -> pd.DataFrame:
         parts = [(parts_of(t) if self.v.splits else [t]) if t else [] for t in texts]
         self.learn({p for ps in parts for p in ps})
         get = self.place.__getitem__
         flat = np.fromiter(map(get, chain.from_iterable(parts)), np.int64)
+        self.hits[: len(self.place)] += np.bincount(flat, minlength=len(self.place))
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         owner = np.repeat(np.arange(len(texts)), sizes)
         sums = np.zeros((len(texts), 5), dtype=np.int64)
@@ -200,6 +213,7 @@ class Aligner:
             sums[:, c] = np.bincount(owner, weights=self.facts[flat, c], minlength=len(texts))
         empty = (sums[:, 4] > 0) | (sizes == 0)
         sums[empty] = 0
+        found, ends = flat.tolist(), np.cumsum(sizes).tolist()
         flat, owner = flat[~empty[owner]], owner[~empty[owner]]
         many = self.begin[flat + 1] - self.begin[flat]
         first = np.cumsum(many) - many
@@ -210,12 +224,7 @@ class Aligner:
         a = code // self.v.n_b
         same = self.v.same[a] == code % self.v.n_b
         said = self.names.__getitem__
-        ends, digests = np.cumsum(sizes), []
-        for i, none in enumerate(empty):
-            if none:
-                digests.append("")
-            else:
-                digests.append(hashlib.sha256(";".join(map(said, map(get, parts[i]))).encode()).hexdigest())
+        digests = ["" if none else hashlib.sha256("".join(map(said, found[i:j]))[:-1].encode()).hexdigest() for none, i, j in zip(empty, [0, *ends], ends)]
         cut = lambda values, chosen: np.split(values[chosen], np.searchsorted(of[chosen], np.arange(1, len(texts))))
         made = {"n_a": sums[:, 0], "n_b": sums[:, 1], "n_groups": sums[:, 2], "n_links": sums[:, 3], "groups_sha256": digests}
         made |= {"same": cut(a, same), "same_n": cut(times, same), "odd": cut(code, ~same), "odd_n": cut(times, ~same)}
