@@ -156,7 +156,17 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-_MEASURED = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, kept_in_edited double, kept_in_next double"
+#: The two sketches are written as what they share and what each has alone, six bytes a hash.
+_MEASURED = "n_chars long, edited_sha256 binary, shared binary, gone binary, came binary, near_edited double, near_next double, kept_in_edited double, kept_in_next double"
+
+
+def packed(sketch: np.ndarray) -> bytes:
+    return sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - DIGITS // 2 :].tobytes()
+
+
+def _unpacked(*parts: str) -> Column:
+    """The fingerprint of the hashes in several packed columns."""
+    return F.array_join(F.array_sort(F.concat(*[hashes(F.lower(F.hex(p))) for p in parts])), "")
 
 
 def measure(sketch: Sketcher, texts: list[str], following: list[str]) -> pd.DataFrame:
@@ -173,9 +183,10 @@ def measure(sketch: Sketcher, texts: list[str], following: list[str]) -> pd.Data
     return pd.DataFrame(
         {
             "n_chars": [len(t) for t in texts],
-            "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
-            "fingerprint": [written(s) for s in own],
-            "edited_fingerprint": [written(s) for s in other],
+            "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed],
+            "shared": [packed(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(own, other)],
+            "gone": [packed(np.setdiff1d(a, b, assume_unique=True)) for a, b in zip(own, other)],
+            "came": [packed(np.setdiff1d(b, a, assume_unique=True)) for a, b in zip(own, other)],
             "near_edited": [x[0] for x in to_edited],
             "near_next": [x[0] for x in to_next],
             "kept_in_edited": [x[1] for x in to_edited],
@@ -249,4 +260,7 @@ def beside_next(docs: DataFrame, key: str = "doc_id", text: str = "text", fracti
 
     closed = seams.select("id", "tail", "head").mapInPandas(close, f"id string, {_MEASURED}")
     kept = done.where("p < 0").select(closed.columns).unionByName(closed)
-    return kept.select(F.col("id").cast("long").alias(key), *closed.columns[1:])
+    return kept.select(
+        F.col("id").cast("long").alias(key), "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), _unpacked("shared", "gone").alias("fingerprint"),
+        _unpacked("shared", "came").alias("edited_fingerprint"), "near_edited", "near_next", "kept_in_edited", "kept_in_next",
+    )
