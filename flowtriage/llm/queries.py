@@ -81,10 +81,11 @@ def op8_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
+def token_digests(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id and the digests of ids and decoded text, and the columns ``more`` (of ``docs``, or ids)."""
     coded = bpe_trie.encode(docs, vocab_path(), decoded="decoded")
     return coded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "doc_id", *more, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
 

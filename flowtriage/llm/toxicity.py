@@ -10,19 +10,26 @@ Letters of all scripts and digits are symbols of their own: accents are folded
 (NFKD), triples of a to z have fixed places in the vector below, all others
 are hashed by code point into its further places.
 
+Pieces of a text are the letters and digits of its words, words over ``LONGEST``
+letters in overlapping parts; windows over runs of tokens of at most three
+letters; and a single letter joined with the word beside it, whatever signs and
+blanks stand between.
+
 Training (driver, bounded): at most ``max_rows`` labelled texts of each class,
 chosen by the smallest hash of their id among rows with a text that aren't held out, are
-split into words.  Landmarks are words of them; words become vectors
+split into distinct pieces by the executors.  Landmarks are pieces of them; pieces become vectors
 ``k(w, landmarks) K^-1/2``, and a linear SVM with squared hinge loss is fitted
-on the witness word of each toxic text against words of clean texts.  Witnesses
-and hard clean words are chosen anew in each round.  A logistic curve over the
+on the witness word of each toxic text against words of clean texts: ``n_clean`` drawn
+ones and, after each round, the ``n_hard`` that scored highest.  A witness of several
+texts weighs ``toxic_weight`` times their number, ``most_alike`` at most, over the number of toxic texts.
+Witnesses and hard clean words are chosen anew in each of ``rounds`` rounds.  A logistic curve over the
 best word of a text gives the score, fitted on texts that the SVM didn't see.
 
 Since the kernel is an inner product over triples, the fitted function of a
 word is one dot product of its triples with a fixed vector, which is broadcast
-(``SYMBOLS ** 3`` numbers).  Every word of every text is scored, each distinct
-word of a slice once; so are overlapping windows over runs of short pieces and
-over a single letter beside a word, whatever signs and blanks stand between.
+(``SYMBOLS ** 3`` numbers).  Every piece of every text is scored, one array pass
+over the letters of a slice of texts naming each by a 64-bit hash, distinct ones once;
+scores of ``CACHE_PIECES`` pieces are kept per task.
 Phrases of longer words are not seen together.
 
 Null and empty texts score as a text whose best word is neutral.  Without
@@ -37,6 +44,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -52,23 +60,15 @@ from .langid import held_out
 SYMBOLS = 36
 DECAY = 0.6
 LONGEST = 14
-CACHE_WORDS = 200_000
+SHORT = 3
+CACHE_PIECES = 1_000_000
 THRESHOLD = 0.3
 MAX_ROWS = 1500
 N_LANDMARKS = 400
 #: Words whose triples are looked up at once when landmarks are compared.
-SLICE = 64
+SLICE = 16
 NEUTRAL = -1.0
 
-#: Single letters with one sign or space between each other: "i d i o t".
-SPELLED = re.compile(r"(?<!\w)\w(?:[\W_]\w(?!\w)){2,}")
-
-
-TOKEN = re.compile(r"[^\W_]+")
-#: Two or more pieces of at most three letters, whatever stands between: "i - d - i - o - t", "id iot".
-SHORT = re.compile(r"(?<![^\W_])[^\W_]{1,3}(?:[\W_]+[^\W_]{1,3}(?![^\W_]))+")
-#: A single letter after or before a longer piece: "idio t".
-BESIDE = [re.compile(r"(?<![^\W_])(?=([^\W_]{4,}[\W_]+[^\W_])(?![^\W_]))"), re.compile(r"(?<![^\W_])(?=([^\W_][\W_]+[^\W_]{4,}))")]
 MARKS = re.compile("[\u0300-\u036f]+")
 _ALL = np.arange(SYMBOLS**3)
 #: Places of triples with a symbol that isn't a to z.
@@ -81,48 +81,78 @@ def folded(text: str) -> str:
     return low if low.isascii() else MARKS.sub("", unicodedata.normalize("NFKD", low)).lower()
 
 
-def words_of(text: str) -> list[str]:
-    low = folded(text)
-    found = low.split()
-    for m in SPELLED.finditer(low):
-        found.append("".join(c for c in m[0] if c.isalnum()))
-    for m in SHORT.finditer(low):
-        tokens = TOKEN.findall(m[0])
-        for i, window in enumerate(tokens):
-            for k in range(i + 1, len(tokens)):
-                window += tokens[k]
-                if len(window) > LONGEST:
-                    break
-                if len(window) > 2:
-                    found.append(window)
-    for pattern in BESIDE:
-        for m in pattern.finditer(low):
-            found.append("".join(TOKEN.findall(m[1])))
-    return found
-
-
-def _symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Letters and digits of each word as symbols, padded to LONGEST, and their number; longer words come in overlapping pieces (see ``pieces``)."""
-    codes = np.zeros((len(words), LONGEST), dtype=np.int64)
-    size = np.zeros(len(words), dtype=np.int64)
-    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    row = np.repeat(np.arange(len(words)), lengths)
-    col = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    codes[row, col] = np.where((flat >= 97) & (flat <= 122), flat - 97, 26 + flat)
-    size[:] = lengths
-    return codes, size
-
-
-def pieces(word: str) -> list[str]:
-    """The word's letters and digits, in overlapping parts of at most LONGEST."""
-    bare = word if word.isalnum() else "".join(c for c in word if c.isalnum())
-    if len(bare) < 3:
-        return []
-    if len(bare) <= LONGEST:
-        return [bare]
-    half = LONGEST // 2
-    return [bare[i : i + LONGEST] for i in range(0, len(bare) - half, half)]
+@cache
+def _kinds() -> np.ndarray:
+    """For every code point: 1 a letter or digit, 2 white space, 0 another sign."""
+    return np.fromiter((1 if c.isalnum() else 2 if c.isspace() else 0 for c in map(chr, range(0x110000))), np.int8, 0x110000)
+
+
+def _cut(begin: np.ndarray, end: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of three letters or more, those over LONGEST in overlapping parts."""
+    n, half = end - begin, LONGEST // 2
+    times = np.where(n < 3, 0, np.where(n <= LONGEST, 1, -((half - n) // half)))
+    first = np.repeat(begin, times)
+    first += half * (np.arange(len(first)) - np.repeat(np.cumsum(times) - times, times))
+    return first, np.minimum(first + LONGEST, np.repeat(end, times)), np.repeat(owner, times)
+
+
+def spans(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(letters and digits of all texts one after the other; begin, end and text of every piece in them)."""
+    low = [folded(t) for t in texts]
+    flat = np.frombuffer("\n".join(low).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    starts = np.cumsum([0, *[len(t) + 1 for t in low]])[:-1]
+    kind = _kinds()[flat]
+    letter = kind == 1
+    upto = np.concatenate([[0], np.cumsum(letter)])
+
+    def ranges(inside):
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+        begin, end = edge[0::2], edge[1::2]
+        return upto[begin], upto[end], np.searchsorted(starts, begin, side="right") - 1
+
+    found = [_cut(*ranges(kind != 2))]
+    begin, end, owner = ranges(letter)
+    size = end - begin
+    # windows of two tokens, three and so on from each short token, as long as short ones of the same text follow
+    small = np.flatnonzero(size <= SHORT)
+    last = small
+    while len(small):
+        last = last + 1
+        on = last < len(size)
+        small, last = small[on], last[on]
+        on = (size[last] <= SHORT) & (owner[last] == owner[small]) & (end[last] - begin[small] <= LONGEST)
+        small, last = small[on], last[on]
+        some = end[last] - begin[small] > 2
+        found.append((begin[small][some], end[last][some], owner[small][some]))
+    beside = ((size[:-1] == 1) & (size[1:] > SHORT)) | ((size[:-1] > SHORT) & (size[1:] == 1))
+    at = np.flatnonzero(beside & (owner[:-1] == owner[1:]))
+    found.append(_cut(begin[at], end[at + 1], owner[at]))
+    return flat[letter].astype(np.int64), *[np.concatenate(x) for x in zip(*found)]
+
+
+def pieces(text: str) -> list[str]:
+    """The distinct pieces of a text."""
+    letters, begin, end, _ = spans([text])
+    said = letters.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+    return sorted({said[i:j] for i, j in zip(begin.tolist(), end.tolist())})
+
+
+def _packed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letters of all words, begin and end of each)."""
+    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    end = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    return letters, np.concatenate([[0], end[:-1]]).astype(np.int64), end
+
+
+def _groups(letters: np.ndarray, begin: np.ndarray, end: np.ndarray, room: int):
+    """Yields (which pieces, their symbols) for pieces of one length, about ``room`` triples at once."""
+    size = end - begin
+    for n in np.unique(size).tolist():
+        at = np.flatnonzero(size == n)
+        for part in np.array_split(at, max(1, len(at) * len(_TRIPLES[n]) // room)):
+            if len(part):
+                c = letters[begin[part][:, None] + np.arange(n)]
+                yield part, np.where((c >= 97) & (c <= 122), c - 97, 26 + c)
 
 
 def _places(c: np.ndarray, trip: np.ndarray) -> np.ndarray:
@@ -143,14 +173,9 @@ _TRIPLES = {n: np.array(list(combinations(range(n), 3))) for n in range(3, LONGE
 
 def features(words: list[str]):
     """Yields (places in ``words``, triples, values) by word length; values are divided by the word's norm."""
-    codes, size = _symbols(words)
-    for n in np.unique(size):
-        at = np.flatnonzero(size == n)
-        trip = _TRIPLES[int(n)]
-        for part in np.array_split(at, max(1, len(at) * len(trip) // 400_000)):
-            if not len(part):
-                continue
-            c = codes[part]
+    if words:
+        for part, c in _groups(*_packed(words), 200_000):
+            trip = _TRIPLES[c.shape[1]]
             ids = _places(c, trip)
             values = np.broadcast_to(DECAY ** (trip[:, 2] - trip[:, 0] + 1.0), ids.shape)
             order = np.argsort(ids, axis=1, kind="stable")
@@ -183,77 +208,131 @@ def against(words: list[str], matrix: np.ndarray) -> np.ndarray:
     return out
 
 
+def span_scores(letters: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``weights`` times the normed features of every piece.
+
+    The product needs no equal triples put together.  The norm is the kernel of a
+    piece with itself: L M L' sums, for each pair of places, over all pairs of
+    equal letters before them, weighted by distance.
+    """
+    out = np.zeros(len(begin))
+    for part, c in _groups(letters, begin, end, 100_000):
+        n = c.shape[1]
+        trip = _TRIPLES[n]
+        value = weights[_places(c, trip)] @ (DECAY ** (trip[:, 2] - trip[:, 0] + 1.0))
+        steps = np.subtract.outer(np.arange(n), np.arange(n))
+        low = np.where(steps > 0, DECAY ** np.abs(steps).astype(float), 0.0)
+        same = (c[:, :, None] == c[:, None, :]).astype(float)
+        two = same * (low @ same @ low.T)
+        norm = DECAY**2 * (same * (low @ two @ low.T)).sum((1, 2))
+        out[part] = value / np.sqrt(norm)
+    return out
+
+
 def scores(words: list[str], weights: np.ndarray) -> np.ndarray:
     out = np.zeros(len(words))
-    for k in range(0, len(words), 30_000):
-        for part, ids, values in features(words[k : k + 30_000]):
-            out[k + part] = (weights[ids] * values).sum(1)
+    for k in range(0, len(words), 20_000):
+        out[k : k + 20_000] = span_scores(*_packed(words[k : k + 20_000]), weights)
     return out
 
 
+_U = np.uint64
+_FACTOR, _SEED = _U(0x9E3779B97F4A7C15), 0xBF58476D1CE4E5B9
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(31))) * _FACTOR
+    return x ^ (x >> _U(29))
+
+
 class TextScorer:
-    """Best score of the words of a text."""
+    """Best score of the pieces of a text."""
 
     def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias, self.cache = weights, bias, {}
-
-    def _learn(self, words: set[str]) -> None:
-        new = words.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = words
-        parts = {w: pieces(w) for w in new}
-        flat = sorted({p for ps in parts.values() for p in ps})
-        known = dict(zip(flat, (scores(flat, self.weights) + self.bias).tolist()))
-        for w, ps in parts.items():
-            self.cache[w] = max([known[p] for p in ps], default=NEUTRAL)
-
-    def best(self, texts: list[str]) -> list[float]:
-        found = [words_of(t) for t in texts]
-        self._learn({w for ws in found for w in ws})
-        get = self.cache.__getitem__
-        return [max(map(get, ws), default=NEUTRAL) for ws in found]
+        self.weights, self.bias = weights, bias
+        self.known, self.values = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.float32)
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def _names(self, letters: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of every piece, from differences of one running polynomial."""
+        while len(self.up) <= len(letters):
+            for name, base in (("up", _SEED), ("down", pow(_SEED, -1, 1 << 64))):
+                have = getattr(self, name)
+                setattr(self, name, np.concatenate([have, have * _U(pow(base, len(have), 1 << 64))]))
+        run = np.concatenate([[_U(0)], np.cumsum(_mixed(letters.astype(np.uint64) + _U(7)) * self.up[: len(letters)], dtype=np.uint64)])
+        return _mixed((run[end] - run[begin]) * self.down[begin] + (end - begin).astype(np.uint64) * _FACTOR)
+
+    def _learn(self, letters, begin, end, names, first) -> None:
+        if len(self.known) + len(names) > CACHE_PIECES:
+            self.known, self.values = self.known[:0], self.values[:0]
+        at = np.searchsorted(self.known, names)
+        new = np.ones(len(names), dtype=bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != names
+        own = first[new]
+        got = span_scores(letters, begin[own], end[own], self.weights) + self.bias
+        self.known = np.insert(self.known, at[new], names[new])
+        self.values = np.insert(self.values, at[new], got)
+
+    def best(self, texts: list[str]) -> np.ndarray:
+        letters, begin, end, owner = spans(texts)
+        best = np.full(len(texts), -np.inf)
+        if len(begin):
+            names, first, inverse = np.unique(self._names(letters, begin, end), return_index=True, return_inverse=True)
+            self._learn(letters, begin, end, names, first)
+            np.maximum.at(best, owner, self.values[np.searchsorted(self.known, names)][inverse])
+        return np.where(np.isinf(best), NEUTRAL, best)
 
 
 def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 12):
     """Linear SVM, squared hinge loss with weight ``c`` per row, by Newton steps on the rows inside the margin."""
-    x1 = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
-    w = np.zeros(x1.shape[1])
-    reg = np.eye(len(w))
-    reg[-1, -1] = 1e-3
+    m = x.shape[1] + 1
+    w = np.zeros(m)
     active = None
     for _ in range(steps):
-        inside = y * (x1 @ w) < 1
+        inside = y * (x @ w[:-1] + w[-1]) < 1
         if active is not None and (inside == active).all():
             break
         active = inside
-        a = x1[inside] * c[inside, None]
-        w = np.linalg.solve(reg + a.T @ x1[inside], a.T @ y[inside])
+        left, right = np.eye(m), np.zeros(m)
+        left[-1, -1] = 1e-3
+        for at in np.array_split(np.flatnonzero(inside), 1 + int(inside.sum()) // 500):
+            rows = np.hstack([x[at], np.ones((len(at), 1))]).astype(np.float64)
+            left += (rows * c[at, None]).T @ rows
+            right += (rows * c[at, None]).T @ y[at]
+        w = np.linalg.solve(left, right)
     return w[:-1], w[-1]
 
 
-def _bags(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
-    """(sorted distinct pieces of words, for each text the places of its pieces in that list)."""
-    first: dict[str, int] = {}
-    found = [np.fromiter({first.setdefault(p, len(first)) for w in set(words_of(t)) for p in pieces(w)}, np.int32) for t in texts]
-    words = sorted(first)
-    place = np.empty(len(words), dtype=np.int32)
-    for i, w in enumerate(words):
-        place[first[w]] = i
-    return words, [np.sort(place[f]) for f in found]
+def _bags(found: list[list[str]]) -> tuple[list[str], list[np.ndarray]]:
+    """(sorted distinct pieces, for each text the places of its pieces in that list)."""
+    words = sorted({p for ps in found for p in ps})
+    place = {w: i for i, w in enumerate(words)}
+    return words, [np.sort(np.fromiter(map(place.__getitem__, ps), np.int32, len(ps))) for ps in found]
 
 
 def _first_rates(words: list[str], bags: list[np.ndarray], toxic: list[int], clean: list[int]) -> np.ndarray:
     """For each word how well it, or a run of four letters in it, tells toxic from clean texts."""
-    names: dict[str, int] = {}
-    own = [[names.setdefault(g, len(names)) for g in {w[i : i + 4] for i in range(len(w) - 3)} | {w}] for w in words]
-    begin = np.cumsum([0, *map(len, own)])
-    flat = np.fromiter((g for gs in own for g in gs), np.int32, begin[-1])
-    del own
-    df = np.zeros((2, len(names)))
+    letters, begin, end = _packed(words)
+    run = np.zeros(len(letters), dtype=np.uint64)
+    for k in range(4):
+        run[: len(run) - k] = _mixed(run[: len(run) - k] + letters[k:].astype(np.uint64) + _FACTOR)
+    owner = np.repeat(np.arange(len(words)), end - begin)
+    run = run[np.arange(len(letters)) + 4 <= end[owner]]
+    size = np.maximum(end - begin - 3, 0) + 1
+    first = np.cumsum(size) - size
+    # a word's runs, then the word itself
+    names = np.empty(size.sum(), dtype=np.uint64)
+    itself = np.zeros(len(names), dtype=bool)
+    itself[first + size - 1] = True
+    names[~itself] = run
+    names[itself] = _mixed(np.arange(len(words), dtype=np.uint64) + _U(1 << 60))
+    flat = np.unique(names, return_inverse=True)[1].astype(np.int32)
+    begin = np.append(first, len(flat))
+    df = np.zeros((2, int(flat.max(initial=-1)) + 1))
     for label, rows in enumerate((clean, toxic)):
         for i in rows:
-            sizes = begin[bags[i] + 1] - begin[bags[i]]
+            sizes = size[bags[i]]
             at = np.repeat(begin[bags[i]] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             df[label][np.unique(flat[at])] += 1
     odds = np.log((df[1] + 0.05) / len(toxic)) - np.log((df[0] + 1.0) / len(clean))
@@ -267,13 +346,28 @@ def _best(values: np.ndarray, bag: np.ndarray) -> int:
     return int(bag[len(own) - 1 - np.argmax(own[::-1])])
 
 
-def fit(texts: list[str], labels: list[int], n_landmarks: int = N_LANDMARKS, rounds: int = 4, seed: int = 7):
-    """(weights over triples, bias, logistic slope, logistic offset) from labelled texts, or None without both classes."""
+def fit(texts: list[str], labels: list[int], **params):
+    """``fit_pieces`` on the pieces of texts."""
+    return fit_pieces([pieces(t) for t in texts], labels, **params)
+
+
+def fit_pieces(
+    found: list[list[str]],
+    labels: list[int],
+    n_landmarks: int = N_LANDMARKS,
+    rounds: int = 4,
+    n_clean: int = 6000,
+    n_hard: int = 3000,
+    toxic_weight: float = 1000.0,
+    most_alike: int = 20,
+    seed: int = 7,
+):
+    """(weights over triples, bias, logistic slope, logistic offset) from the pieces of labelled texts, or None without both classes."""
     labels = np.asarray(labels)
     rng = np.random.default_rng(seed)
-    words, bags = _bags(texts)
-    rows = [i for i in range(len(texts)) if len(bags[i])]
-    fold = np.arange(len(texts)) % 4 == 3
+    words, bags = _bags(found)
+    rows = [i for i in range(len(bags)) if len(bags[i])]
+    fold = np.arange(len(bags)) % 4 == 3
     both = lambda rs: ([i for i in rs if labels[i]], [i for i in rs if not labels[i]])
     toxic, clean = both([i for i in rows if not fold[i]])
     if not toxic or not clean:
@@ -289,24 +383,22 @@ def fit(texts: list[str], labels: list[int], n_landmarks: int = N_LANDMARKS, rou
     common = clean_words[np.argsort(-counts[clean_words], kind="stable")][: n_landmarks // 4].tolist()
     rest = clean_words[rng.permutation(len(clean_words))[: n_landmarks - len(strong) - len(common)]].tolist()
     landmarks = sorted({*strong, *common, *rest})
-    matrix = dense([words[w] for w in landmarks])
-    gram = (matrix @ matrix.T).astype(np.float64)
-    matrix = np.ascontiguousarray(matrix.T)
-    vals, vecs = np.linalg.eigh(gram)
+    matrix = np.ascontiguousarray(dense([words[w] for w in landmarks]).T)
+    vals, vecs = np.linalg.eigh((matrix.T @ matrix).astype(np.float64))
     good = vals > 1e-6 * vals.max()
-    root = vecs[:, good] / np.sqrt(vals[good])
-    negatives = set(clean_words[rng.permutation(len(clean_words))[:6000]].tolist()) | set(common)
+    root = (vecs[:, good] / np.sqrt(vals[good])).astype(np.float32)
+    negatives = set(clean_words[rng.permutation(len(clean_words))[:n_clean]].tolist()) | set(common)
     weights, bias = None, 0.0
     for _ in range(rounds):
         pos = Counter(witness.values())
         neg = sorted(negatives - set(pos))
         z = against([words[w] for w in (*pos, *neg)], matrix) @ root
         y = np.array([1.0] * len(pos) + [-1.0] * len(neg))
-        c = np.array([1000.0 * min(n, 20) / len(toxic) for n in pos.values()] + [1.0] * len(neg))
+        c = np.array([toxic_weight * min(n, most_alike) / len(toxic) for n in pos.values()] + [1.0] * len(neg))
         v, bias = _svm(z, y, c)
         weights = (matrix @ (root @ v)).astype(np.float64)
         value = scores(words, weights) + bias
-        hard = clean_words[np.argsort(-value[clean_words], kind="stable")][:3000].tolist()
+        hard = clean_words[np.argsort(-value[clean_words], kind="stable")][:n_hard].tolist()
         negatives = set(neg) | set(hard)
         # a text whose best word is no better than clean texts' words is a doubtful witness and leaves the next round
         limit = np.quantile([value[bags[i]].max() for i in clean], 0.999)
@@ -314,7 +406,7 @@ def fit(texts: list[str], labels: list[int], n_landmarks: int = N_LANDMARKS, rou
         kept = {i: w for i, w in chosen.items() if value[w] > min(limit, 0.0)}
         witness = kept or chosen
     value = scores(words, weights) + bias
-    check = np.flatnonzero(fold) if fold.any() and len(set(labels[fold].tolist())) == 2 else np.arange(len(texts))
+    check = np.flatnonzero(fold) if fold.any() and len(set(labels[fold].tolist())) == 2 else np.arange(len(bags))
     best = np.array([value[bags[i]].max() if len(bags[i]) else NEUTRAL for i in check])
     slope, offset = _logistic(best, labels[check])
     return weights, float(bias), slope, offset
@@ -364,8 +456,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     spark = docs.sparkSession
     chosen = spark.createDataFrame(ids.astype({"_y": "int32"}), "_id long, _y int") if len(ids) else sample
     rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_id")).where(F.col(text).isNotNull())
-    got = rows.groupBy("_id").agg(F.first("_y").alias("y"), F.max(text).alias("t")).toPandas().sort_values("_id")
-    return fit(got["t"].tolist(), got["y"].tolist(), **params) if len(got) else None
+    rows = rows.groupBy("_id").agg(F.first("_y").alias("y"), F.max(text).alias("t"))
+
+    @F.pandas_udf("array<string>")
+    def split(texts: pd.Series) -> pd.Series:
+        return pd.Series([pieces(t) for t in texts], dtype=object)
+
+    got = rows.select("_id", "y", split("t").alias("found")).toPandas().sort_values("_id")
+    return fit_pieces([list(x) for x in got["found"]], got["y"].tolist(), **params) if len(got) else None
 
 
 def score(docs: DataFrame, model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -381,8 +479,8 @@ def score(docs: DataFrame, model, text: str = "text", threshold: float = THRESHO
             weights, bias, slope, offset = shared.value
             scorer = TextScorer(weights, bias)
             for batch in batches:
-                for run in slices(batch):
-                    best = np.array(scorer.best(run))
+                for run in slices(batch, 500_000):
+                    best = scorer.best(run)
                     yield pd.Series(1 / (1 + np.exp(-np.clip(slope * best + offset, -60, 60))))
 
         got = toxic(F.col(text))
