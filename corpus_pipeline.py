@@ -33,7 +33,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_digests(docs)
+    return token_digests(docs, "source", "lang", "ids")
 
 
 STAGES = [
