@@ -43,7 +43,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import combinations
 
@@ -199,12 +199,25 @@ def dense(words: list[str]) -> np.ndarray:
     return out
 
 
-def against(words: list[str], matrix: np.ndarray) -> np.ndarray:
-    """Kernel of every word with the landmarks whose feature vectors are the columns of ``matrix``."""
+def landmark_matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(triples of the words, row of every triple, a row of features for each of them and one of zeros for all others)."""
+    parts = list(features(words))
+    used = np.unique(np.concatenate([ids.ravel() for _, ids, _ in parts]))
+    row = np.full(SYMBOLS**3, len(used), dtype=np.int32)
+    row[used] = np.arange(len(used))
+    matrix = np.zeros((len(used) + 1, len(words)), dtype=np.float32)
+    for part, ids, values in parts:
+        np.add.at(matrix, (row[ids], part[:, None]), values)
+    return used, row, matrix
+
+
+def against(words: list[str], matrix: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
+    """Kernel of every word with the landmarks whose features are the columns of ``matrix``, by triple or by ``row`` of the triple."""
     out = np.zeros((len(words), matrix.shape[1]), dtype=np.float32)
     for part, ids, values in features(words):
         for k in range(0, len(part), SLICE):
-            out[part[k : k + SLICE]] = np.einsum("wt,wtm->wm", values[k : k + SLICE].astype(np.float32), matrix[ids[k : k + SLICE]], optimize=True)
+            at = ids[k : k + SLICE] if row is None else row[ids[k : k + SLICE]]
+            out[part[k : k + SLICE]] = np.einsum("wt,wtm->wm", values[k : k + SLICE].astype(np.float32), matrix[at], optimize=True)
     return out
 
 
@@ -290,7 +303,7 @@ def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 12):
     w = np.zeros(m)
     active = None
     for _ in range(steps):
-        inside = y * (x @ w[:-1] + w[-1]) < 1
+        inside = y * (x @ w[:-1].astype(x.dtype) + w[-1]) < 1
         if active is not None and (inside == active).all():
             break
         active = inside
@@ -304,11 +317,14 @@ def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 12):
     return w[:-1], w[-1]
 
 
-def _bags(found: list[list[str]]) -> tuple[list[str], list[np.ndarray]]:
-    """(sorted distinct pieces, for each text the places of its pieces in that list)."""
-    words = sorted({p for ps in found for p in ps})
-    place = {w: i for i, w in enumerate(words)}
-    return words, [np.sort(np.fromiter(map(place.__getitem__, ps), np.int32, len(ps))) for ps in found]
+def _bags(found: Iterable[list[str]]) -> tuple[list[str], list[np.ndarray]]:
+    """(sorted distinct pieces, for each text the places of its pieces in that list); texts are taken one by one."""
+    first: dict[str, int] = {}
+    bags = [np.fromiter([first.setdefault(p, len(first)) for p in ps], np.int32) for ps in found]
+    words = sorted(first)
+    place = np.empty(len(words), dtype=np.int32)
+    place[[first[w] for w in words]] = np.arange(len(words))
+    return words, [np.sort(place[b]) for b in bags]
 
 
 def _first_rates(words: list[str], bags: list[np.ndarray], toxic: list[int], clean: list[int]) -> np.ndarray:
@@ -352,7 +368,7 @@ def fit(texts: list[str], labels: list[int], **params):
 
 
 def fit_pieces(
-    found: list[list[str]],
+    found: Iterable[list[str]],
     labels: list[int],
     n_landmarks: int = N_LANDMARKS,
     rounds: int = 4,
@@ -383,7 +399,7 @@ def fit_pieces(
     common = clean_words[np.argsort(-counts[clean_words], kind="stable")][: n_landmarks // 4].tolist()
     rest = clean_words[rng.permutation(len(clean_words))[: n_landmarks - len(strong) - len(common)]].tolist()
     landmarks = sorted({*strong, *common, *rest})
-    matrix = np.ascontiguousarray(dense([words[w] for w in landmarks]).T)
+    used, row, matrix = landmark_matrix([words[w] for w in landmarks])
     vals, vecs = np.linalg.eigh((matrix.T @ matrix).astype(np.float64))
     good = vals > 1e-6 * vals.max()
     root = (vecs[:, good] / np.sqrt(vals[good])).astype(np.float32)
@@ -392,11 +408,13 @@ def fit_pieces(
     for _ in range(rounds):
         pos = Counter(witness.values())
         neg = sorted(negatives - set(pos))
-        z = against([words[w] for w in (*pos, *neg)], matrix) @ root
+        z = against([words[w] for w in (*pos, *neg)], matrix, row) @ root
         y = np.array([1.0] * len(pos) + [-1.0] * len(neg))
         c = np.array([toxic_weight * min(n, most_alike) / len(toxic) for n in pos.values()] + [1.0] * len(neg))
         v, bias = _svm(z, y, c)
-        weights = (matrix @ (root @ v)).astype(np.float64)
+        del z
+        weights = np.zeros(SYMBOLS**3)
+        weights[used] = (matrix @ (root @ v))[:-1]
         value = scores(words, weights) + bias
         hard = clean_words[np.argsort(-value[clean_words], kind="stable")][:n_hard].tolist()
         negatives = set(neg) | set(hard)
@@ -458,12 +476,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_id")).where(F.col(text).isNotNull())
     rows = rows.groupBy("_id").agg(F.first("_y").alias("y"), F.max(text).alias("t"))
 
-    @F.pandas_udf("array<string>")
+    # one string for each text, since a million small ones would fill the driver
+    @F.pandas_udf("string")
     def split(texts: pd.Series) -> pd.Series:
-        return pd.Series([pieces(t) for t in texts], dtype=object)
+        return pd.Series(["\n".join(pieces(t)) for t in texts], dtype=object)
 
     got = rows.select("_id", "y", split("t").alias("found")).toPandas().sort_values("_id")
-    return fit_pieces([list(x) for x in got["found"]], got["y"].tolist(), **params) if len(got) else None
+    return fit_pieces((x.split("\n") if x else [] for x in got["found"]), got["y"].tolist(), **params) if len(got) else None
 
 
 def score(docs: DataFrame, model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
