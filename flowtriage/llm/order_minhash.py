@@ -46,6 +46,12 @@ K_WORDS = 5
 KEEP = 3
 SKETCHES = 14
 SIMILARITY = 0.8
+#: Low bits of a hash that hold a k-mer's place in its slice of texts; a slice, or a text of 2^31 bytes, has fewer k-mers.
+PLACE_BITS = 32
+#: Keys with more than one part in HOT of all rows are joined apart from the others.
+HOT = 1000
+#: Pairs of such a hub that share one copy of its text.
+PAIRS_PER_COPY = 256
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -124,7 +130,7 @@ def sketches(run: np.ndarray, of: np.ndarray, n_texts: int, n: int = SKETCHES, k
     cuts = np.flatnonzero(np.diff(of, prepend=-1))
     rows = of[cuts]
     worst = _U(0xFFFFFFFFFFFFFFFF)
-    bits = 24 if len(run) < 1 << 24 else 40
+    bits = PLACE_BITS
     spot = np.arange(len(run), dtype=np.uint64)
     # each hash carries its k-mer's place in the low bits, so a minimum tells where it is
     for s in range(n):
@@ -188,9 +194,31 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return m / (n - m)
 
 
+def _named(rows: DataFrame, names: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``names`` (one row per key, ``n`` rows of ``rows`` having it, dropped).
+
+    The keys of more than one part in ``HOT`` of all rows, fewer than ``HOT`` by that, are broadcast, so no task of the
+    shuffled join meets a hot one.
+    """
+    total = names.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * HOT > total
+    hot, rest = F.broadcast(names.where(is_hot).drop("n")), names.where(~is_hot).drop("n")
+    others = rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys, how)
+    return rows.join(hot, keys).unionByName(others.select(*rows.columns, *[c for c in rest.columns if c not in keys]))
+
+
 def _align(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """(node, hub, far) for pairs (node, hub): far is 1 - similarity."""
-    got = pairs.join(texts, "node").join(texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    """(node, hub, far) for pairs (node, hub): far is 1 - similarity.
+
+    The pairs of a hot hub are dealt to copies of its text, one per ``PAIRS_PER_COPY`` pairs; fewer than ``HOT`` hubs are hot.
+    """
+    sizes = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
+    hot = materialise(sizes.where(F.col("n") * HOT > pairs.count()).select("hub", F.ceil(F.col("n") / PAIRS_PER_COPY).cast("int").alias("salts")), "omh-hot-hubs")
+    salted = lambda df: df.join(F.broadcast(hot), "hub", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    few = salted(pairs).withColumn("salt", F.pmod(F.hash("node"), F.col("salts"))).drop("salts")
+    hubs = salted(sizes.select("hub")).select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    hubs = hubs.join(texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    got = few.join(texts, "node").join(hubs, ["hub", "salt"])
 
     def measure(batches):
         kmers, hub, b = Kmers(), None, None
@@ -257,8 +285,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     """(id, _k1, _k2, class_id, is_kept) per row of ``docs``; is_kept marks one document of each class."""
     signed = signatures(docs, key, text)
     first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "_k1", "_k2")).alias("f")
-    nodes = signed.where("n_words > 0").groupBy("h1", "h2").agg(first, F.first("keys").alias("keys"))
-    nodes = nodes.select(F.monotonically_increasing_id().alias("raw"), "h1", "h2", "keys", "f.id", "f._k1", "f._k2")
+    nodes = signed.where("n_words > 0").groupBy("h1", "h2").agg(first, F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n"))
+    nodes = nodes.select(F.monotonically_increasing_id().alias("raw"), "h1", "h2", "keys", "n", "f.id", "f._k1", "f._k2")
     nodes = materialise(nodes, "omh-nodes")
     found, level = _candidates(nodes)
     near = F.col("far") <= 1 - similar + 1e-12
@@ -279,15 +307,15 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
         check = _prefix_pairs(left, texts, comps, similar).join(links.select("node", "hub"), ["node", "hub"], "left_anti")
         links = links.unionByName(_align(materialise(check, "omh-pairs"), texts, "omh-aligned"))
         comps = components(linked(links), found.select("node"))
-    named = found.join(comps, "node")
-    best = named.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "_k1", "_k2")).alias("f"))
-    named = named.join(best, "comp").select("raw", F.col("f.id").alias("class_id"), F.col("f._k1").alias("c1"), F.col("f._k2").alias("c2"))
-    own = nodes.select("raw", "h1", "h2", F.col("id").alias("own_id"), F.col("_k1").alias("o1"), F.col("_k2").alias("o2")).join(named, "raw", "left")
+    named = materialise(found.drop("keys").join(comps, "node"), "omh-named")
+    best = named.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "_k1", "_k2")).alias("f"), F.count(F.lit(1)).alias("n"))
+    named = _named(named, materialise(best, "omh-best"), ["comp"]).select("raw", F.col("f.id").alias("class_id"), F.col("f._k1").alias("c1"), F.col("f._k2").alias("c2"))
+    own = nodes.select("raw", "h1", "h2", "n", F.col("id").alias("own_id"), F.col("_k1").alias("o1"), F.col("_k2").alias("o2")).join(named, "raw", "left")
     alone = F.col("c1").isNull()
     own = own.select(
-        "h1", "h2", F.when(alone, F.col("own_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("c1", "o1").alias("c1"), F.coalesce("c2", "o2").alias("c2")
+        "h1", "h2", "n", F.when(alone, F.col("own_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("c1", "o1").alias("c1"), F.coalesce("c2", "o2").alias("c2")
     )
-    out = signed.join(own, ["h1", "h2"], "left")
+    out = _named(signed.drop("keys"), materialise(own, "omh-classes"), ["h1", "h2"], "left")
     lone = F.col("n_words") == 0
     return out.select(
         "id", "_k1", "_k2",
