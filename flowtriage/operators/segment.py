@@ -7,11 +7,14 @@ nearest centre in every active model and emits per-partition partial sums per
 ``partitions × Σk`` small rows and the driver receives ``Σk`` rows.  The
 centre matrix passed to the tasks is bounded by Σk × n_features.
 
-Initialisation is distributed k-means++ (Arthur & Vassilvitskii 2007): each
-new centre is drawn with probability ∝ D² by an exponential race whose
-uniforms come from a hash of (key, model, step), so the result does not
-depend on partitioning.  Restarts use seeds ``seed .. seed+n_init-1``; the
-lowest-inertia run per K is kept.
+Initialisation is k-means‖ (Bahmani et al. 2012): per restart, ``ROUNDS``
+passes draw twice the largest K of candidates each, with probability ∝ D² by
+an exponential race whose uniforms come from a hash of (key, restart, round),
+so the result does not depend on partitioning.  One more pass weighs each
+candidate by the rows nearest to it; the driver clusters these few weighted
+candidates (k-means++ and Lloyd) to the starts of every K.  The number of
+passes doesn't depend on K.  Restarts use seeds ``seed .. seed+n_init-1``;
+the lowest-inertia run per K is kept.
 
 Silhouette (Rousseeuw 1987) is exact Euclidean on a bounded sample
 (``sample_size`` rows chosen by a seeded hash order), computed for all K in
@@ -32,6 +35,12 @@ from pyspark.sql import functions as F
 from flowtriage.config import DEFAULTS
 from flowtriage.functions.scalar import bounded_sample
 
+#: Passes of k-means‖ that draw candidates, draws of the start among them, and Lloyd passes over them.
+ROUNDS = 4
+TRIES = 4
+TRY_PASSES = 20
+
+
 def _splitmix(x: np.ndarray) -> np.ndarray:
     """Vectorised splitmix64 finaliser on uint64 (wrapping arithmetic)."""
     with np.errstate(over="ignore"):
@@ -41,10 +50,10 @@ def _splitmix(x: np.ndarray) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-def hash_uniform(keys: np.ndarray, salt: int) -> np.ndarray:
-    """Deterministic U(0,1] per (key, salt)."""
+def hash_uniform(keys: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
+    """Deterministic U(0,1] per (key, salt); ``salt`` is a number or one per key."""
     with np.errstate(over="ignore"):
-        k = keys.astype(np.int64).view(np.uint64) ^ _splitmix(np.array([salt], dtype=np.uint64))[0]
+        k = keys.astype(np.int64).view(np.uint64) ^ _splitmix(np.atleast_1d(np.asarray(salt, dtype=np.int64)).view(np.uint64))
     h = _splitmix(k) >> np.uint64(11)
     return (h.astype(np.float64) + 1.0) / float(1 << 53)
 
@@ -76,44 +85,64 @@ class KMeansModel:
         return spark.createDataFrame(rows, "cluster int, feature string, value double")
 
 
-def _init_pass(points: DataFrame, cols: list, key: str, models: dict, centers: dict, step: int, seed_of: dict):
-    """Draw the next centre for every model still short of k centres."""
-    todo = [m for m, k in models.items() if len(centers[m]) < k and len(centers[m]) == step]
-    if not todo:
-        return
-    cur = {m: (np.array(centers[m]) if centers[m] else None) for m in todo}
-
-    def fn(it):
-        best = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = pdf[cols].to_numpy(dtype=np.float64)
-            keys = pdf[key].to_numpy()
-            for m in todo:
-                if cur[m] is None:
-                    w = np.ones(len(X))
-                else:
-                    w = _sqdist(X, cur[m]).min(1)
-                u = hash_uniform(keys, seed_of[m] * 1000003 + step)
-                with np.errstate(divide="ignore"):
-                    race = np.where(w > 0, -np.log(u) / w, np.inf)
-                i = int(np.argmin(race))
-                if np.isfinite(race[i]) and (m not in best or race[i] < best[m][0]):
-                    best[m] = (float(race[i]), X[i].tolist())
-        if best:  # a partition may be empty, or hold no candidate
-            yield pd.DataFrame(
-                {"model": list(best), "race": [v[0] for v in best.values()], "x": [v[1] for v in best.values()]}
-            )
-
-    rows = (
-        points.mapInPandas(fn, "model int, race double, x array<double>")
-        .groupBy("model")
-        .agg(F.min_by("x", "race").alias("x"))
-        .collect()
-    )
-    for r in rows:
-        centers[r["model"]].append(list(r["x"]))
+def _candidates(points: DataFrame, cols: list, key: str, groups: int, seed: int, size: int) -> list:
+    """k-means‖: per restart (candidate centres, rows nearest to each), 1 + ``ROUNDS`` x ``size`` candidates at most."""
+    found = [np.zeros((0, len(cols))) for _ in range(groups)]
+    for step in range(ROUNDS + 1):
+        take = size if step else 1
+
+        def race(it, found=found, step=step, take=take):
+            best = [(np.zeros(0), np.zeros((0, len(cols))))] * groups
+            for pdf in it:
+                X = pdf[cols].to_numpy(dtype=np.float64)
+                keys = pdf[key].to_numpy()
+                for g in range(groups if len(X) else 0):
+                    w = _sqdist(X, found[g]).min(1) if step else np.ones(len(X))
+                    with np.errstate(divide="ignore"):
+                        lot = np.where(w > 0, -np.log(hash_uniform(keys, (seed + g) * 1000003 + step)) / w, np.inf)
+                    first = np.argsort(lot, kind="stable")[:take]
+                    first = first[np.isfinite(lot[first])]
+                    lots, rows = np.concatenate([best[g][0], lot[first]]), np.vstack([best[g][1], X[first]])
+                    kept = np.argsort(lots, kind="stable")[:take]
+                    best[g] = lots[kept], rows[kept]
+            for g, (lots, rows) in enumerate(best):
+                if len(lots):  # a partition may be empty, or hold no candidate
+                    yield pd.DataFrame({"g": g, "lot": lots, "x": list(rows)})
+
+        drawn = points.mapInPandas(race, "g int, lot double, x array<double>")
+        for part in (F.pmod(F.hash("lot"), F.lit(64)), F.lit(0)):
+            drawn = drawn.withColumn("rn", F.row_number().over(Window.partitionBy("g", part).orderBy("lot"))).where(F.col("rn") <= take).drop("rn")
+        for r in drawn.orderBy("g", "lot").collect():
+            found[r["g"]] = np.vstack([found[r["g"]], r["x"]])
+        found = [c[np.sort(np.unique(c, axis=0, return_index=True)[1])] for c in found]
+    if not all(len(c) for c in found):
+        raise ValueError("k-means needs at least one point")
+    near = lloyd_pass(points, cols, dict(enumerate(found)))
+    return [(c, near[g][1]) for g, c in enumerate(found)]
+
+
+def _start(candidates: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """At most ``k`` centres of weighted points: the best of a few k-means++ draws, each followed by Lloyd passes."""
+    rng = np.random.default_rng(seed)
+    best, least = candidates[:1], np.inf
+    for _ in range(TRIES):
+        chosen = [int(rng.choice(len(candidates), p=weight / weight.sum()))]
+        while len(chosen) < k:
+            chance = weight * _sqdist(candidates, candidates[chosen]).min(1)
+            chance[chosen] = 0.0
+            if not chance.sum() > 0:
+                break
+            chosen.append(int(rng.choice(len(candidates), p=chance / chance.sum())))
+        centers = candidates[chosen].copy()
+        for _ in range(TRY_PASSES):
+            own = _sqdist(candidates, centers).argmin(1)
+            n = np.bincount(own, weights=weight, minlength=len(centers))
+            sums = np.stack([np.bincount(own, weights=weight * c, minlength=len(centers)) for c in candidates.T], axis=1)
+            centers[n > 0] = sums[n > 0] / n[n > 0][:, None]
+        cost = float((weight * _sqdist(candidates, centers).min(1)).sum())
+        if cost < least:
+            best, least = centers, cost
+    return best
 
 
 def lloyd_pass(points: DataFrame, cols: list, active: dict) -> dict:
@@ -186,39 +215,34 @@ def fit_kmeans_many(
     max_iter: int = DEFAULTS.kmeans_max_iter,
     tol: float = DEFAULTS.kmeans_tol,
     key: str = "session_id",
+    init: dict | None = None,
 ) -> dict:
-    """C1 for every K in ``ks``: best of ``n_init`` seeded k-means++ / Lloyd runs.
+    """C1 for every K in ``ks``: best of ``n_init`` seeded k-means‖ / Lloyd runs, or the run from the centres ``init[k]``.
 
     The projected points are persisted for the duration of the fit (one scan
     per iteration); pass a checkpointed table so a lost block is re-read, not
     recomputed.  Returns ``{k: KMeansModel}``.
     """
     ks = list(ks)
-    models = {}
-    seed_of = {}
-    for k in ks:
-        for r in range(n_init):
-            mid = len(models)
-            models[mid] = k
-            seed_of[mid] = seed + r + 7919 * k
+    models = dict(enumerate((k, r) for k in ks for r in range(1 if init else n_init)))
     # Scanned once per iteration: keep the projected points cached for the fit.
     pts = points.select(key, *feature_cols).persist()
     try:
-        return _fit_batched(pts, feature_cols, ks, models, seed_of, max_iter, tol, key)
+        if init:
+            start = {m: np.asarray(init[k], dtype=np.float64) for m, (k, _) in models.items()}
+        else:
+            pool = _candidates(pts, feature_cols, key, n_init, seed, 2 * max(ks))
+            start = {m: _start(*pool[r], k, seed + r + 7919 * k) for m, (k, r) in models.items()}
+        return _fit_batched(pts, feature_cols, models, start, max_iter, tol, seed)
     finally:
         pts.unpersist()
 
 
-def _fit_batched(pts, feature_cols, ks, models, seed_of, max_iter, tol, key) -> dict:
+def _fit_batched(pts, feature_cols, models, start, max_iter, tol, seed) -> dict:
     var = pts.agg(*[F.var_pop(c).alias(c) for c in feature_cols]).first()
     tol_abs = tol * float(np.mean([var[c] or 0.0 for c in feature_cols]))
 
-    centers: dict = {m: [] for m in models}
-    for step in range(max(ks)):
-        _init_pass(pts, feature_cols, key, models, centers, step, seed_of)
-    if not all(centers.values()):
-        raise ValueError("k-means needs at least one point")
-    C = {m: np.asarray(centers[m], dtype=np.float64) for m in models}
+    C = dict(start)
     n_iter = {m: 0 for m in models}
     active = {m: C[m] for m in models}
     for _ in range(max_iter):
@@ -239,10 +263,10 @@ def _fit_batched(pts, feature_cols, ks, models, seed_of, max_iter, tol, key) ->
         active = nxt
     final = lloyd_pass(pts, feature_cols, C)
     best: dict = {}
-    for m, k in models.items():
+    for m, (k, r) in models.items():
         inertia = float(final[m][2].sum())
         if k not in best or inertia < best[k].inertia:
-            best[k] = KMeansModel(k, C[m], inertia, n_iter[m], seed_of[m])
+            best[k] = KMeansModel(k, C[m], inertia, n_iter[m], seed + r + 7919 * k)
     return best
 
 
@@ -402,10 +426,11 @@ def kmeans_search(
     sample_size: int = DEFAULTS.silhouette_sample,
     seed: int = DEFAULTS.seed,
     key: str = "session_id",
+    **fit,
 ) -> dict:
-    """C4: fit every K, score each on the same sample, pick the best."""
+    """C4: fit every K, score each on the same sample, pick the best (W3); ``fit`` goes to ``fit_kmeans_many``."""
     spark = x.sparkSession
-    models = fit_kmeans_many(x, feature_cols, k_range, n_init=n_init, seed=seed, key=key)
+    models = fit_kmeans_many(x, feature_cols, k_range, n_init=n_init, seed=seed, key=key, **fit)
     sample = silhouette_sample(x, key, sample_size, seed)
     labelled = sample.select(key, *feature_cols, *[assign_expr(models[k].centers, feature_cols).alias(f"k{k}") for k in models])
     sil = silhouette_scores(labelled, feature_cols, [f"k{k}" for k in models], key)

@@ -1,9 +1,11 @@
-"""Further registered queries: stored models, ε-pairs, simplified silhouette, given itemsets, wide baskets, quarantine."""
+"""Further registered queries: stored models, ε-pairs, simplified silhouette, given itemsets, wide baskets, quarantine,
+K search from given centres, trees from given draws."""
 
 from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,9 @@ from pyspark.sql import types as T
 
 from flowtriage.operators import baskets, density, iforest, segment
 from flowtriage.plans import sql as S
-from flowtriage.plans.catalog import FIXED_FOREST, ORACLE, PROFILE_COLS, PROFILE_EPS, _rule_out, fitted, r6, register, sessions
+from flowtriage.config import DEFAULTS
+from flowtriage.functions.scalar import sample_key_sql
+from flowtriage.plans.catalog import FIXED_FOREST, ORACLE, PROFILE_COLS, PROFILE_EPS, _dbscan_sql, _rule_out, fitted, r6, register, sessions
 from flowtriage.runtime import shared_dir, table_path
 from flowtriage.sources import model_store
 from flowtriage.sources import sessions as src
@@ -209,3 +213,115 @@ def _headed(batches, head: str):
     for batch in batches:
         yield pd.concat([pd.DataFrame({"value": [head]}), batch]) if first else batch
         first = False
+
+
+# --- C4 from given centres, F8, I1 from given draws ---------------------------------------
+
+SEARCH_KS, SEARCH_PASSES = (2, 3, 4), 5
+_CEN_GAP = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in PROFILE_COLS)
+_ORDERED_SAMPLE = f"order by {sample_key_sql('customer_id', DEFAULTS.seed)}, customer_id limit {DEFAULTS.silhouette_sample}"
+
+
+def _search_sql() -> str:
+    """Lloyd passes for every K at once: c0, the smallest customers, to the last centres; own, the rows' nearest of these."""
+    mean = ", ".join(f"avg({c}) as {c}" for c in PROFILE_COLS)
+    kept = ", ".join(f"coalesce(m.{c}, c.{c}) as {c}" for c in PROFILE_COLS)
+    near = f"""(select p.*, c.k, c.j, {_CEN_GAP} as d2 from profile p join c{{i}} c on true
+    qualify row_number() over (partition by p.customer_id, c.k order by {_CEN_GAP}, c.j) = 1)"""
+    out = f""",
+ks as (select unnest({list(SEARCH_KS)}) as k),
+first as (select row_number() over (order by customer_id) - 1 as j, {", ".join(PROFILE_COLS)} from (select * from profile order by customer_id limit {max(SEARCH_KS)})),
+c0 as (select k, first.* from first join ks on j < k)"""
+    for i in range(SEARCH_PASSES):
+        out += f""",
+m{i} as (select k, j, {mean} from {near.format(i=i)} group by k, j),
+c{i + 1} as (select c.k, c.j, {kept} from c{i} c left join m{i} m on m.k = c.k and m.j = c.j)"""
+    return out + f""",
+own as {near.format(i=SEARCH_PASSES)},
+cost as (select k, sum(d2) as inertia from own group by k),
+samp as (select customer_id from profile {_ORDERED_SAMPLE}),
+so as (select own.* from own join samp on samp.customer_id = own.customer_id),
+pm as (select a.k, a.customer_id, a.j as own, b.j as other, avg(sqrt({_GAP})) as md from so a join so b on a.k = b.k and a.customer_id <> b.customer_id group by all),
+ps as (select k, customer_id, max(case when other = own then md end) as a, min(case when other <> own then md end) as b from pm group by all),
+sil as (select k, round(avg(case when a is null then 0.0 else (b - a) / greatest(a, b) end), 4) as silhouette from ps group by k)
+select cast(sil.k as integer) as k, silhouette, round(inertia, 4) as inertia, row_number() over (order by silhouette desc, sil.k) = 1 as selected
+from sil join cost on cost.k = sil.k"""
+
+
+@register("kmeans_search_fixed", S.with_base(_search_sql()))
+def q_kmeans_search_fixed(spark, sf):
+    """C1 + C3 + C4 + W3 on the customer profile from given centres (the smallest customers), a fixed number of passes."""
+    p = src.customer_profile(spark, sf)
+    first = p.orderBy("customer_id").limit(max(SEARCH_KS)).toPandas()[PROFILE_COLS].to_numpy(dtype=float)
+    init = {k: first[:k] for k in SEARCH_KS}
+    res = segment.kmeans_search(p, PROFILE_COLS, SEARCH_KS, key="customer_id", init=init, max_iter=SEARCH_PASSES, tol=0.0)
+    chosen = (F.col("k") == F.lit(res["best_k"])).alias("selected")
+    return res["scores"].select("k", "silhouette", F.round("inertia", 4).alias("inertia"), chosen)
+
+
+@register(
+    "silhouette_without_noise",
+    S.with_base(
+        _dbscan_sql(PROFILE_EPS, DEFAULTS.dbscan_min_samples)
+        + f""",
+samp as (select * from (select p.* from profile p join db on db.customer_id = p.customer_id where db.cluster <> -1) {_ORDERED_SAMPLE}),
+pm as (select a.customer_id, a.segment as own, b.segment as other, avg(sqrt({_GAP})) as md from samp a join samp b on a.customer_id <> b.customer_id group by all),
+ps as (select customer_id, max(case when other = own then md end) as a, min(case when other <> own then md end) as b from pm group by customer_id)
+select round(avg(case when a is null then 0.0 else (b - a) / greatest(a, b) end), 4) as silhouette, count(*) as n_rows from ps"""
+    ),
+)
+def q_silhouette_without_noise(spark, sf):
+    """F8 + C3: market segments of the customer profile, the noise of its DBSCAN being no cluster."""
+    p = src.customer_profile(spark, sf)
+    noise = density.dbscan(p, PROFILE_COLS, PROFILE_EPS, DEFAULTS.dbscan_min_samples, key="customer_id")
+    label = F.when(F.col("cluster") == -1, -1).otherwise(F.pmod(F.hash("segment"), F.lit(1 << 30)))
+    lab = p.join(noise, "customer_id").withColumn("label", label)
+    sample = segment.silhouette_sample(lab, "customer_id", label_col="label")
+    s = segment.silhouette_scores(sample, PROFILE_COLS, ["label"], key="customer_id")["label"]
+    return sample.agg(F.lit(round(s, 4)).alias("silhouette"), F.count(F.lit(1)).alias("n_rows"))
+
+
+GROWN_TREES, GROWN_PSI = 3, 64
+
+
+def _place_draws(tree: int, places: int) -> np.ndarray:
+    at = np.arange(places)[:, None] * np.array([0.618, 0.732]) + tree * np.array([0.414, 0.236])
+    return at - np.floor(at)
+
+
+def _grown_sql() -> str:
+    """The trees level by level: s, the rows at each place; c, what each place splits by."""
+    n, draw = len(S.FEATURE_ORDER), "place * {} + t * {} - floor(place * {} + t * {})"
+    u, w = draw.format(0.618, 0.414, 0.618, 0.414), draw.format(0.732, 0.236, 0.732, 0.236)
+    out = f""",
+s0 as (select t, 1::bigint as place, v from (
+    select t, session_id, [{", ".join(f"round({c}, 6)" for c in S.FEATURE_ORDER)}] as v, ((session_id * 7919 + (t + 1) * 104729) % 1000003) / 1000003.0::double as u
+    from scaled join (select unnest(range({GROWN_TREES})) as t) on true)
+    qualify row_number() over (partition by t order by u, session_id) <= {GROWN_PSI})"""
+    last = iforest.height_limit(GROWN_PSI)
+    for i in range(last + 1):
+        split = "false" if i == last else "n > 1 and len(us) > 0"
+        out += f""",
+m{i} as (select t, place, j, min(v[j]) as lo, max(v[j]) as hi, count(*) as n from s{i} join (select unnest(range(1, {n + 1})) as j) on true group by all),
+g{i} as (select t, place, max(n) as n, list(j order by j) filter (where hi > lo) as us from m{i} group by all),
+f{i} as (select t, place, n, case when {split} then us[1 + cast(floor(({u}) * len(us)) as integer)] end as f from g{i}),
+c{i} as (select f.t, f.place, f.n, f.f, lo + ({w.replace("place", "f.place").replace(" t ", " f.t ")}) * (hi - lo) as cut
+         from f{i} f left join m{i} m on m.t = f.t and m.place = f.place and m.j = f.f)"""
+        if i < last:
+            out += f""",
+s{i + 1} as (select s.t, s.place * 2 + case when v[f] <= cut then 0 else 1 end as place, v from s{i} s join c{i} c on c.t = s.t and c.place = s.place where f is not null)"""
+    both = " union all ".join(f"select * from c{i}" for i in range(last + 1))
+    return out + f"""
+select t as tree, place, cast(coalesce(f - 1, -1) as integer) as feature, round(coalesce(cut, 0.0), 9) as threshold, n as size from ({both})"""
+
+
+@register("forest_grown", S.with_base(_grown_sql()))
+def q_forest_grown(spark, sf):
+    """I1 from given draws: the trees' rows by a chance that is arithmetic of the id, the splits by that of their place."""
+    df, m = fitted(spark, sf)
+    x = m.transform(df).select("session_id", *[r6(c) for c in S.FEATURE_ORDER])
+    chance = ((F.col("session_id") * 7919 + (F.col("tree") + 1) * 104729) % 1000003) / F.lit(1000003.0)
+    dealt = x.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(GROWN_TREES - 1)))).withColumn("u", chance)
+    dealt = dealt.where(F.col("u") <= iforest.draw_share(GROWN_PSI, df.count())).withColumnRenamed("session_id", "k")
+    nodes = iforest.grow_forest(dealt, S.FEATURE_ORDER, GROWN_PSI, _place_draws)
+    return nodes.select("tree", "place", "feature", F.round("threshold", 9).alias("threshold"), "size")
