@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,37 @@ def test_search_awkward_vectors(spark):
     assert {r["count"] for r in hilbert_search.search(nine, F.col("vec_id") < 2).groupBy("query_id").count().collect()} == {8}
 
 
+def _recall(spark, x, every):
+    ids = np.arange(len(x))
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": ids, "embedding": list(x)}), "vec_id long, embedding array<float>")
+    got = hilbert_search.search(df, F.col("vec_id") % every == 0).toPandas()
+    x, hit = x.astype(np.float32).astype(float), 0
+    for q in ids[::every]:
+        own = got[got.query_id == q].sort_values("rank")
+        want = nearest(ids, x, q)
+        hit += len(set(own.vec_id) & {i for i, _ in want})
+        exact = np.sqrt(((x[own.vec_id.to_numpy()] - x[q]) ** 2).sum(1))
+        assert own["rank"].tolist() == list(range(1, 11)) and np.allclose(own.score, exact, rtol=0, atol=0)
+    return hit / (10 * len(ids[::every]))
+
+
+def test_search_recall_on_larger_tables(spark):
+    rng = np.random.default_rng(3)
+    assert _recall(spark, rng.normal(size=(3000, 48)), 60) >= 0.95  # without any clusters
+    middle = rng.normal(size=(100, 48))
+    assert _recall(spark, middle[rng.integers(0, 100, 12000)] + 0.1 * rng.normal(size=(12000, 48)), 300) >= 0.98
+
+
+def test_search_common_query_vector(spark):
+    # half of all queries have one vector, which is searched once
+    rows = [(i, [1.0, 0.0] if i % 2 else [1.0 + i, 1.0]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = hilbert_search.search(df, F.lit(True)).toPandas()
+    assert (got.groupby("query_id").size() == 10).all() and got.query_id.nunique() == 400
+    own = got[got.query_id == 5].sort_values("rank")
+    assert own.vec_id.tolist() == [1, 3, 7, 9, 11, 13, 15, 17, 19, 21] and (own.score == 0).all()
+
+
 # --- 4 --------------------------------------------------------------------------
 
 
