@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtriage.config import DEFAULTS
+from flowtriage.functions import sketches as sk
 from flowtriage.functions.quantiles import exact_quantiles
 from flowtriage.runtime import dense_rank, materialise
 
@@ -137,9 +138,11 @@ def _split_types(df: DataFrame, cols: list) -> tuple[list, list]:
     return numeric, text
 
 
-def fit_medians(df: DataFrame, cols: list) -> dict:
-    """T1 fit: exact median of every numeric column that has a value (null and NaN skipped)."""
-    q = exact_quantiles(df, {c: [0.5] for c in cols})
+def fit_medians(df: DataFrame, cols: list, sketches: DataFrame | None = None) -> dict:
+    """T1 fit: exact median of every numeric column that has a value (null and NaN skipped); from ``sketches``, where
+    given, within their rank error and without reading ``df``."""
+    spec = {c: [0.5] for c in cols}
+    q = exact_quantiles(df, spec) if sketches is None else sk.quantiles(sketches, spec)
     return {c: q[c][0] for c in cols if q[c][0] is not None}
 
 
@@ -177,10 +180,11 @@ def fit_preprocessor(
     label_cols=DEFAULTS.label_cols,
     feature_cols: list | None = None,
     unseen: str = "other",
+    sketches: DataFrame | None = None,
 ) -> PrepModel:
     """Fit T1–T4 on ``df`` (labels are split off and never imputed or used).
 
-    ``feature_cols`` may name the key, which then is a feature as well.
+    ``feature_cols`` may name the key, which then is a feature as well.  With ``sketches`` the medians are approximate.
     """
     if unseen not in ("other", "null", "error"):
         raise ValueError(f"unseen must be other, null or error, not {unseen!r}")
@@ -195,7 +199,7 @@ def fit_preprocessor(
     feature_names = [f"{key}_value" if c == key else c for c in cols]
 
     modes, sizes, table = fit_dictionary(df, text)
-    model = PrepModel(key, labels, numeric, text, feature_names, fit_medians(df, numeric), modes, sizes, table, unseen=unseen)
+    model = PrepModel(key, labels, numeric, text, feature_names, fit_medians(df, numeric, sketches), modes, sizes, table, unseen=unseen)
 
     # T4 fit: mean and population std of the imputed/encoded values, one aggregate.
     raw = model.unscaled(df)

@@ -1,5 +1,5 @@
 """Further registered queries: stored models, ε-pairs, simplified silhouette, given itemsets, wide baskets, quarantine,
-K search from given centres, trees from given draws."""
+K search from given centres, trees from given draws, quantile sketches."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from flowtriage.operators import baskets, density, iforest, segment
 from flowtriage.plans import sql as S
 from flowtriage.config import DEFAULTS
+from flowtriage.functions import sketches as sk
 from flowtriage.functions.scalar import sample_key_sql
 from flowtriage.plans.catalog import FIXED_FOREST, ORACLE, PROFILE_COLS, PROFILE_EPS, _dbscan_sql, _rule_out, fitted, r6, register, sessions
 from flowtriage.runtime import shared_dir, table_path
@@ -325,3 +326,41 @@ def q_forest_grown(spark, sf):
     dealt = dealt.where(F.col("u") <= iforest.draw_share(GROWN_PSI, df.count())).withColumnRenamed("session_id", "k")
     nodes = iforest.grow_forest(dealt, S.FEATURE_ORDER, GROWN_PSI, _place_draws)
     return nodes.select("tree", "place", "feature", F.round("threshold", 9).alias("threshold"), "size")
+
+
+# --- T1, F11, I3 from sketches ------------------------------------------------------------
+
+_SKETCHED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_STEPS = (0.0, 0.04, 1 / 3, 0.5, 2 / 3, 0.95, 1.0)
+
+
+@register(
+    "quantile_sketches",
+    " union all ".join(
+        f"select '{c}' as \"column\", {p!r}::double as p, count({c}) as total, true as within, "
+        f"count(distinct case when {c} is not null then strftime(l_shipdate, '%Y-%m') end) as parts from lineitem"
+        for c in _SKETCHED
+        for p in _STEPS
+    ),
+)
+def q_quantile_sketches(spark, sf):
+    """Quantiles merged from one stored sketch per month and column, each held against its rank among all rows.
+
+    ``within``: the values below and up to the quantile enclose its rank, give or take the stated error.
+    """
+    rows = spark.read.parquet(table_path(sf, "lineitem")).select("l_shipdate", *_SKETCHED)
+    path = f"{shared_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    sk.keep(sk.sketch(rows, list(_SKETCHED), F.date_format("l_shipdate", "yyyy-MM")), path)
+    parts = sk.kept(spark, path)
+    found = sk.quantile_table(parts, {c: list(_STEPS) for c in _SKETCHED})
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in _SKETCHED])
+    counts = rows.select(F.explode(cells).alias("e")).select("e.*").groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
+    near = found.join(counts, "column").groupBy("column", "p", "total", "value").agg(
+        F.sum(F.when(F.col("v") < F.col("value"), F.col("c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("v") <= F.col("value"), F.col("c")).otherwise(0)).alias("upto"),
+    )
+    slack = sk.RANK_ERROR * F.col("total") + 1
+    wanted = F.col("p") * F.col("total")
+    near = near.withColumn("within", (F.col("below") - slack <= wanted) & (F.col("upto") + slack >= wanted))
+    months = parts.groupBy("column").agg(F.count(F.lit(1)).alias("parts"))
+    return near.join(months, "column").select("column", "p", "total", "within", "parts")

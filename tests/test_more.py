@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtriage.operators import baskets, density, features, iforest, prep, segment, triage
+from flowtriage.functions import sketches as sk
+from flowtriage.operators import baskets, density, features, iforest, mining, prep, segment, triage
 from flowtriage.runtime import release, shared_dir
 from flowtriage.sources import model_store
 from flowtriage.sources import sessions as src
@@ -215,3 +216,35 @@ def test_quarantine_accounts_for_every_line(spark, tmp_path):
     }
     assert all(r.file.endswith("one.csv") for r in rejected.collect())
     assert {(r["column"], r["reason"]): r["n"] for r in src.reject_counts(rejected).collect()}[(None, "number of fields")] == 2
+
+
+# --- quantile sketches ------------------------------------------------------------------
+
+
+def test_sketches_merge_and_replace_parts(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    days = {f"d{i}": rng.lognormal(size=n) for i, n in enumerate((30000, 200, 1, 12000))}
+    rows = [(d, float(x), None) for d, xs in days.items() for x in xs]
+    odd = [("d1", float("nan"), None), ("d1", None, None), ("d2", float("inf"), None), ("d2", float("-inf"), None)]
+    df = spark.createDataFrame(rows + odd, "day string, x double, none double")
+    path = f"file://{tmp_path}/sketches"
+    sk.keep(sk.sketch(df.where("day <> 'd3'"), ["x", "none"], F.col("day")), path)
+    sk.keep(sk.sketch(df.where("day >= 'd2'"), ["x", "none"], F.col("day")), path)  # a new day, and one again
+    parts = sk.kept(spark, path)
+    assert sorted((r.part, r.n, r.neg, r.pos) for r in parts.collect()) == [("d0", 30000, 0, 0), ("d1", 200, 0, 0), ("d2", 1, 1, 1), ("d3", 12000, 0, 0)]
+    steps = [0.0, 0.01, 1 / 3, 0.5, 0.99, 1.0]
+    got = sk.quantiles(parts, {"x": steps, "none": [0.5]})
+    assert got["none"] == [None] and got["x"][0] == float("-inf") and got["x"][-1] == float("inf")
+    everything = np.sort(np.concatenate([*days.values(), [np.inf, -np.inf]]))
+    for p, v in zip(steps[1:-1], got["x"][1:-1]):
+        assert abs(np.searchsorted(everything, v) / len(everything) - p) <= sk.RANK_ERROR
+    # fits from sketches, whose rows aren't read
+    gone = df.limit(0)
+    medians, (low, high) = prep.fit_medians(gone, ["x", "none"], parts), mining.tercile_edges(gone, ["x"], parts)["x"]
+    assert list(medians) == ["x"]
+    for p, v in ((1 / 3, low), (1 / 2, medians["x"]), (2 / 3, high)):
+        assert abs(np.searchsorted(everything, v) / len(everything) - p) <= sk.RANK_ERROR
+    scores = df.select(F.col("x").alias("anomaly_score")).where("x is not null")
+    flagged, offset = triage.contamination_flags(scores, 0.04, sk.sketch(scores, ["anomaly_score"]))
+    assert abs(flagged.agg(F.avg("anomaly_flag")).first()[0] - 0.04) <= sk.RANK_ERROR
+    assert sk.quantiles(sk.sketch(gone, ["x"]), {"x": [0.5]}) == {"x": [None]}
