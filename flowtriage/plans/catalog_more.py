@@ -1,5 +1,5 @@
 """Further registered queries: stored models, ε-pairs, simplified silhouette, given itemsets, wide baskets, quarantine,
-K search from given centres, trees from given draws, quantile sketches."""
+K search from given centres, trees from given draws, quantile sketches, the report from the writes."""
 
 from __future__ import annotations
 
@@ -16,7 +16,8 @@ from flowtriage.plans import sql as S
 from flowtriage.config import DEFAULTS
 from flowtriage.functions import sketches as sk
 from flowtriage.functions.scalar import sample_key_sql
-from flowtriage.plans.catalog import FIXED_FOREST, ORACLE, PROFILE_COLS, PROFILE_EPS, _dbscan_sql, _rule_out, fitted, r6, register, sessions
+from flowtriage.plans import report
+from flowtriage.plans.catalog import FIXED_FOREST, ORACLE, PROFILE_COLS, PROFILE_EPS, _dbscan_sql, _emb_k_scores, _profile_dbscan, _rule_out, fitted, r6, register, sessions, standin
 from flowtriage.runtime import shared_dir, table_path
 from flowtriage.sources import model_store
 from flowtriage.sources import sessions as src
@@ -364,3 +365,19 @@ def q_quantile_sketches(spark, sf):
     near = near.withColumn("within", (F.col("below") - slack <= wanted) & (F.col("upto") + slack >= wanted))
     months = parts.groupBy("column").agg(F.count(F.lit(1)).alias("parts"))
     return near.join(months, "column").select("column", "p", "total", "within", "parts")
+
+
+# --- S8 from the writes -------------------------------------------------------------------
+
+
+@register("run_report_observed", ORACLE["run_report"])
+def q_run_report_observed(spark, sf):
+    """S8, A1, A10 and A11 from counts taken while segments and density labels are written."""
+    clusters = standin(spark, sf)["clusters"]
+    _, sizes = report.write_segments(clusters, range(9))
+    _, seen = report.write_density(_profile_dbscan(spark, sf))
+    scores = _emb_k_scores(spark, sf)
+    best = segment.best_k(scores).first()["k"]
+    return report.observed_metrics(
+        spark, sizes, seen, scores, best, len(S.FEATURE_ORDER), PROFILE_EPS, DEFAULTS.dbscan_min_samples, DEFAULTS.rare_share
+    )

@@ -47,7 +47,7 @@ def run_triage(
     search = segment.kmeans_search(
         x, names, range(p.k_min, p.k_max + 1), p.kmeans_n_init, p.silhouette_sample, p.seed, KEY
     )
-    clusters = materialise(search["labels"], "segments")
+    clusters, sizes = report.write_segments(search["labels"], range(search["best_k"]))
     dist = validate.cluster_distribution(clusters)
     centroids = search["model"].centers_df(spark, names)
     top_feats = segment.centroid_top_features(centroids, p.top_features_n)
@@ -57,7 +57,7 @@ def run_triage(
         p.scatter_x in names and p.scatter_y in names
     ) else None
 
-    db = materialise(density.dbscan(x, names, p.dbscan_eps, p.dbscan_min_samples, KEY), "density")
+    db, density_seen = report.write_density(density.dbscan(x, names, p.dbscan_eps, p.dbscan_min_samples, KEY))
     db_summary = validate.dbscan_summary(db)
 
     imputed = model.impute(feat)
@@ -77,8 +77,8 @@ def run_triage(
     totals = triage.anomaly_totals(tri)
     rare = validate.rare_clusters(clusters, p.rare_share)
     consensus = triage.consensus_rank(triage.consensus_votes(tri, rare), p.queue_top_n)
-    metrics = report.run_metrics(
-        spark, clusters, db, search["scores"], search["best_k"], len(names), p.dbscan_eps, p.dbscan_min_samples, p.rare_share
+    metrics = report.observed_metrics(
+        spark, sizes, density_seen, search["scores"], search["best_k"], len(names), p.dbscan_eps, p.dbscan_min_samples, p.rare_share
     )
 
     out = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """``materialise``, and aggregates over all rows taken while they are written.
+
+    The observing node is the last before the writer, in the tasks whose output is committed, so a task that is run
+    again counts once.  What an optimised-away plan doesn't report is read from the written table.
+    """
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    table = materialise(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), name)
+    got = seen.get
+    if set(metrics) - set(got):
+        got = table.agg(*[c.alias(n) for n, c in metrics.items()]).first().asDict()
+    return table, got
+
+
 def spread(df: DataFrame, key: str, name: str) -> DataFrame:
     """``materialise`` in ``spark.sql.shuffle.partitions`` parts, the session's measure of its tables, for passes that are
     bound by computing rather than by reading."""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from flowtriage.functions import sketches as sk
 from flowtriage.operators import baskets, density, features, iforest, mining, prep, segment, triage
+from flowtriage.plans import report
 from flowtriage.runtime import release, shared_dir
 from flowtriage.sources import model_store
 from flowtriage.sources import sessions as src
@@ -248,3 +249,21 @@ def test_sketches_merge_and_replace_parts(spark, tmp_path):
     flagged, offset = triage.contamination_flags(scores, 0.04, sk.sketch(scores, ["anomaly_score"]))
     assert abs(flagged.agg(F.avg("anomaly_flag")).first()[0] - 0.04) <= sk.RANK_ERROR
     assert sk.quantiles(sk.sketch(gone, ["x"]), {"x": [0.5]}) == {"x": [None]}
+
+
+# --- metrics while writing ----------------------------------------------------------------
+
+
+def test_report_from_the_writes_is_that_of_the_tables(spark):
+    rows = [(i, i % 7 if i % 50 else 11) for i in range(400)]
+    clusters = spark.createDataFrame(rows, "session_id long, cluster int").repartition(5)
+    labels = spark.createDataFrame([(i, -1 if i % 9 == 0 else i % 4) for i in range(400)], "session_id long, cluster int")
+    scores = spark.createDataFrame([(2, 0.25), (3, 0.5)], "k int, silhouette double")
+    table, sizes = report.write_segments(clusters, range(12))
+    assert table.count() == 400 and sizes == {**{c: sum(x == c for _, x in rows) for c in range(7)}, 11: 8}
+    assert report.write_segments(clusters, range(3))[1] == sizes  # ids that the write didn't count
+    labelled, seen = report.write_density(labels)
+    want = sorted(map(tuple, report.run_metrics(spark, table, labelled, scores, 3, 12, rare_threshold=0.03).collect()))
+    assert sorted(map(tuple, report.observed_metrics(spark, sizes, seen, scores, 3, 12, rare_threshold=0.03).collect())) == want
+    none, seen = report.write_density(labels.limit(0))
+    assert none.count() == 0 and seen == {"n": 0, "n_noise": 0, "n_clusters": 0}
