@@ -1,6 +1,7 @@
 """What grows with the input: visits of points, passes over rows and baskets."""
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from flowtriage.operators import baskets, density, segment
@@ -58,3 +59,27 @@ def test_bit_planes_count_as_the_prefix_tree_does():
     table = pa.array([["i0"], *rows], pa.list_(pa.string())).slice(1)
     got = dict(zip(planes.numbers.tolist(), planes.count(table).tolist()))
     assert {n: c for n, c in got.items() if c} == want and len(got) == len(sets)
+
+
+def test_eps_pairs_are_handed_on_in_small_frames(monkeypatch):
+    """However many pairs an area has, a frame holds at most ``PAIRS``, and visits come batch by batch; their union is every pair once."""
+    monkeypatch.setattr(density, "PAIRS", 50)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(160, 2)), 1)
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]
+    n = len(x)
+    points = pd.DataFrame({"pid": rng.permutation(n), "area": np.arange(n) % 2, "leaf": np.arange(n) % 8, "w": 1, "a": x[:, 0], "b": x[:, 1]})
+    rows = []
+    for at in (0, 1):
+        here = points[points["area"] == at].assign(__at=at, __part=0, __visit=0)
+        visits = points[points["area"] <= at].assign(__at=at, __part=0, __visit=1)
+        rows.append(pd.concat([here, visits]))
+    rows = pd.concat(rows, ignore_index=True)
+    batches = [rows.iloc[lo : lo + 33] for lo in range(0, len(rows), 33)]
+    frames = list(density._by_area(iter(batches), lambda a, b: density._pairs(a, b, ["a", "b"], 1.0)))
+    assert max(len(f) for f in frames) <= 50 < sum(len(f) for f in frames)
+    got = pd.concat(frames)
+    at = dict(zip(points["pid"], map(tuple, x)))
+    gap = lambda i, j: sum((p - q) ** 2 for p, q in zip(at[i], at[j]))
+    assert sorted(zip(got["a"], got["b"])) == [(i, j) for i in range(n) for j in range(i + 1, n) if gap(i, j) <= 1.0]
+    assert np.allclose(got["distance"], [gap(i, j) ** 0.5 for i, j in zip(got["a"], got["b"])])
