@@ -16,6 +16,13 @@ candidates (k-means++ and Lloyd) to the starts of every K.  The number of
 passes doesn't depend on K.  Restarts use seeds ``seed .. seed+n_init-1``;
 the lowest-inertia run per K is kept.
 
+Of a table with more than ``CELLS`` rows, one pass sums all rows by cell of a
+split tree.  Every model's centres first settle on these cells (mean, number of
+rows), a model per task; then a pass over all rows moves them, and they settle
+again with what cells miss of its sums added, until a pass over all rows moves
+them no more than the tolerance.  So nearly all Lloyd passes read cells, and every model still ends
+where a pass over all rows leaves its centres; ``n_iter`` counts the passes over rows.
+
 Silhouette (Rousseeuw 1987) is exact Euclidean on a bounded sample
 (``sample_size`` rows chosen by a seeded hash order), computed for all K in
 one distributed pass: sample blocks are spread over tasks and each task
@@ -24,6 +31,7 @@ measures its block against the whole (bounded) sample.
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass
 
@@ -34,6 +42,7 @@ from pyspark.sql import functions as F
 
 from flowtriage.config import DEFAULTS
 from flowtriage.functions.scalar import bounded_sample
+from flowtriage.operators.density import _descend
 
 #: Passes of k-means‖ that draw candidates, draws of the start among them, and Lloyd passes over them.
 ROUNDS = 4
@@ -41,6 +50,11 @@ TRIES = 4
 TRY_PASSES = 20
 #: Rows that a Lloyd pass measures at a time.
 PASS_ROWS = 256
+PACK_ROWS = 4096
+#: Cells that rows are summed by, rows whose spread places their borders, and the part of the tolerance that centres settle to.
+CELLS = 32_768
+CELL_SAMPLE = 200_000
+SETTLED = 0.01
 
 
 def _splitmix(x: np.ndarray) -> np.ndarray:
@@ -87,21 +101,49 @@ class KMeansModel:
         return spark.createDataFrame(rows, "cluster int, feature string, value double")
 
 
-def _candidates(points: DataFrame, cols: list, key: str, groups: int, seed: int, size: int) -> list:
-    """k-means‖: per restart (candidate centres, rows nearest to each), 1 + ``ROUNDS`` x ``size`` candidates at most."""
+def _pack(points: DataFrame, cols: list, key: str) -> DataFrame:
+    """(keys, x): the rows of ``points`` as bytes, a few thousand at a time, so that a pass over them converts no single values."""
+
+    def fn(it):
+        for pdf in it:
+            X, keys = pdf[cols].to_numpy(dtype=np.float64), pdf[key].to_numpy()
+            for lo in range(0, len(X), PACK_ROWS):
+                yield pd.DataFrame({"keys": [keys[lo : lo + PACK_ROWS].astype(np.int64).tobytes()], "x": [np.ascontiguousarray(X[lo : lo + PACK_ROWS]).tobytes()]})
+
+    return points.select(key, *cols).mapInPandas(fn, "keys binary, x binary")
+
+
+def _matrices(it, cols: list, packed: bool):
+    """(keys, rows as a matrix) of batches that ``_pack`` made, or of plain ones without keys."""
+    for pdf in it:
+        if packed:
+            for keys, x in zip(pdf["keys"], pdf["x"]):
+                yield np.frombuffer(keys, dtype=np.int64), np.frombuffer(x, dtype=np.float64).reshape(-1, len(cols))
+        elif len(pdf):
+            yield None, pdf[cols].to_numpy(dtype=np.float64)
+
+
+def _candidates(points: DataFrame, cols: list, groups: int, seed: int, size: int) -> list:
+    """k-means‖ on packed rows: per restart (candidate centres, rows nearest to each), 1 + ``ROUNDS`` x ``size`` candidates at most."""
     found = [np.zeros((0, len(cols))) for _ in range(groups)]
     for step in range(ROUNDS + 1):
         take = size if step else 1
 
         def race(it, found=found, step=step, take=take):
             best = [(np.zeros(0), np.zeros((0, len(cols))))] * groups
-            for pdf in it:
-                X = pdf[cols].to_numpy(dtype=np.float64)
-                keys = pdf[key].to_numpy()
-                for g in range(groups if len(X) else 0):
-                    w = np.concatenate([_sqdist(X[i : i + PASS_ROWS], found[g]).min(1) for i in range(0, len(X), PASS_ROWS)]) if step else np.ones(len(X))
-                    with np.errstate(divide="ignore"):
-                        lot = np.where(w > 0, -np.log(hash_uniform(keys, (seed + g) * 1000003 + step)) / w, np.inf)
+            begin = np.cumsum([0, *map(len, found)])
+            at = np.vstack(found)
+            lines = np.hstack([-2.0 * at, (at * at).sum(1)[:, None]])
+            for keys, X in _matrices(it, cols, True):
+                w = np.ones((groups, len(X)))
+                for lo in range(0, len(X) if step else 0, PASS_ROWS):
+                    sub = X[lo : lo + PASS_ROWS]
+                    D = lines @ np.hstack([sub, np.ones((len(sub), 1))]).T  # without the rows' own norms
+                    w[:, lo : lo + PASS_ROWS] = np.stack([D[i:j].min(0) for i, j in zip(begin, begin[1:])]) + (sub * sub).sum(1)
+                w = np.maximum(w, 0.0)
+                for g in range(groups):
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        lot = np.where(w[g] > 0, -np.log(hash_uniform(keys, (seed + g) * 1000003 + step)) / w[g], np.inf)
                     # only lots below the last one held can enter
                     held = best[g][0][-1] if len(best[g][0]) == take else np.inf
                     first = np.flatnonzero(lot < held)
@@ -121,7 +163,7 @@ def _candidates(points: DataFrame, cols: list, key: str, groups: int, seed: int,
         found = [c[np.sort(np.unique(c, axis=0, return_index=True)[1])] for c in found]
     if not all(len(c) for c in found):
         raise ValueError("k-means needs at least one point")
-    near = lloyd_pass(points, cols, dict(enumerate(found)))
+    near = lloyd_pass(points, cols, dict(enumerate(found)), packed=True)
     return [(c, near[g][1]) for g, c in enumerate(found)]
 
 
@@ -149,8 +191,94 @@ def _start(candidates: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.
     return best
 
 
-def lloyd_pass(points: DataFrame, cols: list, active: dict) -> dict:
-    """One assignment pass for all active models → {model: (sums, counts, inertia) per cluster}.
+def _cell_tree(x: np.ndarray, cells: int):
+    """Arrays (dim, cut, left, right) of a split tree: the cell of the largest sum of squares is halved at its mean until there are ``cells``."""
+    dim, cut, left, right = [-1], [0.0], [-1], [-1]
+    rows, heap, n = {0: np.arange(len(x))}, [], 1
+
+    def queue(node):
+        spread = x[rows[node]].var(0)
+        if spread.max(initial=0.0) > 0:
+            heapq.heappush(heap, (-float(spread.sum()) * len(rows[node]), node, int(spread.argmax())))
+
+    if len(x):
+        queue(0)
+    while heap and n < cells:
+        _, node, d = heapq.heappop(heap)
+        at = rows.pop(node)
+        c = float(x[at, d].mean())
+        low = x[at, d] <= c
+        if low.all() or not low.any():
+            continue
+        dim[node], cut[node] = d, c
+        for part, side in ((at[low], left), (at[~low], right)):
+            side[node] = len(dim)
+            rows[len(dim)] = part
+            dim.append(-1), cut.append(0.0), left.append(-1), right.append(-1)
+            queue(side[node])
+        n += 1
+    return tuple(np.array(a) for a in (dim, cut, left, right))
+
+
+def _cells(points: DataFrame, packed: DataFrame, cols: list, key: str, seed: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """(means, numbers of rows) of the cells of all rows; None if there are no more than ``CELLS`` rows."""
+    if points.count() <= CELLS:
+        return None
+    sample = bounded_sample(points, key, CELL_SAMPLE, seed).toPandas()[cols].to_numpy(dtype=np.float64)
+    tree = _cell_tree(sample[np.isfinite(sample).all(1)], CELLS)
+
+    def fn(it):
+        sums = np.zeros((len(tree[0]), len(cols) + 1))
+        for _, X in _matrices(it, cols, True):
+            X = X[np.isfinite(X).all(1)]  # a row with a missing value has no place
+            cell = _descend(tree, X)
+            for j, v in enumerate([*X.T, np.ones(len(X))]):
+                sums[:, j] += np.bincount(cell, weights=v, minlength=len(sums))
+        at = np.flatnonzero(sums[:, -1])
+        if len(at):
+            yield pd.DataFrame({"cell": at, "s": list(sums[at])})
+
+    added = [F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(len(cols) + 1)]
+    found = packed.mapInPandas(fn, "cell int, s array<double>").groupBy("cell").agg(*added).orderBy("cell").drop("cell").toPandas().to_numpy(dtype=np.float64)
+    return (found[:, :-1] / found[:, -1:], found[:, -1]) if len(found) else None
+
+
+def _settle(spark, start: dict, cells, max_iter: int, tol_abs: float, seen: dict | None = None) -> dict:
+    """{model: centres} after Lloyd passes over weighted cells (broadcast) from ``start``, a model per task.
+
+    ``seen[model]`` has the centres of a pass over rows and its (sums, counts): what cells miss of these is added to every pass.
+    """
+    names = list(start)
+
+    def fn(it):
+        means, weight = cells.value
+        parts = np.hstack([means, np.ones((len(means), 1))]) * weight[:, None]
+
+        def added(C):
+            own = ((C * C).sum(1) - 2.0 * (means @ C.T)).argmin(1)
+            return np.stack([np.bincount(own, weights=v, minlength=len(C)) for v in parts.T], axis=1)
+
+        for pdf in it:
+            for i in pdf["id"].tolist():
+                C, missed = start[names[i]], 0.0
+                if seen:
+                    at, sums, n = seen[names[i]]
+                    missed = np.hstack([sums, n[:, None]]) - added(at)
+                for _ in range(max_iter):
+                    sums = added(C) + missed
+                    new, has = C.copy(), sums[:, -1] > 0.5
+                    new[has] = sums[has, :-1] / sums[has, -1:]
+                    shift, C = float(((new - C) ** 2).sum()), new
+                    if shift <= SETTLED * tol_abs:
+                        break
+                yield pd.DataFrame({"id": [i], "c": [C.ravel()]})
+
+    done = spark.range(0, len(names), 1, max(1, len(names))).mapInPandas(fn, "id long, c array<double>").collect()
+    return {names[r["id"]]: np.array(r["c"]).reshape(start[names[r["id"]]].shape) for r in done}
+
+
+def lloyd_pass(points: DataFrame, cols: list, active: dict, packed: bool = False) -> dict:
+    """One assignment pass for all active models → {model: (sums, counts, inertia) per cluster}; ``points`` may be ``packed``.
 
     Every (model, cluster) gets a global index.  A task takes ``PASS_ROWS`` rows at a
     time, so that its tables stay in the processor's cache: one matrix product measures
@@ -188,11 +316,8 @@ def lloyd_pass(points: DataFrame, cols: list, active: dict) -> dict:
         # tables made once; a fresh one for every few rows costs more than filling it
         far, near = np.empty((total, PASS_ROWS)), np.empty((total, PASS_ROWS))
         seen = False
-        for pdf in it:
-            if pdf.empty:
-                continue
+        for _, whole in _matrices(it, cols, packed):
             seen = True
-            whole = pdf[cols].to_numpy(dtype=np.float64)
             if not (np.isfinite(whole).all() and np.isfinite(at).all()):
                 missing(whole, at, sums)
                 continue
@@ -256,6 +381,8 @@ def fit_kmeans_many(
 ) -> dict:
     """C1 for every K in ``ks``: best of ``n_init`` seeded k-means‖ / Lloyd runs, or the run from the centres ``init[k]``.
 
+    ``max_iter`` bounds the passes over rows, and those over cells before them (none from given centres).
+
     The projected points are persisted for the duration of the fit (one scan
     per iteration); pass a checkpointed table so a lost block is re-read, not
     recomputed.  Returns ``{k: KMeansModel}``.
@@ -263,30 +390,34 @@ def fit_kmeans_many(
     ks = list(ks)
     models = dict(enumerate((k, r) for k in ks for r in range(1 if init else n_init)))
     # Scanned once per iteration: keep the projected points cached for the fit.
-    pts = points.select(key, *feature_cols).persist()
+    pts = _pack(points, feature_cols, key).persist()
     try:
         if init:
             start = {m: np.asarray(init[k], dtype=np.float64) for m, (k, _) in models.items()}
         else:
-            pool = _candidates(pts, feature_cols, key, n_init, seed, 2 * max(ks))
+            pool = _candidates(pts, feature_cols, n_init, seed, 2 * max(ks))
             start = {m: _start(*pool[r], k, seed + r + 7919 * k) for m, (k, r) in models.items()}
-        return _fit_batched(pts, feature_cols, models, start, max_iter, tol, seed)
+        var = points.agg(*[F.var_pop(c).alias(c) for c in feature_cols]).first()
+        tol_abs = tol * float(np.mean([var[c] or 0.0 for c in feature_cols]))
+        cells = None if init else _cells(points, pts, feature_cols, key, seed)
+        if cells is not None:
+            cells = points.sparkSession.sparkContext.broadcast(cells)
+            start = _settle(points.sparkSession, start, cells, max_iter, tol_abs)
+        return _fit_batched(pts, feature_cols, models, start, max_iter, tol_abs, seed, cells)
     finally:
         pts.unpersist()
 
 
-def _fit_batched(pts, feature_cols, models, start, max_iter, tol, seed) -> dict:
-    var = pts.agg(*[F.var_pop(c).alias(c) for c in feature_cols]).first()
-    tol_abs = tol * float(np.mean([var[c] or 0.0 for c in feature_cols]))
-
+def _fit_batched(pts, feature_cols, models, start, max_iter, tol_abs, seed, cells=None) -> dict:
     C = dict(start)
     n_iter = {m: 0 for m in models}
     active = {m: C[m] for m in models}
+    last = {m: np.inf for m in models}
     for _ in range(max_iter):
         if not active:
             break
-        res = lloyd_pass(pts, feature_cols, active)
-        nxt = {}
+        res = lloyd_pass(pts, feature_cols, active, packed=True)
+        nxt, seen = {}, {}
         for m, Cm in active.items():
             s, n, _ = res[m]
             new = Cm.copy()
@@ -297,8 +428,14 @@ def _fit_batched(pts, feature_cols, models, start, max_iter, tol, seed) -> dict:
             n_iter[m] += 1
             if shift > tol_abs:
                 nxt[m] = new
+                better = shift < last[m] / 2  # where cells don't bring them on, passes over rows alone do
+                if cells is not None and better:
+                    seen[m] = Cm, s, n
+                last[m] = shift if better else 0.0
+        if seen:
+            nxt |= _settle(pts.sparkSession, {m: nxt[m] for m in seen}, cells, max_iter, tol_abs, seen)
         active = nxt
-    final = lloyd_pass(pts, feature_cols, C)
+    final = lloyd_pass(pts, feature_cols, C, packed=True)
     best: dict = {}
     for m, (k, r) in models.items():
         inertia = float(final[m][2].sum())

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pytest
 
 from flowtriage.operators import baskets, density, segment
 
@@ -83,3 +84,38 @@ def test_eps_pairs_are_handed_on_in_small_frames(monkeypatch):
     gap = lambda i, j: sum((p - q) ** 2 for p, q in zip(at[i], at[j]))
     assert sorted(zip(got["a"], got["b"])) == [(i, j) for i in range(n) for j in range(i + 1, n) if gap(i, j) <= 1.0]
     assert np.allclose(got["distance"], [gap(i, j) ** 0.5 for i, j in zip(got["a"], got["b"])])
+
+
+def test_kmeans_reads_cells_for_most_passes(spark, monkeypatch):
+    """Of a table with more rows than cells, centres settle on weighted cells of all rows; passes over rows are few and their end is the same."""
+    rng = np.random.default_rng(2)
+    x = np.round(np.concatenate([rng.normal(m, 1.0, (400, 2)) for m in ((0, 0), (2.5, 0), (0, 2.5), (2.5, 2.5))]), 3)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "session_id long, x double, y double").repartition(4)
+    passes = []
+    keep = segment.lloyd_pass
+    monkeypatch.setattr(segment, "lloyd_pass", lambda *a, **k: passes.append(1) or keep(*a, **k))
+    monkeypatch.setattr(segment, "CELLS", 10**9)
+    rows = segment.fit_kmeans_many(df, ["x", "y"], [3, 4], n_init=4)
+    before, passes[:] = len(passes), []
+    monkeypatch.setattr(segment, "CELLS", 500)
+    cells = segment.fit_kmeans_many(df, ["x", "y"], [3, 4], n_init=4)
+    assert len(passes) < before
+    for k in (3, 4):
+        assert cells[k].inertia == pytest.approx(rows[k].inertia, rel=2e-3)
+        # the centres are where a pass over all rows leaves them
+        own = ((x[:, None, :] - cells[k].centers[None]) ** 2).sum(2).argmin(1)
+        assert np.allclose([x[own == j].mean(0) for j in range(k)], cells[k].centers, atol=0.02)
+
+
+def test_cells_hold_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(segment, "CELLS", 20)
+    monkeypatch.setattr(segment, "CELL_SAMPLE", 50)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(700, 3)), 2)
+    x[5, 1] = np.inf
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "session_id long, a double, b double, c double").repartition(4)
+    means, rows = segment._cells(df, segment._pack(df, ["a", "b", "c"], "session_id"), ["a", "b", "c"], "session_id", 1)
+    whole = np.delete(x, 5, axis=0)
+    assert len(rows) == 20 and rows.sum() == 699
+    assert np.allclose((means * rows[:, None]).sum(0), whole.sum(0))
+    assert segment._cells(df.limit(20), df, ["a"], "session_id", 1) is None
