@@ -5,7 +5,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from flowtriage.operators import baskets, density, segment
+from flowtriage.operators import baskets, density, iforest, segment
 
 
 def test_a_point_visits_an_area_once(spark, monkeypatch):
@@ -86,6 +86,29 @@ def test_eps_pairs_are_handed_on_in_small_frames(monkeypatch):
     assert np.allclose(got["distance"], [gap(i, j) ** 0.5 for i, j in zip(got["a"], got["b"])])
 
 
+def test_rows_walk_trees_in_few_steps():
+    """Path lengths by tables that have a leaf as its own child equal a walk row by row, missing and infinite values included."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 3))
+    x[::7, 1], x[::11, 0], x[::13, 2] = np.nan, np.inf, -np.inf
+    nodes = []
+    for t in range(5):
+        grown = iforest._grow(np.nan_to_num(rng.normal(size=(2 if t else 40, 3))), rng.random((64, 2)), 5)
+        nodes.append(pd.DataFrame({"tree": t, "node": np.arange(len(grown[0])), **dict(zip(("place", "feature", "threshold", "left", "right", "size"), grown))}))
+    tables = iforest.Forest(["a", "b", "c"], 40, 5, pd.concat(nodes)).arrays()
+    want = []
+    for r in x:
+        total = 0.0
+        for t in range(5):
+            node = depth = 0
+            while tables["feature"][t, node] >= 0:
+                node = tables["left" if r[tables["feature"][t, node]] <= tables["threshold"][t, node] else "right"][t, node]
+                depth += 1
+            total += depth + float(iforest.c_factor([tables["size"][t, node]])[0])
+        want.append(total)
+    assert iforest._path_lengths(list(iforest._walks(tables)), x).tolist() == want
+
+
 def test_kmeans_reads_cells_for_most_passes(spark, monkeypatch):
     """Of a table with more rows than cells, centres settle on weighted cells of all rows; passes over rows are few and their end is the same."""
     rng = np.random.default_rng(2)
