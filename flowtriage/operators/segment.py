@@ -224,7 +224,7 @@ def _cells(points: DataFrame, packed: DataFrame, cols: list, key: str, seed: int
     """(means, numbers of rows) of the cells of all rows; None if there are no more than ``CELLS`` rows."""
     if points.count() <= CELLS:
         return None
-    sample = bounded_sample(points, key, CELL_SAMPLE, seed).toPandas()[cols].to_numpy(dtype=np.float64)
+    sample = bounded_sample(points.select(key, *cols), key, CELL_SAMPLE, seed).toPandas()[cols].to_numpy(dtype=np.float64)
     tree = _cell_tree(sample[np.isfinite(sample).all(1)], CELLS)
 
     def fn(it):
